@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 REDACTED = "[redacted]"
 
 # A field is sensitive when its name contains one of these (patterns, any case).
@@ -34,6 +36,10 @@ PASSWORD_FIELDS = ("password", "passwd", "pwd")
 _WORDS = "(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + ")"
 _QUERY_PARAM = rf"(?i)({_WORDS}[\w.%\[\]-]*+=)[^&;#\s]*"
 _USERINFO = r"//[^/?#\s]*@"
+# No credential can be written inside a value without one of these characters,
+_MARK = "[=:%@]"
+# and without a sensitive word or userinfo.
+_SUSPECT = f"(?i){_WORDS}|{_USERINFO}"
 # A sensitive word, the rest of its name, quotes, and a separator that introduces a value.
 _ASSIGNMENT = (
     rf"(?i){_WORDS}[\w.-]*+(?:[\"'\\]|%22|%27|%5c)*+\s*+(?:\[\[:\]\]|[:=]|%3a|%3d)\s*+(?!\[redacted\])"
@@ -55,21 +61,38 @@ def sensitive_names(names: Iterable[str]) -> list[str]:
     return [n for n in names if pattern.search(n)]
 
 
+def _plain(out: Column) -> Column:
+    """Without ``userinfo@`` and values of sensitive parameters."""
+    return F.regexp_replace(F.regexp_replace(out, _USERINFO, "//"), _QUERY_PARAM, "$1[redacted]")
+
+
+def _if_suspect(value: Column, clean: Callable[[Column], Column]) -> Column:
+    """``clean`` for the few values that could hold a credential; the rest pass after one cheap test."""
+    return F.when(value.rlike(_MARK) & value.rlike(_SUSPECT), clean(value)).otherwise(value)
+
+
 def redact_url(url: Column) -> Column:
     """Cut ``userinfo@`` and blank the values of sensitive parameters.
 
     If a credential is still recognisable, such as encoded JSON in a parameter, the query is dropped.
     """
-    out = F.regexp_replace(url, _USERINFO, "//")
-    out = F.regexp_replace(out, _QUERY_PARAM, "$1[redacted]")
-    return F.when(out.rlike(_ASSIGNMENT), F.regexp_replace(out, r"[?#].*$", "?[redacted]")).otherwise(out)
+
+    def clean(raw: Column) -> Column:
+        return let(
+            _plain(raw),
+            lambda out: F.when(out.rlike(_ASSIGNMENT), F.regexp_replace(out, r"[?#].*$", "?[redacted]")).otherwise(out),
+        )
+
+    return _if_suspect(url, clean)
 
 
 def scrub(value: Column) -> Column:
     """Redact credentials written inside a value: URLs, query strings, JSON, nested pairs."""
-    out = F.regexp_replace(value, _USERINFO, "//")
-    out = F.regexp_replace(out, _QUERY_PARAM, "$1[redacted]")
-    return F.when(out.rlike(_ASSIGNMENT), F.lit(REDACTED)).otherwise(out)
+
+    def clean(raw: Column) -> Column:
+        return let(_plain(raw), lambda out: F.when(out.rlike(_ASSIGNMENT), F.lit(REDACTED)).otherwise(out))
+
+    return _if_suspect(value, clean)
 
 
 def redact_entries(entries: Column, extra: Iterable[str] = ()) -> Column:

@@ -6,15 +6,17 @@ or ``name[[:]]value`` lines (POST).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PAIR_RE, PAIR_SEP
+from .text import PAIR_SEP, after_first
 
 REQUEST_LINE = r"(?m)^(GET|POST)[ \t]+(\S+)"
 HOST_LINE = r"(?im)^[ \t]*host[ \t]*:[ \t]*(?:[^@\s]*@)?(\[[^\]\s]*\]|[^:\s]*)"
-# A header name has no blanks, quotes or braces; lines such as form bodies or JSON are not headers.
-HEADER_LINE = r"^([^\s:=&?{}\"'\[\]]+)[ \t]*:[ \t]*(\S.*)$"
+# A header name has none of these; lines such as form bodies or JSON are not headers.
+NOT_IN_HEADER_NAME = " \t=&?{}[]\"'"
 BROKEN_REQUEST_LINE = r"^(?:GET|POST)(?![ \t]+\S)"
 URL_HOST = r"^[a-z]+://([^/:?#]+)"
 
@@ -26,10 +28,19 @@ def url_host(url: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(url, r"//[^/?#\s]*@", "//"), URL_HOST, 1)
 
 
+def _body(text: Column) -> Column:
+    """The text with uniform line ends; one trailing line end adds no empty line."""
+    body = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.when(body.endswith("\n"), F.substr(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+
+
 def lines(text: Column) -> Column:
-    """Trimmed lines; one trailing line end adds no empty line."""
-    body = F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
-    return F.transform(F.split(body, r"\r\n|\n|\r"), lambda s: F.btrim(s, F.lit(_WHITE)))
+    """Trimmed lines."""
+    return F.transform(F.split(_body(text), "\n"), lambda s: F.btrim(s, F.lit(_WHITE)))
+
+
+def last_line(text: Column) -> Column:
+    return F.btrim(F.substring_index(_body(text), "\n", -1), F.lit(_WHITE))
 
 
 def host(text: Column) -> Column:
@@ -50,14 +61,14 @@ def has_broken_request_line(text: Column) -> Column:
     return text.rlike(BROKEN_REQUEST_LINE)
 
 
-def payload_entries(request_lines: Column) -> Column:
+def payload_entries(text: Column) -> Column:
     """Entries of the ``data`` member of the JSON on the last line, names lowercased; null if broken.
 
     ``data`` may be an object or a text that holds one.
     """
-    last = F.replace(F.element_at(request_lines, -1), F.lit(PAIR_SEP), F.lit(":"))
+    payload = F.replace(last_line(text), F.lit(PAIR_SEP), F.lit(":"))
     options = {"allowUnquotedFieldNames": "true"}
-    data = F.from_json(last, "data string", options)["data"]
+    data = F.from_json(payload, "data string", options)["data"]
     return lower_keys(F.map_entries(F.from_json(data, "map<string,string>", options)))
 
 
@@ -74,8 +85,8 @@ def lower_keys(entries: Column) -> Column:
 
 def _is_pair(line: Column) -> Column:
     """The line has the pair separator and some text after the first one."""
-    rest = F.get(F.split(line, PAIR_RE, 2), F.lit(1))
-    return F.coalesce(F.replace(rest, F.lit(PAIR_SEP), F.lit("")) != "", F.lit(False))
+    rest = F.replace(after_first(line, PAIR_SEP), F.lit(PAIR_SEP), F.lit(""))
+    return line.contains(PAIR_SEP) & (rest != "")
 
 
 def form_entries(request_lines: Column) -> Column:
@@ -83,33 +94,38 @@ def form_entries(request_lines: Column) -> Column:
     return F.transform(
         F.filter(request_lines, _is_pair),
         lambda s: F.struct(
-            F.lower(F.get(F.split(s, PAIR_RE), F.lit(0))).alias("key"),
-            F.get(F.split(s, PAIR_RE), F.lit(1)).alias("value"),
+            F.lower(F.substring_index(s, PAIR_SEP, 1)).alias("key"),
+            F.substring_index(after_first(s, PAIR_SEP), PAIR_SEP, 1).alias("value"),
         ),
     )
 
 
 def header_entries(request_lines: Column) -> Column:
-    """``name: value`` lines as entries, names lowercased; the value is all after the first colon."""
-    headers = F.filter(
-        request_lines, lambda s: ~_is_pair(s) & s.rlike(HEADER_LINE) & ~s.rlike(r"(?i)^host[ \t]*:")
-    )
-    return F.transform(
-        headers,
-        lambda s: F.struct(
-            F.lower(F.regexp_extract(s, HEADER_LINE, 1)).alias("key"),
-            F.regexp_extract(s, HEADER_LINE, 2).alias("value"),
-        ),
-    )
+    """``name: value`` lines as entries, names lowercased; the value is all after the first colon.
+
+    The host has a column of its own. Without a pattern: this runs for every line of every request.
+    """
 
+    def name(s: Column) -> Column:
+        return F.lower(F.btrim(F.substring_index(s, ":", 1), F.lit(_WHITE)))
+
+    def is_header(s: Column) -> Column:
+        key = name(s)
+        return (
+            s.contains(":")
+            & ~s.endswith(":")
+            & ~_is_pair(s)
+            & (key != "")
+            & (key != "host")
+            & (F.translate(key, NOT_IN_HEADER_NAME, "") == key)
+        )
 
-def query_entries(raw_url: Column) -> Column:
-    """Parameters in the query or fragment of a URL as entries."""
-    params = F.filter(F.split(F.regexp_extract(raw_url, r"[?#](.*)$", 1), r"[&;?#]"), lambda p: p.contains("="))
     return F.transform(
-        params,
-        lambda p: F.struct(
-            F.get(F.split(p, "=", 2), F.lit(0)).alias("key"),
-            F.get(F.split(p, "=", 2), F.lit(1)).alias("value"),
-        ),
+        F.filter(request_lines, is_header),
+        lambda s: F.struct(name(s).alias("key"), F.btrim(after_first(s, ":"), F.lit(_WHITE)).alias("value")),
     )
+
+
+def url_has_param(raw_url: Column, names: Iterable[str]) -> Column:
+    """True when the URL carries a non-empty parameter with one of ``names``."""
+    return raw_url.rlike(rf"(?i)[?&;#](?:{'|'.join(names)})=[^&;#\s]")

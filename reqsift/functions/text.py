@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,15 +12,18 @@ PAIR_SEP = "[[:]]"
 ENTRY_SEP = "[[--]]"
 FRAME_SEP = "|| "
 
-PAIR_RE = r"\[\[:\]\]"
 ENTRY_RE = r"\[\[--\]\]"
-FRAME_RE = r"\|\|"
 
 
 def is_blank(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def last_win_map(entries: Column) -> Column:
     """Array of ``struct(key, value)`` to a map; of equal keys the last entry wins, keys sorted.
 
@@ -39,8 +44,7 @@ def last_win_map(entries: Column) -> Column:
             F.transform(last_of_key, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
         )
 
-    # The one-element array binds the sorted entries to a name, so they are sorted once.
-    return F.get(F.transform(F.array(keyed), build), F.lit(0))
+    return let(keyed, build)
 
 
 def encode_map(m: Column) -> Column:
@@ -52,14 +56,19 @@ def encode_map(m: Column) -> Column:
     return F.array_join(pairs, ENTRY_SEP)
 
 
+def after_first(s: Column, separator: str) -> Column:
+    """The text after the first ``separator``; null if there is none. No pattern is compiled."""
+    at = F.instr(s, separator)
+    return F.when(at > 0, F.substr(s, at + len(separator)))
+
+
 def decode_map(s: Column) -> Column:
     """The inverse of :func:`encode_map` for non-null values; empty text gives an empty map."""
     parts = F.filter(F.split(s, ENTRY_RE), lambda p: p != "")
     entries = F.transform(
         parts,
         lambda p: F.struct(
-            F.get(F.split(p, PAIR_RE, 2), F.lit(0)).alias("key"),
-            F.get(F.split(p, PAIR_RE, 2), F.lit(1)).alias("value"),
+            F.substring_index(p, PAIR_SEP, 1).alias("key"), after_first(p, PAIR_SEP).alias("value")
         ),
     )
     return last_win_map(entries)
@@ -71,8 +80,9 @@ def frame(key: Column, line: Column) -> Column:
 
 
 def frame_key(message: Column) -> Column:
-    return F.get(F.split(message, FRAME_RE), F.lit(0))
+    """The text before the two pipes."""
+    return F.substring_index(message, FRAME_SEP.rstrip(), 1)
 
 
 def frame_line(message: Column) -> Column:
-    return F.get(F.split(message, FRAME_RE + " ?", 2), F.lit(1))
+    return after_first(message, FRAME_SEP)

@@ -18,16 +18,15 @@ def _no_entries() -> Column:
 
 
 def classify(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_method``, ``_lines``, ``_payload`` and the flag ``_bad`` for texts that are no request.
+    """Add ``_method``, ``_payload`` and the flag ``_bad`` for texts that are no request.
 
     Bad are: empty or unreadable texts, a request line without a target, a GET whose payload is not JSON.
     """
     return (
         df.withColumn("_method", request.method(F.col(text)))
-        .withColumn("_lines", request.lines(F.col(text)))
         .withColumn(
             "_payload",
-            F.when(F.col("_method") == "GET", request.payload_entries(F.col("_lines"))).otherwise(_no_entries()),
+            F.when(F.col("_method") == "GET", request.payload_entries(F.col(text))).otherwise(_no_entries()),
         )
         .withColumn(
             "_bad",
@@ -62,24 +61,29 @@ def parse_requests(
     """
     good = observe_bad(classify(df, text), observation).filter(~F.col("_bad"))
     is_get = F.col("_method") == "GET"
-    raw = good.select(
-        *keep,
-        request.host(F.col(text)).alias("host"),
-        request.url(F.col(text)).alias("_url"),
-        F.col("_method").alias("action_type"),
-        F.when(is_get, F.col("_payload")).otherwise(request.header_entries(F.col("_lines"))).alias("_fields"),
-        F.when(is_get, F.lit(None)).otherwise(request.form_entries(F.col("_lines"))).alias("_form"),
-    ).withColumn(
-        "_named",
-        F.concat(F.col("_fields"), F.coalesce("_form", _no_entries()), request.query_entries(F.col("_url"))),
+    raw = (
+        good.withColumn("_lines", F.when(~is_get, request.lines(F.col(text))))
+        .select(
+            *keep,
+            request.host(F.col(text)).alias("host"),
+            request.url(F.col(text)).alias("_url"),
+            F.col("_method").alias("action_type"),
+            F.when(is_get, F.col("_payload")).otherwise(request.header_entries(F.col("_lines"))).alias("_fields"),
+            request.form_entries(F.col("_lines")).alias("_form"),
+        )
+        .withColumn("_named", F.concat("_fields", F.coalesce("_form", _no_entries())))
     )
+
+    def carries(names: tuple[str, ...]) -> Column:
+        return redact.names_any(F.col("_named"), names) | request.url_has_param(F.col("_url"), names)
+
     return raw.select(
         *keep,
         "host",
         redact.redact_url(F.col("_url")).alias("url"),
         "action_type",
-        redact.names_any(F.col("_named"), redact.USERNAME_FIELDS).alias("has_username"),
-        redact.names_any(F.col("_named"), redact.PASSWORD_FIELDS).alias("has_password"),
+        carries(redact.USERNAME_FIELDS).alias("has_username"),
+        carries(redact.PASSWORD_FIELDS).alias("has_password"),
         last_win_map(redact.redact_entries(F.col("_fields"))).alias("fields"),
         redact.redact_entries(F.col("_form")).alias("request_parameters"),
     )
