@@ -18,14 +18,14 @@ HOST_LINE = r"(?im)^[ \t]*host[ \t]*:[ \t]*(?:[^@\s]*@)?(\[[^\]\s]*\]|[^:\s]*)"
 # A header name has none of these; lines such as form bodies or JSON are not headers.
 NOT_IN_HEADER_NAME = " \t=&?{}[]\"'"
 BROKEN_REQUEST_LINE = r"^(?:GET|POST)(?![ \t]+\S)"
-URL_HOST = r"^[a-z]+://([^/:?#]+)"
+URL_HOST = r"^[a-z]+://(?:[^/?#\s]*@)?([^/:?#]+)"
 
 _WHITE = " \t\r\n\f"
 
 
 def url_host(url: Column) -> Column:
-    """Host of an absolute URL, without port; empty when there is none."""
-    return F.regexp_extract(F.regexp_replace(url, r"//[^/?#\s]*@", "//"), URL_HOST, 1)
+    """Host of an absolute URL, without port or userinfo; empty when there is none."""
+    return F.regexp_extract(url, URL_HOST, 1)
 
 
 def _body(text: Column) -> Column:

@@ -14,17 +14,16 @@ def count_by(df: DataFrame, key: str = "host") -> DataFrame:
 
 
 def merge_counts(state: DataFrame, counts: DataFrame, key: str = "host") -> DataFrame:
-    """Running state plus the counts of a batch; a new key starts with status ``'0'``.
+    """Running state plus the counts of a batch; each side has a key once.
 
-    A union and one aggregation: one shuffle, with partial sums, where a full join would need two.
+    A new key starts with its whole batch count and status ``'0'``; a known key keeps its status.
     """
-    new = counts.select(key, "count", F.lit(None).cast("string").alias("status"))
-    return (
-        state.select(key, "count", "status")
-        .unionByName(new)
-        .groupBy(key)
-        .agg(F.sum("count").alias("count"), F.max("status").alias("status"))
-        .withColumn("status", F.coalesce("status", F.lit("0")))
+    old = state.select(key, F.col("count").alias("_old"), "status")
+    new = counts.select(key, F.col("count").alias("_new"))
+    return old.join(new, key, "full_outer").select(
+        key,
+        (F.coalesce("_old", F.lit(0)) + F.coalesce("_new", F.lit(0))).alias("count"),
+        F.coalesce("status", F.lit("0")).alias("status"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .filters import listed
+from .filters import listed, nonblank
 
 MAX_BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 48
@@ -81,8 +81,7 @@ def lookup_join(
 
 def drop_listed(requests: DataFrame, state: DataFrame, key: str = "host", **options) -> DataFrame:
     """Requests whose key is present and not on the allowlist. Exact: nothing is dropped by chance."""
-    present = requests.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-    return lookup_join(present, listed(state).select(key), key, "left_anti", **options)
+    return lookup_join(nonblank(requests, key), listed(state).select(key), key, "left_anti", **options)
 
 
 def enrich_with_state(df: DataFrame, state: DataFrame, key: str = "host", **options) -> DataFrame:

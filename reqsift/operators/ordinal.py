@@ -53,7 +53,11 @@ def with_ordinal(
     """
     placed = df.withColumn("_pos", _position(df, order_by))
     splits = [float("-inf"), *_bounds(placed.select("_pos"), "_pos", rows_per_bucket), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_pos", outputCol="_bucket", handleInvalid="keep").transform(placed)
+    bucketed = (
+        Bucketizer(splits=splits, inputCol="_pos", outputCol="_bucket", handleInvalid="keep")
+        .transform(placed)
+        .withColumn("_bucket", F.col("_bucket").cast("int"))
+    )
     # A struct is never null, so groups whose key is null stay joinable.
     keyed = bucketed.withColumn("_group", F.struct(*within, "_bucket"))
 

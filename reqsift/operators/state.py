@@ -74,17 +74,16 @@ def read_counts(spark: SparkSession, root: str, through: int | None = None) -> D
 def read_state(spark: SparkSession, root: str, through: int | None = None) -> DataFrame:
     """``host, count, status``, each host once; a host whose status was never set has ``'0'``.
 
-    One union and one aggregation over counts and statuses.
+    Both sides come out of their aggregation partitioned by host, so the join shuffles nothing more.
     """
-    none = F.lit(None)
-    counts = _rows(spark, f"{root}/counts", COUNTS, through).select(
-        "host", "count", none.cast("string").alias("status"), none.cast("long").alias("batch")
-    )
-    listing = _rows(spark, f"{root}/listing", LISTING).select(
-        "host", F.lit(0).cast("long").alias("count"), "status", "batch"
-    )
-    return counts.unionByName(listing).groupBy("host").agg(
-        F.sum("count").alias("count"), F.coalesce(F.max_by("status", "batch"), F.lit("0")).alias("status")
+    return (
+        read_counts(spark, root, through)
+        .join(read_listing(spark, root), "host", "full_outer")
+        .select(
+            "host",
+            F.coalesce("count", F.lit(0).cast("long")).alias("count"),
+            F.coalesce("status", F.lit("0")).alias("status"),
+        )
     )
 
 

@@ -8,7 +8,7 @@ STATE = (
     REQ
     + """,
 host_state AS (
-  SELECT host, count(*) AS count, CASE WHEN count(*) >= 9 THEN '1' ELSE '0' END AS status
+  SELECT host, count(*) AS count, CASE WHEN count(*) >= 9 AND NOT starts_with(host, 'www.') THEN '1' ELSE '0' END AS status
   FROM req GROUP BY host)"""
 )
 
@@ -104,7 +104,7 @@ HALVES = (
     REQ
     + """,
 old AS (
-  SELECT host, count(*) AS count, CASE WHEN count(*) >= 9 THEN '1' ELSE '0' END AS status
+  SELECT host, count(*) AS count, CASE WHEN count(*) >= 9 AND NOT starts_with(host, 'www.') THEN '1' ELSE '0' END AS status
   FROM req WHERE page_id % 2 = 0 GROUP BY host),
 new AS (SELECT host, count(*) AS count FROM req WHERE page_id % 2 = 1 GROUP BY host)"""
 )
