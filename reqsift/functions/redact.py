@@ -26,15 +26,16 @@ SENSITIVE_WORDS = (
     "session",
     "credential",
 )
-# A field is also sensitive when it is called just this ("user-agent" and "user_id" are not).
-USER_WORD = r"(?<![\w-])user(?![\w-])"
+# A field is also sensitive when it is called just this ("user-agent" and "user_id" are not); in an
+# encoded URL the name follows the digits of an encoded quote, brace or separator.
+USER_WORD = r"(?:(?<![\w-])|(?<=[237][0-9A-Fa-f]))user(?![\w-])"
 
 # Names that count as a username or a password in the exposure audit.
 USERNAME_FIELDS = ("username", "user", "login")
 PASSWORD_FIELDS = ("password", "passwd", "pwd")
 
 _WORDS = "(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + ")"
-_QUERY_PARAM = rf"(?i)({_WORDS}[\w.%\[\]-]*+=)[^&;#\s]*"
+_QUERY_PARAM = rf"(?i)({_WORDS}[^\s=&;#?/]*+=)[^&;#\s]*"
 _USERINFO = r"//[^/?#\s]*@"
 # No credential can be written inside a value without one of these characters,
 _MARK = "[=:%@]"
@@ -42,7 +43,7 @@ _MARK = "[=:%@]"
 _SUSPECT = f"(?i){_WORDS}|{_USERINFO}"
 # A sensitive word, the rest of its name, quotes, and a separator that introduces a value.
 _ASSIGNMENT = (
-    rf"(?i){_WORDS}[\w.-]*+(?:[\"'\\]|%22|%27|%5c)*+\s*+(?:\[\[:\]\]|[:=]|%3a|%3d)\s*+(?!\[redacted\])"
+    rf"(?i){_WORDS}[^\s\"'\\=:&;,%#?/<>(){{}}|\[\]]*+(?:[\"'\\]|%(?:25)*(?:22|27|5c))*+\s*+(?:\[\[:\]\]|[:=]|%(?:25)*3[ad])\s*+(?!\[redacted\])"
 )
 
 
