@@ -52,12 +52,13 @@ def with_ordinal(
     even a group that holds the whole table is spread over all tasks.
     """
     placed = df.withColumn("_pos", _position(df, order_by))
-    splits = [float("-inf"), *_bounds(placed.select("_pos"), "_pos", rows_per_bucket), float("inf")]
-    bucketed = (
-        Bucketizer(splits=splits, inputCol="_pos", outputCol="_bucket", handleInvalid="keep")
-        .transform(placed)
-        .withColumn("_bucket", F.col("_bucket").cast("int"))
-    )
+    bounds = _bounds(placed.select("_pos"), "_pos", rows_per_bucket)
+    splits = [float("-inf"), *bounds, float("inf")]
+    if bounds:
+        bucketizer = Bucketizer(splits=splits, inputCol="_pos", outputCol="_bucket", handleInvalid="keep")
+        bucketed = bucketizer.transform(placed).withColumn("_bucket", F.col("_bucket").cast("int"))
+    else:
+        bucketed = placed.withColumn("_bucket", F.lit(0))
     # A struct is never null, so groups whose key is null stay joinable.
     keyed = bucketed.withColumn("_group", F.struct(*within, "_bucket"))
 

@@ -145,6 +145,16 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, flush_bytes: int = FLUSH_
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _open_archive(file):
+    """The archive in ``file``, or None if it is none. Failing reads raise, so that the task is retried."""
+    import zipfile
+
+    try:
+        return zipfile.ZipFile(file, metadata_encoding=NAME_CHARSET)
+    except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter: shorter than an archive can be
+        return None
+
+
 def _text_entries(archive) -> list:
     return [info for info in archive.infolist() if info.filename.endswith(SUFFIXES)]
 
@@ -168,35 +178,31 @@ def _open_uri(path: str):
 
 def _explode_contents(charset: str):
     def rows(batches):
-        import zipfile
-
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                name = path.as_py()
-                try:
-                    archive = zipfile.ZipFile(pa.BufferReader(content.as_buffer()), metadata_encoding=NAME_CHARSET)
-                except zipfile.BadZipFile:
-                    yield name, None, None
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                archive = _open_archive(pa.BufferReader(content.as_buffer()))
+                if archive is None:
+                    yield path, None, None
                     continue
                 with archive:
                     for info in _text_entries(archive):
-                        yield name, info.filename, _read_entry(archive, info, charset)
+                        yield path, info.filename, _read_entry(archive, info, charset)
 
     return lambda batches: _batches(rows(batches), _ENTRY_ARROW)
 
 
 def _plan_slices(slice_bytes: int):
-    def rows(batches):
-        import zipfile
+    """Cut each archive into runs of entries of about ``slice_bytes``; only its directory is read."""
 
+    def rows(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                try:
-                    with _open_uri(path) as f, zipfile.ZipFile(f, metadata_encoding=NAME_CHARSET) as archive:
-                        sizes = [info.file_size for info in _text_entries(archive)]
-                except zipfile.BadZipFile:
-                    yield path, None, None
-                    continue
+                with _open_uri(path) as file:
+                    archive = _open_archive(file)
+                    if archive is None:
+                        yield path, None, None
+                        continue
+                    sizes = [info.file_size for info in _text_entries(archive)]
                 first, size = 0, 0
                 for i, n in enumerate(sizes):
                     size += n
@@ -210,7 +216,6 @@ def _plan_slices(slice_bytes: int):
 def _read_slices(charset: str):
     def rows(batches):
         import itertools
-        import zipfile
 
         for batch in batches:
             # Slices of one archive that meet in a batch share one reading of its directory.
@@ -220,7 +225,8 @@ def _read_slices(charset: str):
                 if group[0]["first"] is None:
                     yield path, None, None
                     continue
-                with _open_uri(path) as f, zipfile.ZipFile(f, metadata_encoding=NAME_CHARSET) as archive:
+                with _open_uri(path) as file:
+                    archive = _open_archive(file)
                     infos = _text_entries(archive)
                     for s in group:
                         for info in infos[s["first"] : s["last"]]:

@@ -1,0 +1,69 @@
+import os
+
+import pytest
+
+from reqsift.operators import state
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "state")
+
+
+def put(spark, root, number, **host_counts):
+    state.put_counts(spark.createDataFrame(list(host_counts.items()), "host string, count long"), root, number)
+
+
+def list_hosts(spark, root, **statuses):
+    state.put_listing(spark.createDataFrame(list(statuses.items()), "host string, status string"), root)
+
+
+def read(spark, root, through=None):
+    return {r.host: (r["count"], r.status) for r in state.read_state(spark, root, through).collect()}
+
+
+def test_nothing_yet(spark, root):
+    assert read(spark, root) == {} and state.read_listing(spark, root).count() == 0
+
+
+def test_counts_add_up_and_statuses_stay(spark, root):
+    list_hosts(spark, root, a="1", z="2")
+    put(spark, root, 0, a=1, b=5)
+    put(spark, root, 1, a=2, c=1)
+    assert read(spark, root) == {"a": (3, "1"), "b": (5, "0"), "c": (1, "0"), "z": (0, "2")}
+    list_hosts(spark, root, a="0")
+    assert read(spark, root)["a"] == (3, "0")
+    assert read(spark, root, through=0)["a"] == (1, "0")
+
+
+def test_a_replayed_batch_replaces_itself(spark, root):
+    for _ in range(2):
+        put(spark, root, 0, a=1)
+        put(spark, root, 1, a=2)
+    assert read(spark, root) == {"a": (3, "0")}
+
+
+def test_unfinished_batches_are_not_read(spark, root):
+    put(spark, root, 0, a=1)
+    put(spark, root, 1, a=2)
+    os.remove(f"{root}/counts/batch=1/_SUCCESS")
+    assert read(spark, root) == {"a": (1, "0")}
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_fold(spark, root, keep):
+    list_hosts(spark, root, a="1")
+    put(spark, root, 0, a=1, b=1)
+    put(spark, root, 1, a=2)
+    before = read(spark, root)
+    state.fold(spark, root, keep_history=keep)
+    assert read(spark, root) == before
+    assert os.path.exists(f"{root}/counts/batch=0") == keep
+    put(spark, root, 1, a=2)  # replayed after the fold
+    assert read(spark, root) == before
+    put(spark, root, 2, c=4)
+    list_hosts(spark, root, b="1")
+    assert read(spark, root) == {"a": (3, "1"), "b": (1, "1"), "c": (4, "0")}
+    state.fold(spark, root)
+    state.fold(spark, root)
+    assert read(spark, root) == {"a": (3, "1"), "b": (1, "1"), "c": (4, "0")}
