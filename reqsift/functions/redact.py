@@ -34,11 +34,14 @@ USER_WORD = r"(?:(?<![\w-])|(?<=[237][0-9A-Fa-f]))user(?![\w-])"
 USERNAME_FIELDS = ("username", "user", "login")
 PASSWORD_FIELDS = ("password", "passwd", "pwd")
 
-_WORDS = "(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + ")"
+# The look-ahead on the first two letters rejects most positions of a text without trying every word.
+_FIRST = "[" + "".join(sorted({w[0] for w in SENSITIVE_WORDS})) + "]"
+_SECOND = "[" + "".join(sorted({w[1] for w in SENSITIVE_WORDS})) + "]"
+_WORDS = f"(?={_FIRST}{_SECOND})(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + ")"
 _QUERY_PARAM = rf"(?i)({_WORDS}[^\s=&;#?/]*+=)[^&;#\s]*"
 _USERINFO = r"//[^/?#\s]*@"
-# No credential can be written inside a value without one of these characters,
-_MARK = "[=:%@]"
+# No credential can be written inside a value without one of these characters ("http:" aside),
+_MARK = "[=%@]|(?<!https?):"
 # and without a sensitive word or userinfo.
 _SUSPECT = f"(?i){_WORDS}|{_USERINFO}"
 # A sensitive word, the rest of its name, quotes, and a separator that introduces a value.

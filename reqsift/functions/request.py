@@ -20,7 +20,7 @@ NOT_IN_HEADER_NAME = " \t=&?{}[]\"'"
 BROKEN_REQUEST_LINE = r"^(?:GET|POST)(?![ \t]+\S)"
 URL_HOST = r"^[a-z]+://(?:[^/?#\s]*@)?([^/:?#]+)"
 
-_WHITE = " \t\r\n\f"
+_WHITE = " \t\f"
 
 
 def url_host(url: Column) -> Column:
@@ -28,6 +28,11 @@ def url_host(url: Column) -> Column:
     return F.regexp_extract(url, URL_HOST, 1)
 
 
+def _trim(s: Column) -> Column:
+    """Without blanks at both ends; tabs are rare, and trimming blanks alone is much faster."""
+    return F.when(s.contains("\t") | s.contains("\f"), F.btrim(s, F.lit(_WHITE))).otherwise(F.trim(s))
+
+
 def _body(text: Column) -> Column:
     """The text with uniform line ends; one trailing line end adds no empty line."""
     body = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
@@ -36,11 +41,11 @@ def _body(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Trimmed lines."""
-    return F.transform(F.split(_body(text), "\n"), lambda s: F.btrim(s, F.lit(_WHITE)))
+    return F.transform(F.split(_body(text), "\n"), _trim)
 
 
 def last_line(text: Column) -> Column:
-    return F.btrim(F.substring_index(_body(text), "\n", -1), F.lit(_WHITE))
+    return _trim(F.substring_index(_body(text), "\n", -1))
 
 
 def host(text: Column) -> Column:
@@ -105,24 +110,16 @@ def header_entries(request_lines: Column) -> Column:
 
     The host has a column of its own. Without a pattern: this runs for every line of every request.
     """
-
-    def name(s: Column) -> Column:
-        return F.lower(F.btrim(F.substring_index(s, ":", 1), F.lit(_WHITE)))
-
-    def is_header(s: Column) -> Column:
-        key = name(s)
-        return (
-            s.contains(":")
-            & ~s.endswith(":")
-            & ~_is_pair(s)
-            & (key != "")
-            & (key != "host")
-            & (F.translate(key, NOT_IN_HEADER_NAME, "") == key)
-        )
-
-    return F.transform(
-        F.filter(request_lines, is_header),
-        lambda s: F.struct(name(s).alias("key"), F.btrim(after_first(s, ":"), F.lit(_WHITE)).alias("value")),
+    candidates = F.transform(
+        F.filter(request_lines, lambda s: s.contains(":") & ~s.endswith(":") & ~_is_pair(s)),
+        lambda s: F.struct(
+            F.lower(_trim(F.substring_index(s, ":", 1))).alias("key"),
+            _trim(after_first(s, ":")).alias("value"),
+        ),
+    )
+    return F.filter(
+        candidates,
+        lambda e: (e["key"] != "") & (e["key"] != "host") & (F.translate(e["key"], NOT_IN_HEADER_NAME, "") == e["key"]),
     )
 
 

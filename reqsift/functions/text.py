@@ -29,7 +29,7 @@ def last_win_map(entries: Column) -> Column:
 
     Needs no session setting: duplicates are removed by one sort before the map is built.
     """
-    keyed = F.array_sort(
+    keyed = F.sort_array(
         F.transform(
             entries,
             lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")),
@@ -50,7 +50,7 @@ def last_win_map(entries: Column) -> Column:
 def encode_map(m: Column) -> Column:
     """Map to ``k[[:]]v[[--]]k[[:]]v``, keys sorted, null values as empty text."""
     pairs = F.transform(
-        F.array_sort(F.map_entries(m)),
+        F.sort_array(F.map_entries(m)),
         lambda e: F.concat(e["key"], F.lit(PAIR_SEP), F.coalesce(e["value"], F.lit(""))),
     )
     return F.array_join(pairs, ENTRY_SEP)

@@ -170,9 +170,12 @@ def _read_entry(archive, info, charset: str) -> str | None:
 
 
 def _open_uri(path: str):
+    """Open a path as Spark reports it, with its scheme but not percent-encoded."""
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = fs.FileSystem.from_uri(quote(path, safe="/:@"))
     return filesystem.open_input_file(inner)
 
 

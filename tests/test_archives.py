@@ -63,6 +63,12 @@ def test_sliced_reading_gives_the_same_rows(spark, root):
     assert entries(sliced) == entries(whole) and len(entries(whole)) == 205
 
 
+def test_sliced_reading_of_odd_file_names(spark, tmp_path):
+    make_zip(str(tmp_path / "sp ace" / "100%25 请?.zip"), {"1.txt": "a"})
+    files = archives.list_files(spark, str(tmp_path))
+    assert [r.text for r in archives.explode_archives(files, whole_archive_bytes=0).collect()] == ["a"]
+
+
 def test_a_large_archive_is_spread_over_tasks(spark, root):
     files = archives.list_files(spark, f"{root}/20240103")
     sliced = archives.explode_archives(files, whole_archive_bytes=0, slice_bytes=500)
