@@ -49,7 +49,8 @@ def lookup_join(
 
     A lookup whose measured size fits is broadcast, so ``facts`` is not shuffled at all. A larger one
     is shuffled, and then the hot keys of ``facts`` are spread over all partitions by a hash of
-    ``spread_by`` (an id; default all plain columns), with their lookup rows repeated.
+    ``spread_by`` (an id; default all plain columns), with their lookup rows repeated. Finding them is
+    one more pass over the key column of ``facts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")

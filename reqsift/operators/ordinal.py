@@ -49,7 +49,8 @@ def with_ordinal(
     """Number the rows 1..n by ``order_by`` (a unique number, date or time), per group of ``within``.
 
     Rows are numbered inside quantile buckets and shifted by the sizes of the buckets before them, so
-    even a group that holds the whole table is spread over all tasks.
+    even a group that holds the whole table is spread over all tasks. ``df`` is read four times, mostly
+    its key columns: store it first if it is costly to compute.
     """
     placed = df.withColumn("_pos", _position(df, order_by))
     bounds = _bounds(placed.select("_pos"), "_pos", rows_per_bucket)

@@ -178,6 +178,13 @@ ORACLE: dict[str, str] = {
         FROM req LEFT JOIN old USING (host) WHERE page_id % 2 = 1""",
     ),
     "unlisted_stream": _with(STATE, f"SELECT page_id, host, host || '|| ' || url AS line FROM ({UNLISTED})"),
+    "sift_archives": _with(
+        PARSED
+        + """,
+        listed AS (SELECT host FROM req GROUP BY host HAVING count(*) >= 9 AND NOT starts_with(host, 'www.'))""",
+        """SELECT no || CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.txt' END AS entry, line
+        FROM framed JOIN parsed USING (page_id) WHERE host NOT IN (SELECT host FROM listed)""",
+    ),
     # aggregations
     "host_counts": _with(REQ, "SELECT host, count(*) AS count FROM req GROUP BY host"),
     "state_merge": _with(HALVES, MERGED),
@@ -194,6 +201,7 @@ ORACLE: dict[str, str] = {
     ),
     # order, ordinals, sets
     "hosts_by_count": _with(STATE, RANKED),
+    "state_by_count": _with(STATE, "SELECT * FROM host_state ORDER BY count DESC, host"),
     "top_hosts": _with(REQ, "SELECT host, count(*) AS count FROM req GROUP BY host ORDER BY count DESC, host LIMIT 10"),
     "batch_ordinals": """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day,
         row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS ordinal FROM events""",

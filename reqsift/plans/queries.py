@@ -369,6 +369,18 @@ def unlisted_stream(spark, folder):
     return spark.read.parquet(f"{root}/archive").select("page_id", "host", "line")
 
 
+@query
+def sift_archives(spark, folder):
+    """The whole flow: archives as a stream, parsed, redacted, sifted, counted and archived."""
+    state_root = _stored_listing(spark, folder)
+    root = scratch_dir(spark, "sift-archives")
+    files = archives.stream_files(spark, _archive_root(spark, folder))
+    parsed = parse.parse_requests(archives.explode_archives(files), keep=("entry",), observation="sift_archives")
+    lines = sinks.framed_lines(parsed).select("entry", "host", "line")
+    jobs.sift_stream(lines, state_root, f"{root}/archive", f"{root}/checkpoint", spread_by=["entry"]).awaitTermination()
+    return spark.read.parquet(f"{root}/archive").select("entry", "line")
+
+
 # --- aggregations -----------------------------------------------------------------------------------
 
 
@@ -420,6 +432,12 @@ def hosts_by_count(spark, folder):
     return counts.rank_by_count(counts.count_by(_unlisted(spark, folder)))
 
 
+@query
+def state_by_count(spark, folder):
+    """The whole state table, ranked."""
+    return counts.rank_by_count(_host_state(spark, folder))
+
+
 @query
 def top_hosts(spark, folder):
     return counts.rank_by_count(counts.count_by(_requests(spark, folder)), limit=10)
@@ -455,10 +473,14 @@ def count_batches(spark, folder):
 
 @query
 def archive_rows(spark, folder):
+    """The lines are stored first: numbering reads them several times, parsing should happen once."""
+    root = scratch_dir(spark, "archive")
     lines = sinks.framed_lines(filters.nonblank(_parsed(spark, folder), "host")).select("page_id", "line")
-    path = scratch_dir(spark, "archive")
-    sinks.write_archive(ordinal.count_batches(lines, "page_id", ARCHIVE_ROWS), path)
-    return spark.read.parquet(path)
+    lines.write.parquet(f"{root}/lines")
+    sinks.write_archive(
+        ordinal.count_batches(spark.read.parquet(f"{root}/lines"), "page_id", ARCHIVE_ROWS), f"{root}/rows"
+    )
+    return spark.read.parquet(f"{root}/rows")
 
 
 @query

@@ -96,6 +96,12 @@ def windowed_distinct_to(
     return writer(out, checkpoint, **options).outputMode("append").format("parquet").option("path", path).start()
 
 
+def topic_to(lines: DataFrame, servers: str, topic: str, checkpoint: str, **options) -> StreamingQuery:
+    """Framed lines of a stream to a topic; needs the Kafka connector on the class path."""
+    out = writer(sinks.topic_rows(lines), checkpoint, **options).format("kafka")
+    return out.option("kafka.bootstrap.servers", servers).option("topic", topic).option("kafka.acks", "1").start()
+
+
 def json_by_key_to(
     stream: DataFrame, key: str, path: str, checkpoint: str, key_buckets: int | None = None, **options
 ) -> StreamingQuery:
