@@ -20,10 +20,17 @@ SUFFIXES = (".txt", ".html")
 NAME_CHARSET = "gbk"
 WHOLE_ARCHIVE_BYTES = 128 << 20
 SLICE_BYTES = 32 << 20
+GAP_BYTES = 1 << 20
+SLICE_ENTRIES = 100_000
 FLUSH_BYTES = 8 << 20
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 ENTRY_SCHEMA = "path string, entry string, text string"
+# A run of neighbouring entries: the bytes it spans, and what the archive's directory says of each entry.
+SLICE_SCHEMA = (
+    "path string, start bigint, stop bigint, names array<string>, offsets array<bigint>, sizes array<bigint>, "
+    "methods array<int>, crcs array<bigint>"
+)
 
 
 def new_days(spark: SparkSession, root: str, after_day: int | None = None) -> list[int]:
@@ -118,16 +125,27 @@ def explode_archives(
     large = (
         files.filter(F.col("length") > whole_archive_bytes)
         .select("path")
-        .mapInArrow(_plan_slices(slice_bytes), "path string, first bigint, last bigint")
-        # An explicit number: adaptive execution would merge these tiny rows into one task.
-        .repartition(parts, "path", "first")
+        .mapInArrow(_plan_slices(slice_bytes), SLICE_SCHEMA)
+        # An explicit number: adaptive execution would merge these small rows into few tasks.
+        .repartition(parts, "path", "start")
         .mapInArrow(_read_slices(charset), ENTRY_SCHEMA)
     )
     return small.unionByName(large)
 
 
 _ENTRY_ARROW = pa.schema([("path", pa.string()), ("entry", pa.string()), ("text", pa.string())])
-_SLICE_ARROW = pa.schema([("path", pa.string()), ("first", pa.int64()), ("last", pa.int64())])
+_SLICE_ARROW = pa.schema(
+    [
+        ("path", pa.string()),
+        ("start", pa.int64()),
+        ("stop", pa.int64()),
+        ("names", pa.list_(pa.string())),
+        ("offsets", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int64())),
+        ("methods", pa.list_(pa.int32())),
+        ("crcs", pa.list_(pa.int64())),
+    ]
+)
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, flush_bytes: int = FLUSH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -137,7 +155,7 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, flush_bytes: int = FLUSH_
     for row in rows:
         for column, value in zip(columns, row):
             column.append(value)
-            size += len(value) if isinstance(value, str) else 8
+            size += 8 if value is None or isinstance(value, int) else len(value) * (8 if isinstance(value, list) else 1)
         if size >= flush_bytes:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
             columns, size = [[] for _ in schema], 0
@@ -145,28 +163,43 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, flush_bytes: int = FLUSH_
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _open_archive(file):
-    """The archive in ``file``, or None if it is none. Failing reads raise, so that the task is retried."""
+def _text_entries(file) -> list | None:
+    """``(name, offset, end, size, method, crc)`` of the text entries in file order; None for no archive.
+
+    Only the directory at the end of the archive is read. Failing reads raise, so that the task is retried.
+    """
     import zipfile
 
     try:
-        return zipfile.ZipFile(file, metadata_encoding=NAME_CHARSET)
+        archive = zipfile.ZipFile(file, metadata_encoding=NAME_CHARSET)
     except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter: shorter than an archive can be
         return None
-
-
-def _text_entries(archive) -> list:
-    return [info for info in archive.infolist() if info.filename.endswith(SUFFIXES)]
-
-
-def _read_entry(archive, info, charset: str) -> str | None:
-    import zipfile
+    with archive:
+        infos = sorted(archive.infolist(), key=lambda i: i.header_offset)
+        ends = [i.header_offset for i in infos[1:]] + [archive.start_dir]
+        return [
+            (i.filename, i.header_offset, end, i.compress_size, -1 if i.flag_bits & 1 else i.compress_type, i.CRC)
+            for i, end in zip(infos, ends)
+            if i.filename.endswith(SUFFIXES)
+        ]
+
+
+def _entry_text(data: memoryview, at: int, size: int, method: int, crc: int, charset: str) -> str | None:
+    """The text of the entry whose header is at ``at``; None if it is damaged, encrypted or packed otherwise."""
+    import struct
     import zlib
 
     try:
-        return archive.read(info).decode(charset, "replace")
-    except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError):
+        name_length, extra_length = struct.unpack_from("<HH", data, at + 26)
+        at += 30 + name_length + extra_length
+        raw = data[at : at + size]
+        if method == 8:
+            raw = zlib.decompress(raw, -15)
+        elif method != 0:
+            return None
+    except (struct.error, zlib.error):
         return None
+    return str(raw, charset, "replace") if zlib.crc32(raw) == crc else None
 
 
 def _open_uri(path: str):
@@ -183,56 +216,61 @@ def _explode_contents(charset: str):
     def rows(batches):
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                archive = _open_archive(pa.BufferReader(content.as_buffer()))
-                if archive is None:
+                buffer = content.as_buffer()
+                entries = _text_entries(pa.BufferReader(buffer))
+                if entries is None:
                     yield path, None, None
                     continue
-                with archive:
-                    for info in _text_entries(archive):
-                        yield path, info.filename, _read_entry(archive, info, charset)
+                data = memoryview(buffer)
+                for name, offset, _, size, method, crc in entries:
+                    yield path, name, _entry_text(data, offset, size, method, crc, charset)
 
     return lambda batches: _batches(rows(batches), _ENTRY_ARROW)
 
 
 def _plan_slices(slice_bytes: int):
-    """Cut each archive into runs of entries of about ``slice_bytes``; only its directory is read."""
+    """Cut each archive into runs of neighbouring text entries that span about ``slice_bytes``."""
+
+    def slice_row(path, run):
+        names, offsets, ends, sizes, methods, crcs = map(list, zip(*run))
+        return path, offsets[0], ends[-1], names, offsets, sizes, methods, crcs
 
     def rows(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with _open_uri(path) as file:
-                    archive = _open_archive(file)
-                    if archive is None:
-                        yield path, None, None
-                        continue
-                    sizes = [info.file_size for info in _text_entries(archive)]
-                first, size = 0, 0
-                for i, n in enumerate(sizes):
-                    size += n
-                    if size >= slice_bytes or i == len(sizes) - 1:
-                        yield path, first, i + 1
-                        first, size = i + 1, 0
+                    entries = _text_entries(file)
+                if entries is None:
+                    yield (path,) + (None,) * 7
+                    continue
+                run = []
+                for entry in entries:
+                    if run and (
+                        entry[2] - run[0][1] > slice_bytes
+                        or entry[1] - run[-1][2] > GAP_BYTES
+                        or len(run) >= SLICE_ENTRIES
+                    ):
+                        yield slice_row(path, run)
+                        run = []
+                    run.append(entry)
+                if run:
+                    yield slice_row(path, run)
 
     return lambda batches: _batches(rows(batches), _SLICE_ARROW)
 
 
 def _read_slices(charset: str):
     def rows(batches):
-        import itertools
-
         for batch in batches:
-            # Slices of one archive that meet in a batch share one reading of its directory.
-            slices = sorted(batch.to_pylist(), key=lambda s: (s["path"], s["first"] or 0))
-            for path, group in itertools.groupby(slices, key=lambda s: s["path"]):
-                group = list(group)
-                if group[0]["first"] is None:
-                    yield path, None, None
+            for s in batch.to_pylist():
+                if s["start"] is None:
+                    yield s["path"], None, None
                     continue
-                with _open_uri(path) as file:
-                    archive = _open_archive(file)
-                    infos = _text_entries(archive)
-                    for s in group:
-                        for info in infos[s["first"] : s["last"]]:
-                            yield path, info.filename, _read_entry(archive, info, charset)
+                with _open_uri(s["path"]) as file:
+                    data = memoryview(file.read_at(s["stop"] - s["start"], s["start"]))
+                for name, offset, size, method, crc in zip(
+                    s["names"], s["offsets"], s["sizes"], s["methods"], s["crcs"]
+                ):
+                    yield s["path"], name, _entry_text(data, offset - s["start"], size, method, crc, charset)
 
     return lambda batches: _batches(rows(batches), _ENTRY_ARROW)
