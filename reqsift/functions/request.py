@@ -35,7 +35,8 @@ def _trim(s: Column) -> Column:
 
 def _body(text: Column) -> Column:
     """The text with uniform line ends; one trailing line end adds no empty line."""
-    body = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    uniform = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    body = F.when(text.contains("\r"), uniform).otherwise(text)
     return F.when(body.endswith("\n"), F.substr(body, F.lit(1), F.length(body) - 1)).otherwise(body)
 
 

@@ -109,6 +109,8 @@ def write_archives(placed: DataFrame, root: str) -> int:
         import io
         import zipfile
 
+        from urllib.parse import quote
+
         import pandas as pd
         from pyarrow import fs
 
@@ -118,7 +120,7 @@ def write_archives(placed: DataFrame, root: str) -> int:
             for entry, text in zip(pdf["entry"], pdf["text"]):
                 archive.writestr(entry, text)
             archive.writestr("readme.md", "not a request")
-        filesystem, base = fs.FileSystem.from_uri(root)
+        filesystem, base = fs.FileSystem.from_uri(quote(root, safe="/:@"))
         target = f"{base}/{name}"
         filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
         with filesystem.open_output_stream(target) as out:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,7 +40,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="reqsift-")
     app = spark.sparkContext.applicationId
-    return os.path.join(root, "reqsift", app, f"{name}-{uuid.uuid4().hex}")
+    path = _hadoop_path(spark, f"{root.rstrip('/')}/reqsift/{app}/{name}-{uuid.uuid4().hex}")
+    return _file_system(spark, path).makeQualified(path).toString()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, hadoop_path):
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
@@ -49,28 +57,25 @@ def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
 
     For directories with few children (days, state versions). Files are listed by Spark sources.
     """
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path = _hadoop_path(spark, path)
+    fs = _file_system(spark, hadoop_path)
     if not fs.exists(hadoop_path):
         return []
     return sorted((s.getPath().getName(), bool(s.isDirectory())) for s in fs.listStatus(hadoop_path))
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path = _hadoop_path(spark, path)
+    fs = _file_system(spark, hadoop_path)
     return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hadoop_path, True)
+    hadoop_path = _hadoop_path(spark, path)
+    _file_system(spark, hadoop_path).delete(hadoop_path, True)
 
 
 def committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write into ``path`` finished."""
-    return ("_SUCCESS", False) in list_children(spark, path)
+    hadoop_path = _hadoop_path(spark, f"{path}/_SUCCESS")
+    return bool(_file_system(spark, hadoop_path).exists(hadoop_path))
