@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,32 +20,60 @@ def _no_entries() -> Column:
     return F.array().cast(EMPTY_ENTRIES)
 
 
+@lru_cache(maxsize=64)
+def _expressions(jvm: int, text: str) -> dict[str, Column]:
+    """The expressions of the parser, which depend on nothing but the name of the text column.
+
+    They are many; building them once per JVM keeps the set-up of a query or micro-batch short.
+    """
+    source = F.col(text)
+    is_get = F.col("_method") == "GET"
+    named = F.col("_named")
+
+    def carries(names: tuple[str, ...]) -> Column:
+        return redact.names_any(named, names) | request.url_has_param(F.col("_url"), names)
+
+    return {
+        "method": request.method(source),
+        "payload": F.when(is_get, request.payload_entries(source)).otherwise(_no_entries()),
+        "bad": is_blank(source) | request.has_broken_request_line(source) | F.col("_payload").isNull(),
+        "lines": F.when(~is_get, request.lines(source)),
+        "host": request.host(source).alias("host"),
+        "raw_url": request.url(source).alias("_url"),
+        "raw_fields": F.when(is_get, F.col("_payload"))
+        .otherwise(request.header_entries(F.col("_lines")))
+        .alias("_fields"),
+        "raw_form": request.form_entries(F.col("_lines")).alias("_form"),
+        "named": F.concat("_fields", F.coalesce("_form", _no_entries())),
+        "url": redact.redact_url(F.col("_url")).alias("url"),
+        "has_username": carries(redact.USERNAME_FIELDS).alias("has_username"),
+        "has_password": carries(redact.PASSWORD_FIELDS).alias("has_password"),
+        "fields": last_win_map(redact.redact_entries(F.col("_fields"))).alias("fields"),
+        "request_parameters": redact.redact_entries(F.col("_form")).alias("request_parameters"),
+    }
+
+
+def _parser(text: str) -> dict[str, Column]:
+    return _expressions(id(SparkContext._gateway), text)
+
+
 def classify(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``_method``, ``_payload`` and the flag ``_bad`` for texts that are no request.
 
     Bad are: empty or unreadable texts, a request line without a target, a GET whose payload is not JSON.
     """
-    return (
-        df.withColumn("_method", request.method(F.col(text)))
-        .withColumn(
-            "_payload",
-            F.when(F.col("_method") == "GET", request.payload_entries(F.col(text))).otherwise(_no_entries()),
-        )
-        .withColumn(
-            "_bad",
-            is_blank(F.col(text))
-            | request.has_broken_request_line(F.col(text))
-            | F.col("_payload").isNull(),
-        )
-    )
+    x = _parser(text)
+    return df.withColumn("_method", x["method"]).withColumn("_payload", x["payload"]).withColumn("_bad", x["bad"])
 
 
 def observe_bad(df: DataFrame, observation: Observation | str | None) -> DataFrame:
-    """Count the records and the bad ones on the way through; a name works for streams too."""
-    if observation is None:
-        return df
+    """Count the records and the bad ones on the way through; a name works for streams too.
+
+    Always present: the filter above it then uses the classified columns instead of being pushed below
+    them, where it would parse every payload a second time.
+    """
     return df.observe(
-        observation,
+        observation or f"parse_requests-{uuid.uuid4().hex}",
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col("_bad")).alias("bad_records"),
     )
@@ -59,31 +90,23 @@ def parse_requests(
     Output: ``keep`` + ``host, url, action_type, has_username, has_password, fields,
     request_parameters``. Values of sensitive fields are replaced here and nowhere later.
     """
+    keep = list(keep)
+    if text in keep:
+        raise ValueError("the raw text is not kept: it may hold credentials")
+    x = _parser(text)
     good = observe_bad(classify(df, text), observation).filter(~F.col("_bad"))
-    is_get = F.col("_method") == "GET"
     raw = (
-        good.withColumn("_lines", F.when(~is_get, request.lines(F.col(text))))
-        .select(
-            *keep,
-            request.host(F.col(text)).alias("host"),
-            request.url(F.col(text)).alias("_url"),
-            F.col("_method").alias("action_type"),
-            F.when(is_get, F.col("_payload")).otherwise(request.header_entries(F.col("_lines"))).alias("_fields"),
-            request.form_entries(F.col("_lines")).alias("_form"),
-        )
-        .withColumn("_named", F.concat("_fields", F.coalesce("_form", _no_entries())))
+        good.withColumn("_lines", x["lines"])
+        .select(*keep, x["host"], x["raw_url"], F.col("_method").alias("action_type"), x["raw_fields"], x["raw_form"])
+        .withColumn("_named", x["named"])
     )
-
-    def carries(names: tuple[str, ...]) -> Column:
-        return redact.names_any(F.col("_named"), names) | request.url_has_param(F.col("_url"), names)
-
     return raw.select(
         *keep,
         "host",
-        redact.redact_url(F.col("_url")).alias("url"),
+        x["url"],
         "action_type",
-        carries(redact.USERNAME_FIELDS).alias("has_username"),
-        carries(redact.PASSWORD_FIELDS).alias("has_password"),
-        last_win_map(redact.redact_entries(F.col("_fields"))).alias("fields"),
-        redact.redact_entries(F.col("_form")).alias("request_parameters"),
+        x["has_username"],
+        x["has_password"],
+        x["fields"],
+        x["request_parameters"],
     )

@@ -87,16 +87,20 @@ def read_state(spark: SparkSession, root: str, through: int | None = None) -> Da
     )
 
 
-def fold(spark: SparkSession, root: str, keep_history: bool = False) -> None:
+def fold(
+    spark: SparkSession, root: str, logs: tuple[str, ...] = ("counts", "listing"), keep_history: bool = False
+) -> None:
     """Write each log's present state as its new base and drop the parts it replaces.
 
     Called by the writer, between batches. Readers still at work on the old parts need ``keep_history``.
     """
-    for log, read in ((f"{root}/counts", read_counts), (f"{root}/listing", read_listing)):
+    for name in logs:
+        log = f"{root}/{name}"
         bases, batches = _parts(spark, log)
         if not batches:
             continue
-        read(spark, root).write.mode("overwrite").parquet(f"{log}/base={batches[-1]}")
+        now = read_counts(spark, root) if name == "counts" else read_listing(spark, root)
+        now.write.mode("overwrite").parquet(f"{log}/base={batches[-1]}")
         if not keep_history:
             for n in batches:
                 delete_path(spark, f"{log}/batch={n}")

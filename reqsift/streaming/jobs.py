@@ -25,13 +25,22 @@ def writer(df: DataFrame, checkpoint: str, trigger: str | None = None, name: str
     return out.queryName(name) if name else out
 
 
+def _add_counts(batch: DataFrame, key: str, state_root: str, batch_id: int, fold_every: int) -> None:
+    state.put_counts(counts.count_by(batch, key).withColumnRenamed(key, "host"), state_root, batch_id)
+    if fold_every and batch_id % fold_every == fold_every - 1:
+        state.fold(batch.sparkSession, state_root, logs=("counts",))
+
+
 def count_into_state(
-    stream: DataFrame, state_root: str, checkpoint: str, key: str = "host", **options
+    stream: DataFrame, state_root: str, checkpoint: str, key: str = "host", fold_every: int = 0, **options
 ) -> StreamingQuery:
-    """Running counts per key: each micro-batch adds its own counts to the state table."""
+    """Running counts per key: each micro-batch adds its own counts to the state table.
+
+    With ``fold_every`` the counts are folded after every so many batches.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        state.put_counts(counts.count_by(batch, key).withColumnRenamed(key, "host"), state_root, batch_id)
+        _add_counts(batch, key, state_root, batch_id, fold_every)
 
     return writer(stream.select(key), checkpoint, **options).foreachBatch(sink).start()
 
@@ -43,6 +52,7 @@ def sift_stream(
     checkpoint: str,
     order_by: str | None = None,
     spread_by: list[str] | None = None,
+    fold_every: int = 0,
     **options,
 ) -> StreamingQuery:
     """The main job: drop requests to listed hosts, count the rest into the state, archive their lines.
@@ -55,7 +65,7 @@ def sift_stream(
         listing = state.read_listing(batch.sparkSession, state_root)
         kept = lookup.drop_listed(batch, listing, spread_by=spread_by).persist()
         try:
-            state.put_counts(counts.count_by(kept), state_root, batch_id)
+            _add_counts(kept, "host", state_root, batch_id, fold_every)
             lines = ordinal.with_ordinal(kept, order_by, ordinal="seq") if order_by else kept
             lines.write.mode("overwrite").parquet(f"{archive_root}/batch={batch_id}")
         finally:

@@ -140,3 +140,13 @@ def test_only_stated_columns_come_out(spark):
     assert parse_requests(df).columns == [
         "host", "url", "action_type", "has_username", "has_password", "fields", "request_parameters",
     ]
+
+
+def test_the_raw_text_cannot_be_kept(spark):
+    with pytest.raises(ValueError):
+        parse_requests(spark.createDataFrame([(GET,)], "text string"), keep=("text",))
+
+
+def test_two_parsed_tables_in_one_plan(spark):
+    a, b = (parse_requests(spark.createDataFrame([(t,)], "text string")) for t in (GET, POST))
+    assert a.union(b).count() == 2

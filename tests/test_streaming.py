@@ -47,6 +47,17 @@ def test_running_counts_over_batches_and_restart(spark, source):
     assert run() == {"a": 3, "b": 1, "c": 2}
 
 
+def test_counts_are_folded_every_so_many_batches(spark, source):
+    import os
+
+    for _ in range(5):
+        source.add("a", "b")
+    root = f"{source.root}/state"
+    jobs.count_into_state(source.stream(), root, f"{source.root}/cp", fold_every=2).awaitTermination()
+    assert sorted(os.listdir(f"{root}/counts")) == ["base=3", "batch=4"]
+    assert read_counts(spark, root) == {"a": 5, "b": 5}
+
+
 def test_replayed_micro_batch_counts_once(spark, source):
     import os
 
