@@ -33,20 +33,22 @@ def _trim(s: Column) -> Column:
     return F.when(s.contains("\t") | s.contains("\f"), F.btrim(s, F.lit(_WHITE))).otherwise(F.trim(s))
 
 
-def _body(text: Column) -> Column:
-    """The text with uniform line ends; one trailing line end adds no empty line."""
+def body(text: Column) -> Column:
+    """The text with uniform line ends and without the last one, which adds no line."""
     uniform = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    body = F.when(text.contains("\r"), uniform).otherwise(text)
-    return F.when(body.endswith("\n"), F.substr(body, F.lit(1), F.length(body) - 1)).otherwise(body)
+    uniform = F.when(text.contains("\r"), uniform).otherwise(text)
+    return F.when(
+        text.endswith("\n") | text.endswith("\r"), F.substr(uniform, F.lit(1), F.length(uniform) - 1)
+    ).otherwise(uniform)
 
 
-def lines(text: Column) -> Column:
-    """Trimmed lines."""
-    return F.transform(F.split(_body(text), "\n"), _trim)
+def lines(text_body: Column) -> Column:
+    """Trimmed lines of a :func:`body`."""
+    return F.transform(F.split(text_body, "\n"), _trim)
 
 
-def last_line(text: Column) -> Column:
-    return _trim(F.substring_index(_body(text), "\n", -1))
+def last_line(text_body: Column) -> Column:
+    return F.substring_index(text_body, "\n", -1)
 
 
 def host(text: Column) -> Column:
@@ -67,12 +69,12 @@ def has_broken_request_line(text: Column) -> Column:
     return text.rlike(BROKEN_REQUEST_LINE)
 
 
-def payload_entries(text: Column) -> Column:
-    """Entries of the ``data`` member of the JSON on the last line, names lowercased; null if broken.
+def payload_entries(line: Column) -> Column:
+    """Entries of the ``data`` member of a line of JSON, names lowercased; null if the line is broken.
 
     ``data`` may be an object or a text that holds one.
     """
-    payload = F.replace(last_line(text), F.lit(PAIR_SEP), F.lit(":"))
+    payload = F.replace(line, F.lit(PAIR_SEP), F.lit(":"))
     options = {"allowUnquotedFieldNames": "true"}
     data = F.from_json(payload, "data string", options)["data"]
     return lower_keys(F.map_entries(F.from_json(data, "map<string,string>", options)))

@@ -35,9 +35,10 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
 
     return {
         "method": request.method(source),
-        "payload": F.when(is_get, request.payload_entries(source)).otherwise(_no_entries()),
+        "body": request.body(source),
+        "payload": F.when(is_get, request.payload_entries(request.last_line(F.col("_body")))).otherwise(_no_entries()),
         "bad": is_blank(source) | request.has_broken_request_line(source) | F.col("_payload").isNull(),
-        "lines": F.when(~is_get, request.lines(source)),
+        "lines": F.when(~is_get, request.lines(F.col("_body"))),
         "host": request.host(source).alias("host"),
         "raw_url": request.url(source).alias("_url"),
         "raw_fields": F.when(is_get, F.col("_payload"))
@@ -58,12 +59,13 @@ def _parser(text: str) -> dict[str, Column]:
 
 
 def classify(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_method``, ``_payload`` and the flag ``_bad`` for texts that are no request.
+    """Add ``_method``, ``_body``, ``_payload`` and the flag ``_bad`` for texts that are no request.
 
     Bad are: empty or unreadable texts, a request line without a target, a GET whose payload is not JSON.
     """
     x = _parser(text)
-    return df.withColumn("_method", x["method"]).withColumn("_payload", x["payload"]).withColumn("_bad", x["bad"])
+    df = df.withColumns({"_method": x["method"], "_body": x["body"]})
+    return df.withColumn("_payload", x["payload"]).withColumn("_bad", x["bad"])
 
 
 def observe_bad(df: DataFrame, observation: Observation | str | None) -> DataFrame:
