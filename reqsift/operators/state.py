@@ -8,6 +8,8 @@ rather than that of the whole state. Directories without ``_SUCCESS`` are unfini
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,14 +52,13 @@ def _parts(spark: SparkSession, log: str, through: int | None = None) -> tuple[l
 def _rows(spark: SparkSession, log: str, schema: str, through: int | None = None) -> DataFrame:
     """All rows of a log with the number of their ``batch`` (-1 for the base)."""
     bases, batches = _parts(spark, log, through)
-    out = spark.createDataFrame([], schema + ", batch bigint")
-    for n in bases:
-        out = spark.read.schema(schema).parquet(f"{log}/base={n}").withColumn("batch", F.lit(-1).cast("long"))
+    tables = [
+        spark.read.schema(schema).parquet(f"{log}/base={n}").withColumn("batch", F.lit(-1).cast("long")) for n in bases
+    ]
     if batches:
         reader = spark.read.schema(schema + ", batch bigint").option("basePath", log)
-        new = reader.parquet(*[f"{log}/batch={n}" for n in batches])
-        out = out.unionByName(new) if bases else new
-    return out
+        tables.append(reader.parquet(*[f"{log}/batch={n}" for n in batches]))
+    return reduce(DataFrame.unionByName, tables) if tables else spark.createDataFrame([], schema + ", batch bigint")
 
 
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
@@ -87,6 +88,16 @@ def read_state(spark: SparkSession, root: str, through: int | None = None) -> Da
     )
 
 
+def state_keys(table: DataFrame, key: str = "host") -> DataFrame:
+    """All keys, each once, in order."""
+    return table.select(key).distinct().orderBy(key)
+
+
+def state_get(table: DataFrame, host: str, key: str = "host") -> DataFrame:
+    """The row of one key; for many keys use ``lookup.enrich_with_state``."""
+    return table.filter(F.col(key) == F.lit(host))
+
+
 def fold(
     spark: SparkSession, root: str, logs: tuple[str, ...] = ("counts", "listing"), keep_history: bool = False
 ) -> None:

@@ -130,15 +130,14 @@ def stream_source_counts(spark, folder):
 
 @query
 def state_keys(spark, folder):
-    return _host_state(spark, folder).select("host").distinct().orderBy("host")
+    return state.state_keys(_host_state(spark, folder))
 
 
 @query
 def state_lookup(spark, folder):
-    """Point read of the key that sorts first: a filter that reaches the scan."""
-    requests = _requests(spark, folder)
-    first = requests.agg(F.min("host")).first()[0]
-    return _with_status(counts.count_by(filters.key_equals(requests, "host", first)))
+    """Point read of the key that sorts first; the filter is pushed below the counting."""
+    first = _requests(spark, folder).agg(F.min("host")).first()[0]
+    return state.state_get(_host_state(spark, folder), first)
 
 
 # --- scalar functions -------------------------------------------------------------------------------
