@@ -23,6 +23,8 @@ def windowed_distinct(df: DataFrame, ts: str, duration: str, key: str, *values:
     On a stream with a watermark on ``ts`` the state of closed windows is dropped.
     """
     cols = [key, *values]
-    if df.isStreaming:
-        return with_window(df, ts, duration).select(ts, "window_start", *cols).dropDuplicates(["window_start", *cols]).drop(ts)
-    return with_window(df, ts, duration).select("window_start", *cols).distinct()
+    if not df.isStreaming:
+        return with_window(df, ts, duration).select("window_start", *cols).distinct()
+    # Only the window itself carries the watermark; its start alone would keep all state for ever.
+    windowed = df.select(F.window(F.col(ts), duration).alias("window"), *cols)
+    return windowed.dropDuplicates(["window", *cols]).select(F.col("window.start").alias("window_start"), *cols)

@@ -108,6 +108,19 @@ def test_windowed_distinct_stream_equals_batch(spark, source):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_state_of_closed_windows_is_dropped(spark, source):
+    for n in range(5):
+        source.add(*[f"h{i}" for i in range(20)], start=n * 100_000)
+    query = jobs.windowed_distinct_to(
+        source.stream(), "ts", "10 seconds", "1 minute", "host",
+        path=f"{source.root}/out", checkpoint=f"{source.root}/cp",
+    )
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert spark.read.parquet(f"{source.root}/out").count() == 100
+    assert max(held) <= 40
+
+
 def test_fan_out_gives_the_same_batches_to_all_steps(spark, source):
     source.add("a", "b")
     source.add("c")
