@@ -118,7 +118,7 @@ ORACLE: dict[str, str] = {
     "zip_listing": _with(
         TEXTS, "SELECT DISTINCT day, 'part-' || chunk || '.zip' AS name FROM texts WHERE day > 20240101"
     ),
-    "zip_entries": _with(TEXTS, "SELECT day, entry, text FROM texts"),
+    "zip_entries": _with(TEXTS, "SELECT day, entry, length(text) AS n_chars, md5(text) AS text_md5 FROM texts"),
     "listing_sorted": _with(
         TEXTS, "SELECT DISTINCT true AS is_dir, CAST(day AS VARCHAR) AS name FROM texts ORDER BY name"
     ),

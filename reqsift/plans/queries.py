@@ -100,9 +100,12 @@ def zip_listing(spark, folder):
 
 @query
 def zip_entries(spark, folder):
+    """Every entry, its raw text told by length and digest: raw texts leave only through the parser."""
     root = _archive_root(spark, folder)
     entries = archives.explode_archives(archives.list_files(spark, root))
-    return archives.with_day(entries, root).select("day", "entry", "text")
+    return archives.with_day(entries, root).select(
+        "day", "entry", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5")
+    )
 
 
 @query
