@@ -41,13 +41,14 @@ _WORDS = f"(?={_FIRST}{_SECOND})(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WO
 _QUERY_PARAM = rf"(?i)({_WORDS}[^\s=&;#?/]*+=)[^&;#\s]*"
 _USERINFO = r"//[^/?#\s]*@"
 # No credential can be written inside a value without one of these characters ("http:" aside),
-_MARK = "[=%@]|(?<!https?):"
+_MARK = r"[=%@>,;|\s]|(?<!https?):"
 # and without a sensitive word or userinfo.
 _SUSPECT = f"(?i){_WORDS}|{_USERINFO}"
+_NAME_END = r"[^\s\"'\\=:&;,%#?/<>(){}|\[\]]*+(?:[\"'\\]|%(?:25)*(?:22|27|5c))*+"
 # A sensitive word, the rest of its name, quotes, and a separator that introduces a value.
-_ASSIGNMENT = (
-    rf"(?i){_WORDS}[^\s\"'\\=:&;,%#?/<>(){{}}|\[\]]*+(?:[\"'\\]|%(?:25)*(?:22|27|5c))*+\s*+(?:\[\[:\]\]|[:=]|%(?:25)*3[ad])\s*+(?!\[redacted\])"
-)
+_ASSIGNMENT = rf"(?i){_WORDS}{_NAME_END}\s*+(?:\[\[:\]\]|[:=>]|%(?:25)*3[ade])\s*+(?!\[redacted\])"
+# After a word for a password, a blank, comma or bar is enough to take what follows for one.
+_MENTION = rf"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|credential){_NAME_END}[\s,;|]"
 
 
 def is_sensitive(name: Column, extra: Iterable[str] = ()) -> Column:
@@ -94,7 +95,10 @@ def scrub(value: Column) -> Column:
     """Redact credentials written inside a value: URLs, query strings, JSON, nested pairs."""
 
     def clean(raw: Column) -> Column:
-        return let(_plain(raw), lambda out: F.when(out.rlike(_ASSIGNMENT), F.lit(REDACTED)).otherwise(out))
+        return let(
+            _plain(raw),
+            lambda out: F.when(out.rlike(_ASSIGNMENT) | out.rlike(_MENTION), F.lit(REDACTED)).otherwise(out),
+        )
 
     return _if_suspect(value, clean)
 

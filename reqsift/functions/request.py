@@ -16,7 +16,7 @@ from .text import PAIR_SEP, after_first
 REQUEST_LINE = r"(?m)^(GET|POST)[ \t]+(\S+)"
 HOST_LINE = r"(?im)^[ \t]*host[ \t]*:[ \t]*(?:[^@\s]*@)?(\[[^\]\s]*\]|[^:\s]*)"
 # A header name has none of these; lines such as form bodies or JSON are not headers.
-NOT_IN_HEADER_NAME = " \t=&?{}[]\"'"
+NOT_IN_HEADER_NAME = " \t=&?{}[]<>\"'"
 BROKEN_REQUEST_LINE = r"^(?:GET|POST)(?![ \t]+\S)"
 URL_HOST = r"^[a-z]+://(?:[^/?#\s]*@)?([^/:?#]+)"
 
@@ -47,6 +47,23 @@ def lines(text_body: Column) -> Column:
     return F.transform(F.split(text_body, "\n"), _trim)
 
 
+def is_multipart(text_body: Column) -> Column:
+    return text_body.rlike(r"(?i)form-data")
+
+
+def header_lines(text_body: Column, all_lines: Column, multipart: Column) -> Column:
+    """The lines that may be headers: those of a multipart form above the first empty line, else all.
+
+    The values of a multipart form stand on lines of their own and must not be taken for headers.
+    """
+    return F.when(multipart, lines(F.substring_index(text_body, "\n\n", 1))).otherwise(all_lines)
+
+
+def multipart_has_field(text_body: Column, names: Iterable[str]) -> Column:
+    """True when a multipart form has a field with one of ``names``."""
+    return text_body.rlike(rf"(?i)\bname=[\"']?(?:{'|'.join(names)})[\"'\s;]")
+
+
 def last_line(text_body: Column) -> Column:
     return F.substring_index(text_body, "\n", -1)
 

@@ -31,18 +31,23 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
     named = F.col("_named")
 
     def carries(names: tuple[str, ...]) -> Column:
-        return redact.names_any(named, names) | request.url_has_param(F.col("_url"), names)
+        return (
+            redact.names_any(named, names)
+            | request.url_has_param(F.col("_url"), names)
+            | (F.col("_multipart") & request.multipart_has_field(F.col("_body"), names))
+        )
 
     return {
         "method": request.method(source),
         "body": request.body(source),
         "payload": F.when(is_get, request.payload_entries(request.last_line(F.col("_body")))).otherwise(_no_entries()),
         "bad": is_blank(source) | request.has_broken_request_line(source) | F.col("_payload").isNull(),
+        "multipart": ~is_get & request.is_multipart(F.col("_body")),
         "lines": F.when(~is_get, request.lines(F.col("_body"))),
         "host": request.host(source).alias("host"),
         "raw_url": request.url(source).alias("_url"),
         "raw_fields": F.when(is_get, F.col("_payload"))
-        .otherwise(request.header_entries(F.col("_lines")))
+        .otherwise(request.header_entries(request.header_lines(F.col("_body"), F.col("_lines"), F.col("_multipart"))))
         .alias("_fields"),
         "raw_form": request.form_entries(F.col("_lines")).alias("_form"),
         "named": F.concat("_fields", F.coalesce("_form", _no_entries())),
@@ -98,8 +103,17 @@ def parse_requests(
     x = _parser(text)
     good = observe_bad(classify(df, text), observation).filter(~F.col("_bad"))
     raw = (
-        good.withColumn("_lines", x["lines"])
-        .select(*keep, x["host"], x["raw_url"], F.col("_method").alias("action_type"), x["raw_fields"], x["raw_form"])
+        good.withColumns({"_lines": x["lines"], "_multipart": x["multipart"]})
+        .select(
+            *keep,
+            "_body",
+            "_multipart",
+            x["host"],
+            x["raw_url"],
+            F.col("_method").alias("action_type"),
+            x["raw_fields"],
+            x["raw_form"],
+        )
         .withColumn("_named", x["named"])
     )
     return raw.select(

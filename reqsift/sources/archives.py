@@ -67,14 +67,12 @@ def stream_files(spark: SparkSession, root: str, glob: str = "*.zip", max_files:
     return reader.load(root)
 
 
-def scan_days(spark: SparkSession, root: str, after_day: int | None = None, glob: str = "*.zip") -> DataFrame | None:
-    """Files of the days after ``after_day``, with ``day``; older days are not even listed.
-
-    ``None`` when there is no new day.
-    """
-    days = [name for name, is_dir in list_children(spark, root) if is_dir and re.fullmatch(r"\d+", name)]
-    paths = [f"{root}/{name}" for name in days if after_day is None or int(name) > after_day]
-    return with_day(list_files(spark, paths, glob), root) if paths else None
+def scan_days(spark: SparkSession, root: str, after_day: int | None = None, glob: str = "*.zip") -> DataFrame:
+    """Files of the days after ``after_day``, with ``day``; older days are not even listed."""
+    names = [name for name, is_dir in list_children(spark, root) if is_dir and re.fullmatch(r"\d+", name)]
+    paths = [f"{root}/{name}" for name in names if after_day is None or int(name) > after_day]
+    files = list_files(spark, paths, glob) if paths else spark.createDataFrame([], FILE_SCHEMA)
+    return with_day(files, root)
 
 
 def with_day(files: DataFrame, root: str) -> DataFrame:

@@ -48,7 +48,7 @@ def test_scan_days(spark, root):
     assert archives.new_days(spark, root) == [20240101, 20240102, 20240103, 20240104]
     after = archives.scan_days(spark, root, 20240101)
     assert sorted(r.day for r in after.select("day").collect()) == [20240102, 20240103]
-    assert archives.scan_days(spark, root, 20240104) is None
+    assert archives.scan_days(spark, root, 20240104).collect() == []
 
 
 def test_entries(spark, root):

@@ -150,3 +150,11 @@ def test_the_raw_text_cannot_be_kept(spark):
 def test_two_parsed_tables_in_one_plan(spark):
     a, b = (parse_requests(spark.createDataFrame([(t,)], "text string")) for t in (GET, POST))
     assert a.union(b).count() == 2
+
+
+def test_multipart_keeps_headers_and_pairs_but_no_value_lines(spark):
+    head = "POST /x HTTP/1.1\nHost: a\nContent-Type: multipart/form-data; boundary=b\n"
+    r = one(spark, head + '\n--b\nContent-Disposition: form-data; name="k"\n\nv: 1\n--b--\ncity[[:]]Oslo')
+    assert r.fields == {"content-type": "multipart/form-data; boundary=b"}
+    assert [tuple(p) for p in r.request_parameters] == [("city", "Oslo")]
+    assert one(spark, head + "A: 1").fields == {"content-type": "multipart/form-data; boundary=b", "a": "1"}

@@ -40,6 +40,20 @@ CARRIERS = [
     'GET /x HTTP/1.1\nHost: h\n{{"data":{{"f":[{{"{n}":"{s}"}}]}}}}',
     'GET /x HTTP/1.1\nHost: h\nCookie: {n}={s}\n{{"data":{{}}}}',
 ]
+MULTIPART = (
+    'POST /x HTTP/1.1\nHost: h\nContent-Type: multipart/form-data; boundary=b\n\n--b\n'
+    'Content-Disposition: form-data; name="{n}"\n\nx:{s}\n--b--'
+)
+CARRIERS += [
+    MULTIPART,
+    "POST /x HTTP/1.1\nHost: h\nxml[[:]]<a><{n}>{s}</{n}></a>",
+    "POST /x HTTP/1.1\nHost: h\n<ns:{n}>{s}</ns:{n}>",
+    "POST /x?d=%3C{n}%3E{s} HTTP/1.1\nHost: h",
+]
+PASSWORD_MENTIONS = [
+    f"POST /x HTTP/1.1\nHost: h\nnote[[:]]{text}"
+    for text in (f"my password {SECRET}", f'["pwd","{SECRET}"]', f"passwd|{SECRET}", f"Secret, {SECRET}")
+]
 USERINFO = [
     f"POST http://bob:{SECRET}@h/x HTTP/1.1\nHost: h\nReferer: https://bob:{SECRET}@h:80/y",
     f"POST /x?to=http://bob:{SECRET}@h/ HTTP/1.1\nHost: bob:{SECRET}@h",
@@ -50,7 +64,7 @@ USERINFO = [
 
 def planted():
     texts = [c.format(n=n, s=SECRET) for c in CARRIERS for n in NAMES]
-    return texts + USERINFO
+    return texts + PASSWORD_MENTIONS + USERINFO
 
 
 @pytest.fixture(scope="module")
@@ -137,14 +151,32 @@ def test_flags(spark):
         "POST /x?login=a&passwd=b HTTP/1.1",
         "POST /x?password= HTTP/1.1\nuser[[:]]  ",
         "POST /x HTTP/1.1\nnewpassword[[:]]a",
+        MULTIPART.format(n="password", s="x"),
+        MULTIPART.format(n="username", s="x"),
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     rows = parse_requests(df, keep=("i",)).orderBy("i").collect()
     assert [(r.has_username, r.has_password) for r in rows] == [
-        (True, False), (False, True), (True, True), (False, False), (False, False),
+        (True, False), (False, True), (True, True), (False, False), (False, False), (False, True), (True, False),
     ]
 
 
+@pytest.mark.parametrize(
+    "value, clean",
+    [
+        ("http://h/reset-password", "http://h/reset-password"),
+        ("http://h/login/password/reset?step=2", "http://h/login/password/reset?step=2"),
+        ("Mozilla/5.0 (X11; Linux) Gecko/2010, like", "Mozilla/5.0 (X11; Linux) Gecko/2010, like"),
+        ("http://h/?token=x", "http://h/?token=[redacted]"),
+        ("token: x", "[redacted]"),
+        ("password x", "[redacted]"),
+    ],
+)
+def test_scrub(spark, value, clean):
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(redact.scrub(F.col("v"))).first()[0] == clean
+
+
 def test_extra_names_only_add(spark):
     m = F.create_map(F.lit("k"), F.lit("1"), F.lit("password"), F.lit("2"), F.lit("z"), F.lit("3"))
     out = spark.range(1).select(redact.redact_map(m, extra=("K",))).first()[0]
