@@ -5,8 +5,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, rows_of
+from reqsift.plans.oracle import ORACLE
+from reqsift.plans.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,21 +22,21 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, FOLDER)
-    cursor = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    cursor = con.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
 
 
 def test_rank_order(spark, con):
-    rows = [tuple(r) for r in queries()["hosts_by_count"](spark, FOLDER).collect()]
-    assert rows == con.execute(oracle_sql()["hosts_by_count"]).fetchall()
+    rows = [tuple(r) for r in QUERIES["hosts_by_count"](spark, FOLDER).collect()]
+    assert rows == con.execute(ORACLE["hosts_by_count"]).fetchall()
 
 
 def test_entry(spark):
@@ -45,4 +47,4 @@ def test_entry(spark):
 def test_no_planted_secret_in_the_results(spark):
     names = ["archived_requests", "request_url", "redacted_requests", "framed_lines", "archive_rows", "payload_fields"]
     for name in names + ["form_params", "headers", "exposure_by_host"]:
-        assert "PLANTED" not in repr(queries()[name](spark, FOLDER).collect()), name
+        assert "PLANTED" not in repr(QUERIES[name](spark, FOLDER).collect()), name
