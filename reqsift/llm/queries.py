@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_dir
+from . import exact, quality, secrets
 from .minhash import near_duplicates
 from .store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op4_quality_rules": quality.SQL, "op9_secret_scan": secrets.SQL}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,3 +23,23 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=4)
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    index = exact.new_index(spark, documents, scratch_dir(spark, "digest-index"))
+    return exact.exact_duplicates(documents, index)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = quality.quality(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    ledger = secrets.BlobLedger(spark, scratch_dir(spark, "blob-ledger"))
+    return secrets.digest_columns(secrets.scan_documents(table(spark, folder, "documents"), ledger))
