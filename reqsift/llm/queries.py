@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import exact, quality, secrets
+from . import exact, huffman, packing, quality, secrets
 from .minhash import near_duplicates
 from .store import table
 
@@ -43,3 +43,15 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     ledger = secrets.BlobLedger(spark, scratch_dir(spark, "blob-ledger"))
     return secrets.digest_columns(secrets.scan_documents(table(spark, folder, "documents"), ledger))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, folder, "documents")))
+
+
+@query
+def op10_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "token-file")
+    huffman.write_token_file(table(spark, folder, "documents"), path)
+    return huffman.read_token_file(spark, path)
