@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import exact, huffman, packing, quality, secrets
+from . import exact, huffman, packing, quality, secrets, urlrules, warc
 from .minhash import near_duplicates
 from .store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op4_quality_rules": quality.SQL, "op9_secret_scan": secrets.SQL}
+ORACLE: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL, "op9_secret_scan": secrets.SQL}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -55,3 +56,21 @@ def op10_token_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "token-file")
     huffman.write_token_file(table(spark, folder, "documents"), path)
     return huffman.read_token_file(spark, path)
+
+
+@query
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    # A page's path names the document it shows; a page is bad if that document's label is.
+    shown = F.regexp_extract("url", r"^[^:]*://[^/]*/[a-z]+/([0-9]+)", 1).try_cast("bigint")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, folder, "labels").select("doc_id", bad.alias("bad"))
+    labelled = pages.withColumn("doc_id", shown).join(labels, "doc_id").select("url", "bad")
+    return urlrules.filter_urls(pages, labelled)
+
+
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.archived_pages(spark, path).withColumnRenamed("id", "page_id")
