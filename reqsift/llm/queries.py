@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import exact, huffman, packing, quality, secrets, urlrules, warc
+from . import exact, huffman, licences, packing, pieces, quality, secrets, urlrules, warc
 from .minhash import near_duplicates
 from .store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op4_quality_rules": quality.SQL, "op6_warc": warc.SQL, "op9_secret_scan": secrets.SQL}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": exact.SQL,
+    "op4_quality_rules": quality.SQL,
+    "op6_warc": warc.SQL,
+    "op7_licence_scan": licences.SQL,
+    "op9_secret_scan": secrets.SQL,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -74,3 +80,24 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path)
     return warc.archived_pages(spark, path).withColumnRenamed("id", "page_id")
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text, and the digest of what they decode to again."""
+    documents = table(spark, folder, "documents")
+    encoded = pieces.encode(documents)
+    both = pieces.decode(encoded)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents have no paths: they are filed as source/lang/shard/name, and one that opens with a licence line is its
+    directory's licence file."""
+    documents = table(spark, folder, "documents")
+    head = F.split(F.coalesce("text", F.lit("")), "\n")[0].rlike(licences.TRIGGER)
+    name = F.concat(F.when(head, "LICENSE.").otherwise(""), F.col("doc_id").cast("string"))
+    shard = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", "source", "lang", shard, name)
+    return licences.scan_licences(documents.withColumn("path", path))
