@@ -18,7 +18,21 @@ import public_tokenizers
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _AFTER = r"(?=[ \n.,;:!?|%&*#$]|\Z)"
 #: Bytes of remembered ids and pieces after which a worker starts afresh.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 192 << 20
+
+
+class _Known(dict):
+    """Ids by piece; what is asked for in vain is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: set[str] = set()
+        self.misses = 0
+
+    def __missing__(self, piece: str) -> bytes:
+        self.misses += 1
+        self.new.add(piece)
+        return b""
 
 
 class PieceEncoder:
@@ -46,7 +60,7 @@ class PieceEncoder:
             self.pieces = re.compile(rf"[ \n]?[{_LATIN}]+{_AFTER}|{rest}").findall
             self.plain = re.compile(rf" [{_LATIN}]+").fullmatch
             self.weight = np.array([len(n) for n in names], dtype=np.int64)  # a character per byte
-        self.known: dict[str, bytes] = {}
+        self.known = _Known()
         self.size = 0
 
     def _learn(self, pieces: list[str]) -> None:
@@ -72,14 +86,19 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.size > CACHE_BYTES:
-            self.known, self.size = {}, 0
-        parts = [self.pieces(t) for t in texts]
-        new = set().union(*parts)
-        new.difference_update(self.known)
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+            self.known, self.size = _Known(), 0
+        known, get, out, again = self.known, self.known.__getitem__, [], []
+        for i, text in enumerate(texts):
+            parts, before = self.pieces(text), known.misses
+            out.append(b"".join(map(get, parts)))
+            if known.misses > before:
+                again.append((i, parts))
+        if again:
+            self._learn(list(known.new))
+            known.new.clear()
+            for i, parts in again:
+                out[i] = b"".join(map(get, parts))
+        return out
 
 
 @lru_cache(maxsize=2)
