@@ -68,10 +68,10 @@ def keep_first(df: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_c
     decided = stored(exact_duplicates(df, index, id_col, text_col), "exact-decisions")
     keep = decided.filter("kept").groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest"))
     keep = keep.agg(F.count("*").alias("_rows"))
-    rows = df.withColumn("_sha", text_digest(text_col))
-    rows = rows.join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")))
+    rows = df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own"), text_digest(text_col).alias("_sha"))
+    rows = rows.join(keep, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")))
     once, often = rows.filter("_rows = 1"), rows.filter("_rows > 1").dropDuplicates(["_id", "_sha"])
-    return once.unionByName(often).select(*df.columns)
+    return once.unionByName(often).select("_row.*")
 
 
 def new_index(spark: SparkSession, df: DataFrame, path: str, id_col: str = "doc_id") -> DigestIndex:

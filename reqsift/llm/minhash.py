@@ -251,3 +251,14 @@ def near_duplicates(
     return out.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df``, with all their columns, that are the smallest id of their group; repeated ids all stay.
+
+    Only the ids to drop are joined, so the texts need not move while those are few.
+    """
+    groups = near_duplicates(df.select(id_col, text_col), id_col, text_col, width, percent)
+    dropped = stored(groups.filter("NOT kept").select(F.col(id_col).alias("_dropped")).distinct(), "near-dropped")
+    rows = df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own"))
+    return rows.join(dropped, F.col("_own").eqNullSafe(F.col("_dropped")), "left_anti").select("_row.*")

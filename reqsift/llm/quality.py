@@ -26,6 +26,9 @@ THRESHOLDS = (
     ("duplicate_lines", "n_dup_lines / n_lines", None, 0.5),
     ("shouted_words", "n_upper_words / n_words", None, 0.5),
 )
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_upper_words",
+)
 #: The first rules decide ``base_failed``, all decide ``kept``.
 BASE_RULES = 2
 
@@ -73,7 +76,10 @@ def measures(df: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
             "n_upper_words": count(F.size(F.filter("_w", upper))),
         }
     )
-    return out.drop("_t", "_w", "_l", "_h", "_g", "_s")
+    # Generating one row of one keeps Catalyst from copying these expressions into the filters and columns of a caller.
+    rest = [c for c in df.columns if c not in MEASURES]
+    out = out.select(*rest, F.explode_outer(F.array(F.struct(*MEASURES))).alias("_m"))
+    return out.select(*rest, "_m.*")
 
 
 def broken(rules=THRESHOLDS) -> Column:

@@ -32,6 +32,8 @@ RULES = (
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@", 0, 0),
 )
+#: What stands for a secret in redacted texts.
+MARK = "[SECRET]"
 BASE_KINDS = ("assign", "access", "hex")
 
 
@@ -155,15 +157,13 @@ def digest_columns(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(
-    df: DataFrame, ledger: BlobLedger, text_col: str = "text", rules: tuple = RULES, mark: str = "[SECRET]"
+    df: DataFrame, ledger: BlobLedger, text_col: str = "text", rules: tuple = RULES, mark: str = MARK
 ) -> DataFrame:
     """``df`` with every span of its texts replaced by ``mark``; overlapping spans become one. All rows and columns stay."""
     ledger.update(df, text_col, rules)
-    joined = df.withColumn("_blob", blob_id(text_col)).join(
-        findings_per_blob(ledger, rules).withColumnRenamed("blob", "_b").withColumnRenamed("found", "_f"),
-        F.col("_blob") == F.col("_b"),
-        "left",
-    )
+    rows = df.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"), blob_id(text_col).alias("_blob"))
+    found = findings_per_blob(ledger, rules).select(F.col("blob").alias("_b"), F.col("found").alias("_f"))
+    joined = rows.join(found, F.col("_blob") == F.col("_b"), "left")
     merged = F.expr(
         """aggregate(_f, array(named_struct('start', -1L, 'end', 0L)), (a, s) ->
             if(s.start < element_at(a, -1).end,
@@ -171,12 +171,13 @@ def redact(
                    'start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, s.end)))),
                concat(a, array(named_struct('start', s.start, 'end', s.end)))))"""
     )
-    text = F.col(text_col)
+    text = F.col("_text")
     joined = joined.withColumn("_m", merged)
     stop = lambda i: F.coalesce(F.get("_m", i + 1)["start"], F.length(text).cast("long"))
     kept = F.transform("_m", lambda m, i: text.substr((m["end"] + 1).cast("int"), (stop(i) - m["end"]).cast("int")))
     cleaned = F.when(F.col("_f").isNull(), text).otherwise(F.array_join(kept, mark))
-    return joined.withColumn(text_col, cleaned).select(*df.columns)
+    cleaned = cleaned.cast(df.schema[text_col].dataType)
+    return joined.select(F.col("_row").withField(f"`{text_col}`", cleaned).alias("_row")).select("_row.*")
 
 
 def _sql(rules: tuple = RULES) -> str:
