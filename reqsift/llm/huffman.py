@@ -146,9 +146,9 @@ def token_ids(df: DataFrame, vocabulary: str, id_col: str, text_col: str, end_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary).encode, np.uint16(end_id).astype("<u2").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = [x + end for x in encode(part.column(1).to_pylist())]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                ids = [x.tobytes() + end for x in encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, type=pa.binary())], names=[id_col, "ids"])
 
     texts = df.select(F.col(id_col), text_or_empty(text_col).cast("string").alias("text"))

@@ -38,11 +38,11 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 keys, numbers, starts, lengths, crcs, kept = [], [], [], [], [], []
-                for key, data in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
-                    ids = np.append(np.frombuffer(data, "<u2"), np.uint16(end_id))
+                for key, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                    ids = np.append(ids, np.uint16(end_id))
                     cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                     if len(ids) <= capacity:
                         cuts = [0, len(ids)]

@@ -23,11 +23,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import cuts
 from .store import text_or_empty, type_of
+from .tokens import Remembered, slices
 
 SPACE = "▁"
-#: Words and ids remembered by a worker, in bytes, and the longest word worth remembering.
-CACHE_BYTES, WORD_CHARS = 192 << 20, 64
+#: Words and ids remembered by a worker, in bytes.
+CACHE_BYTES = 192 << 20
 #: Open nodes after which the search looks for the boundary they share.
 COMMIT_EVERY = 64
 
@@ -151,26 +153,26 @@ class StreamingViterbi:
             if at + 1 not in nodes or unigram and reached > nodes[at + 1][0]:
                 nodes[at + 1] = (reached, -2, at)
 
-    def _path(self, node: int) -> list[int]:
-        """The ids on the way to ``node``, which becomes the start."""
-        parts = []
-        place = node
-        while place > 0:
-            _, piece, before = self.nodes[place]
-            parts.append((piece, before))
-            place = before
+    def _ids(self, node: int) -> list[int]:
+        """The ids on the way to ``node``."""
+        model, nodes, parts = self.model, self.nodes, []
+        while node > 0:
+            _, piece, node = nodes[node]
+            parts.append(piece if piece != -2 else -2 - node)
         ids: list[int] = []
-        for piece, before in reversed(parts):
-            if piece != -2:
+        for piece in reversed(parts):
+            if piece >= 0:
                 ids.append(piece)
-                self.after_unknown = False
-                continue
-            if self.model.bytes:
-                ids += [self.model.bytes[b] for b in self.text[before].encode()]
+            elif model.bytes:
+                ids += [model.bytes[b] for b in self.text[-2 - piece].encode()]
             elif not self.after_unknown:  # a run of unknown characters is one id
-                ids.append(self.model.unknown)
-            self.after_unknown = True
-        last = self.nodes[node]
+                ids.append(model.unknown)
+            self.after_unknown = piece < 0
+        return ids
+
+    def _commit(self, node: int) -> list[int]:
+        """The ids on the way to ``node``, which becomes the start."""
+        ids, last = self._ids(node), self.nodes[node]
         self.nodes = {k - node: (s - last[0], p, b - node) for k, (s, p, b) in self.nodes.items() if k > node}
         # The piece before the start still decides which pieces may follow it.
         self.nodes[0] = (0.0, last[1], -1)
@@ -194,7 +196,7 @@ class StreamingViterbi:
             self.at += 1
             if self.at >= COMMIT_EVERY and self.at % COMMIT_EVERY == 0 and (node := self._shared()) > 0:
                 stop, safe = stop - node, safe - node
-                ids += self._path(node)
+                ids += self._commit(node)
         return ids
 
     def feed(self, text: str) -> list[int]:
@@ -203,44 +205,53 @@ class StreamingViterbi:
 
     def finish(self) -> list[int]:
         ids = self._run(len(self.text), len(self.text))
-        return ids + self._path(len(self.text))
+        return ids + self._ids(len(self.text))
 
 
 class PieceCodec:
     def __init__(self, path: str):
         with open(path, "rb") as file:
-            self.model = Model(file.read())
-        self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        self.known: dict[str, bytes] = {}
-        self.size = 0
+            self.model = model = Model(file.read())
+        # A line end that is in no piece takes part in no merge: it separates as spaces do.
+        self.separators = b" \n" if not any("\n" in p for p in model.ids) else b" "
+        self.cut_at = re.compile("(?<=[^ ]) (?=[^ ])")
+        self.known = Remembered("<i4")
         spell = lambda p, k: b"" if k == _CONTROL else bytes([int(p[3:5], 16)]) if k == _BYTE else p.encode()
-        self.spelled = [spell(p, k) for p, k in zip(self.model.pieces, self.model.kinds)]
-        self.dummy_prefix = self.model.processor.normalize("a").startswith(SPACE)
-        self.spelled[self.model.unknown] = " ⁇ ".encode()
+        self.spelled = [spell(p, k) for p, k in zip(model.pieces, model.kinds)]
+        self.spelled[model.unknown] = " ⁇ ".encode()
+        self.dummy_prefix = model.processor.normalize("a").startswith(SPACE)
 
-    def _search(self, normalized: str, slice_chars: int = 4096) -> bytes:
+    def search(self, normalized: str, slice_chars: int = 4096) -> list[int]:
         search, ids = StreamingViterbi(self.model), []
         for at in range(0, len(normalized), slice_chars):
             ids += search.feed(normalized[at : at + slice_chars])
-        return np.array(ids + search.finish(), dtype="<i4").tobytes()
+        return ids + search.finish()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit values; those of the library's encoder."""
-        normalized = self.model.processor.normalize(text)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; those of the library's encoder."""
+        normalized = self.model.processor.normalize(texts) if texts else []
         if not self.model.by_word or self.model.bytes is None:
-            return self._search(normalized)
-        if self.size > CACHE_BYTES:
-            self.known, self.size = {}, 0
-        words, known = self.words(normalized), self.known
-        for word in set(words).difference(known):
-            if len(word) <= WORD_CHARS:
-                known[word] = self._search(word)
-                self.size += 160 + len(word) + len(known[word])
-        return b"".join([known[w] if w in known else self._search(w) for w in words])
+            return [np.array(self.search(t), dtype="<i4") for t in normalized]
+        if self.known.bytes > CACHE_BYTES:
+            self.known = Remembered("<i4")
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        for group in slices([t.replace(SPACE, " ") for t in normalized], self.cut_at):
+            words = cuts.cut([part for _, part in group], self.separators, keep=True, close=False)
+            rows = self.known.rows
+            if new := [w for w in words.distinct if w not in rows]:
+                found = [self.search(w.decode().replace(" ", SPACE)) for w in new]
+                flat = np.array([i for ids in found for i in ids], dtype="<i4")
+                self.known.add(new, flat, np.array([len(ids) for ids in found]))
+            row = np.fromiter(map(rows.__getitem__, words.distinct), np.int64, len(words.distinct))
+            ids, ends = self.known.gather(row[words.which])
+            last = np.append(0, ends)[np.cumsum(words.counts)].tolist()
+            for (i, _), a, b in zip(group, [0, *last[:-1]], last):
+                parts[i].append(ids[a:b])
+        return [p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, control ids nothing."""
-        text = b"".join([self.spelled[i] for i in ids]).decode(errors="replace").replace(SPACE, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode(errors="replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") and self.dummy_prefix else text
 
 
@@ -256,9 +267,9 @@ def encode(df: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                ids = [np.frombuffer(one.encode(t), "<i4") for t in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                ids = one.encode(part.column(1).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[id_col, "ids"])

@@ -10,34 +10,77 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 
+from . import cuts
+
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_AFTER = r"(?=[ \n.,;:!?|%&*#$]|\Z)"
 #: Bytes of remembered ids and pieces after which a worker starts afresh.
 CACHE_BYTES = 192 << 20
 
 
-class _Known(dict):
-    """Ids by piece; what is asked for in vain is noted in ``new``."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: set[str] = set()
-        self.misses = 0
-
-    def __missing__(self, piece: str) -> bytes:
-        self.misses += 1
-        self.new.add(piece)
-        return b""
+class Remembered:
+    """Ids by piece, in one array: ``find`` gives the row of each piece, ``gather`` the ids of rows, one after another."""
+
+    def __init__(self, dtype: str):
+        self.rows: dict[bytes, int] = {}
+        self.dtype, self.bytes = dtype, 0
+        self.ids, self.start, self.size = np.empty(1 << 16, dtype), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
+        self.used = 0
+
+    def add(self, pieces: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """``ids`` holds ``sizes[i]`` ids for each new piece in turn."""
+        first, count = len(self.rows), len(pieces)
+        while len(self.ids) < self.used + len(ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        while len(self.start) < first + count:
+            self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.size[first : first + count] = sizes
+        self.start[first : first + count] = self.used + np.cumsum(sizes) - sizes
+        self.rows.update(zip(pieces, range(first, first + count)))
+        self.used += len(ids)
+        self.bytes += 160 * count + sum(map(len, pieces)) + ids.nbytes
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``rows``, and where those of each row end."""
+        size = self.size[rows].astype(np.int64)
+        ends = np.cumsum(size)
+        shift = np.repeat(self.start[rows] - (ends - size), size)
+        return self.ids[shift + np.arange(len(shift))], ends
+
+
+def slices(texts: list[str], at: re.Pattern, limit: int = cuts.SLICE) -> Iterator[list[tuple[int, str]]]:
+    """Groups of ``(text number, stretch)`` of at most ``limit`` bytes; long texts are cut before a match of ``at``.
+
+    A stretch without a match comes whole, however long.
+    """
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        start = 0
+        while True:
+            found = at.search(text, start + limit // 4) if len(text) - start > limit // 4 else None
+            part = text[start : found.start()] if found else text[start:]
+            need = len(part.encode()) if not part.isascii() else len(part)
+            if held and size + need > limit:
+                yield held
+                held, size = [], 0
+            held.append((i, part))
+            size += need
+            if not found:
+                break
+            start = found.start()
+    if held:
+        yield held
 
 
 class PieceEncoder:
-    """Ids as little-endian uint16 bytes. ``kind`` ``byte`` cuts before a space or newline and a letter (the rest of the
-    piece keeps its own cutting), ``word`` at every space and newline, which that vocabulary drops."""
+    """Ids as 16-bit values. A byte-level vocabulary is cut before a space or newline and a letter, one with word ends at
+    every space and newline, which it drops."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,54 +94,45 @@ class PieceEncoder:
         for name, i in vocabulary.items():
             names[i] = name
         self.word = any(n.endswith("</w>") for n in names)
-        if self.word:
-            self.pieces = re.compile(rf"[{_LATIN}]+{_AFTER}|[^ \n]+").findall
-            self.plain = re.compile(rf"[{_LATIN}]+").fullmatch
-            self.weight = np.array([n.endswith("</w>") for n in names], dtype=np.int64)
-        else:
-            rest = rf"[ \n]?[^ \n]*(?:[ \n](?![{_LATIN}])[^ \n]*)*"
-            self.pieces = re.compile(rf"[ \n]?[{_LATIN}]+{_AFTER}|{rest}").findall
-            self.plain = re.compile(rf" [{_LATIN}]+").fullmatch
-            self.weight = np.array([len(n) for n in names], dtype=np.int64)  # a character per byte
-        self.known = _Known()
-        self.size = 0
-
-    def _learn(self, pieces: list[str]) -> None:
+        # What the ids of a plain word add up to: its one word end, or its bytes (a character of the name each).
+        self.weight = np.array([n.endswith("</w>") if self.word else len(n) for n in names], dtype=np.int64)
+        self.cut_at = re.compile("[ \n]" if self.word else f"[ \n](?=[{_LATIN}])")
+        self.known = Remembered("<u2")
+
+    def _learn(self, plain: list[bytes], others: list[bytes]) -> None:
         """Plain words go in as one text, as whose parts they are cut alike; their ids are told apart by what ids stand for."""
-        plain = [p for p in pieces if self.plain(p)]
         if plain:
-            joined = (" " if self.word else "").join(plain)
+            joined = (b" " if self.word else b"").join(plain).decode()
             encoding = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
             ids = np.array(encoding.ids, dtype="<u2")
             done = np.cumsum(self.weight[ids])
-            ends = np.arange(1, len(plain) + 1) if self.word else np.cumsum([len(p.encode()) for p in plain])
-            cuts = np.searchsorted(done, ends) + 1
-            if cuts[-1] != len(ids) or not np.array_equal(done[cuts - 1], ends):
+            ends = np.arange(1, len(plain) + 1) if self.word else np.cumsum([len(p) for p in plain])
+            stops = np.searchsorted(done, ends) + 1
+            if stops[-1] != len(ids) or not np.array_equal(done[stops - 1], ends):
                 raise ValueError("the vocabulary cuts words in another way")
-            data, start = ids.tobytes(), 0
-            for piece, cut in zip(plain, (cuts * 2).tolist()):
-                self.known[piece] = data[start:cut]
-                start = cut
-        others = [p for p in pieces if p not in self.known]
-        for piece, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.known[piece] = np.array(encoding.ids, dtype="<u2").tobytes()
-        self.size += sum(map(len, pieces)) + 120 * len(pieces)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.size > CACHE_BYTES:
-            self.known, self.size = _Known(), 0
-        known, get, out, again = self.known, self.known.__getitem__, [], []
-        for i, text in enumerate(texts):
-            parts, before = self.pieces(text), known.misses
-            out.append(b"".join(map(get, parts)))
-            if known.misses > before:
-                again.append((i, parts))
-        if again:
-            self._learn(list(known.new))
-            known.new.clear()
-            for i, parts in again:
-                out[i] = b"".join(map(get, parts))
-        return out
+            self.known.add(plain, ids, np.diff(stops, prepend=0))
+        if others:
+            texts = [p.decode() for p in others]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            flat = np.array([i for ids in found for i in ids], dtype="<u2")
+            self.known.add(others, flat, np.array([len(ids) for ids in found]))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.known.bytes > CACHE_BYTES:
+            self.known = Remembered("<u2")
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        for group in slices(texts, self.cut_at):
+            pieces = cuts.cut([part for _, part in group], b" \n", keep=not self.word)
+            rows, distinct = self.known.rows, pieces.distinct
+            if new := [i for i, p in enumerate(distinct) if p not in rows]:
+                plain = pieces.plain[new].tolist()
+                self._learn([distinct[i] for i, p in zip(new, plain) if p], [distinct[i] for i, p in zip(new, plain) if not p])
+            row = np.fromiter(map(rows.__getitem__, distinct), np.int64, len(distinct))
+            ids, ends = self.known.gather(row[pieces.which])
+            last = np.append(0, ends)[np.cumsum(pieces.counts)]
+            for (i, _), a, b in zip(group, np.append(0, last[:-1]).tolist(), last.tolist()):
+                parts[i].append(ids[a:b])
+        return [p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
 
 @lru_cache(maxsize=2)
