@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqsift.llm import exact, minhash, packing, quality, secrets
-from reqsift.llm.store import stored, table
+from reqsift.llm.store import ship, stored, table
 from reqsift.session import scratch_dir
 
 #: Near-duplicates of the corpus: words in a shingle, least similarity in percent.
@@ -32,6 +32,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest doc_id; rows without a doc_id stay if alone."""
+    ship(spark)
     return minhash.keep_one(docs, width=WIDTH, percent=PERCENT)
 
 
@@ -47,6 +48,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all rows and their places in sequences of ``CAPACITY`` tokens."""
+    ship(spark)
     return packing.pack(packing.token_pieces(docs, CAPACITY), CAPACITY)
 
 
@@ -63,6 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

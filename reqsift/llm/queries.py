@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from . import exact, huffman, licences, packing, pieces, quality, secrets, urlrules, warc
 from .minhash import near_duplicates
-from .store import table
+from .store import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
@@ -23,8 +24,13 @@ ORACLE: dict[str, str] = {
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -15,6 +18,27 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Spark's file server hands the archive out from the driver; nobody else opens this folder.
+    archive = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(package)}_llm.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    file.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the folder all executors share, and read back: lineage ends here and nothing is computed twice."""
     path = scratch_dir(df.sparkSession, name)
