@@ -254,11 +254,14 @@ def near_duplicates(
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df``, with all their columns, that are the smallest id of their group; repeated ids all stay.
+    """The rows of ``df``, with all their columns, that come first in their group: smallest id, nulls last, then by text.
 
-    Only the ids to drop are joined, so the texts need not move while those are few.
+    Rows repeated whole stay or go together. Only keys of the rows to drop are joined, so the texts need not move while
+    those are few.
     """
-    groups = near_duplicates(df.select(id_col, text_col), id_col, text_col, width, percent)
-    dropped = stored(groups.filter("NOT kept").select(F.col(id_col).alias("_dropped")).distinct(), "near-dropped")
-    rows = df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own"))
+    text = F.col(text_col)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
+    groups = near_duplicates(df.select(key.alias("key"), text.alias("text")), "key", "text", width, percent)
+    dropped = stored(groups.filter("NOT kept").select(F.col("key").alias("_dropped")).distinct(), "near-dropped")
+    rows = df.select(F.struct("*").alias("_row"), key.alias("_own"))
     return rows.join(dropped, F.col("_own").eqNullSafe(F.col("_dropped")), "left_anti").select("_row.*")

@@ -41,7 +41,8 @@ def measures(df: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
     """
     words = F.filter(F.split(F.col("_t"), SPACES), lambda w: w != "")
     lines = F.filter(F.split(F.col("_t"), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    out = df.withColumn("_t", text_or_empty(text_col)).withColumn("_w", words).withColumn("_l", lines)
+    out = df.select(F.struct("*").alias("_row"), text_or_empty(text_col).alias("_t"))
+    out = out.withColumn("_w", words).withColumn("_l", lines)
     h = F.col("_h")
     starts = F.sequence(F.lit(0), F.size(h) - window)
     hashed = F.transform(starts, lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(window))))
@@ -77,9 +78,8 @@ def measures(df: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
         }
     )
     # Generating one row of one keeps Catalyst from copying these expressions into the filters and columns of a caller.
-    rest = [c for c in df.columns if c not in MEASURES]
-    out = out.select(*rest, F.explode_outer(F.array(F.struct(*MEASURES))).alias("_m"))
-    return out.select(*rest, "_m.*")
+    out = out.select("_row", F.explode_outer(F.array(F.struct(*MEASURES))).alias("_counts"))
+    return out.select(*(F.col(f"_row.`{c}`") for c in df.columns if c not in MEASURES), "_counts.*")
 
 
 def broken(rules=THRESHOLDS) -> Column:
