@@ -25,19 +25,31 @@ SENSITIVE_WORDS = (
     "cookie",
     "session",
     "credential",
+    "passwort",
+    "passcode",
+    "bearer",
+    "api[_-]?key",
+    "access[_-]?key",
+    "private[_-]?key",
+    "sess(?:ion)?[_-]?id",
+    "signature",
 )
+# Short names, sensitive between other characters than letters and digits (or after an encoded character).
+SHORT_WORDS = ("pass", "pw", "pin", "otp", "auth", "sid", "jwt", "sig", "cvv", "cvc")
 # A field is also sensitive when it is called just this ("user-agent" and "user_id" are not); in an
 # encoded URL the name follows the digits of an encoded quote, brace or separator.
 USER_WORD = r"(?:(?<![\w-])|(?<=[237][0-9A-Fa-f]))user(?![\w-])"
 
-# Names that count as a username or a password in the exposure audit.
-USERNAME_FIELDS = ("username", "user", "login")
-PASSWORD_FIELDS = ("password", "passwd", "pwd")
+_SHORT = rf"(?:(?<![A-Za-z0-9])|(?<=[237][0-9A-Fa-f]))(?:{'|'.join(SHORT_WORDS)})(?![A-Za-z0-9])"
+
+# Names that count as a username, and names that hold a password, in the exposure audit (patterns, any case).
+USERNAME_FIELDS = ("(?:j_)?user[_-]?name", "user", "login")
+PASSWORD_FIELDS = ("[^=&;#\\s\"']*(?:passw|passphrase|passcode|pwd)[^=&;#\\s\"']*", "(?:[^=&;#\\s\"']*[^A-Za-z0-9=])?(?:pass|pw)")
 
 # The look-ahead on the first two letters rejects most positions of a text without trying every word.
-_FIRST = "[" + "".join(sorted({w[0] for w in SENSITIVE_WORDS})) + "]"
-_SECOND = "[" + "".join(sorted({w[1] for w in SENSITIVE_WORDS})) + "]"
-_WORDS = f"(?={_FIRST}{_SECOND})(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + ")"
+_FIRST = "[" + "".join(sorted({w[0] for w in SENSITIVE_WORDS + SHORT_WORDS})) + "]"
+_SECOND = "[" + "".join(sorted({w[1] for w in SENSITIVE_WORDS + SHORT_WORDS})) + "]"
+_WORDS = f"(?={_FIRST}{_SECOND})(?:" + "|".join(SENSITIVE_WORDS) + "|" + USER_WORD + "|" + _SHORT + ")"
 _QUERY_PARAM = rf"(?i)({_WORDS}[^\s=&;#?/]*+=)[^&;#\s]*"
 _USERINFO = r"//[^/?#\s]*@"
 # No credential can be written inside a value without one of these characters ("http:" aside),
@@ -121,12 +133,12 @@ def redact_map(m: Column, extra: Iterable[str] = ()) -> Column:
 
 
 def names_any(entries: Column, names: Iterable[str]) -> Column:
-    """True when an entry named like one of ``names`` carries a non-blank value."""
-    names = list(names)
+    """True when an entry whose whole name matches one of the patterns ``names`` carries a non-blank value."""
+    pattern = f"(?i)^(?:{'|'.join(names)})$"
     return F.coalesce(
         F.exists(
             entries,
-            lambda e: F.lower(F.trim(e["key"])).isin(names) & F.coalesce(F.trim(e["value"]) != "", F.lit(False)),
+            lambda e: F.trim(e["key"]).rlike(pattern) & F.coalesce(F.trim(e["value"]) != "", F.lit(False)),
         ),
         F.lit(False),
     )

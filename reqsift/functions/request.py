@@ -146,3 +146,18 @@ def header_entries(request_lines: Column) -> Column:
 def url_has_param(raw_url: Column, names: Iterable[str]) -> Column:
     """True when the URL carries a non-empty parameter with one of ``names``."""
     return raw_url.rlike(rf"(?i)[?&;#](?:{'|'.join(names)})=[^&;#\s]")
+
+
+def has_authorization(text: Column, scheme: str) -> Column:
+    """True when a header line, of any method, carries credentials of this scheme (``basic``, ``bearer``)."""
+    return text.rlike(rf"(?im)^[ \t]*(?:proxy-)?authorization[ \t]*:[ \t]*{scheme}[ \t]+\S")
+
+
+def has_session_cookie(text: Column) -> Column:
+    """True when a cookie line names a session."""
+    name = r"[^=;\s]*(?:sess|token|auth|jwt|(?<![a-z0-9])sid(?![a-z0-9]))[^=;\s]*"
+    return text.rlike(rf"(?im)^[ \t]*(?:set-)?cookie[ \t]*:(?:[^\r\n]*;)?[ \t]*{name}=[^;\s]")
+
+
+def has_userinfo(raw_url: Column) -> Column:
+    return raw_url.rlike(r"(?i)^[a-z][a-z0-9+.-]*://[^/?#\s@]+@")

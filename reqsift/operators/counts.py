@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -55,18 +55,20 @@ def key_difference(all_keys: DataFrame, without: DataFrame, key: str = "host") -
 
 
 def exposure_by_host(requests: DataFrame) -> DataFrame:
-    """Per host: how many requests carry credentials, and how many of those in cleartext.
+    """Per host: how many requests carry credentials of each kind, and how many (but for mere usernames) in cleartext.
 
     Counts only; the parser has already removed the credentials themselves.
     """
-    cleartext = ~F.col("url").startswith("https://")
+    cleartext = ~F.lower("url").startswith("https://")
+    kinds = ("password", "basic", "bearer", "session", "userinfo")
+    carries = reduce(Column.__or__, [F.col(f"has_{k}") for k in kinds])
     return (
         requests.groupBy("host")
         .agg(
             F.count(F.lit(1)).alias("requests"),
             F.count_if(F.col("has_username")).alias("with_username"),
-            F.count_if(F.col("has_password")).alias("with_password"),
-            F.count_if(F.col("has_password") & cleartext).alias("exposed"),
+            *(F.count_if(F.col(f"has_{k}")).alias(f"with_{k}") for k in kinds),
+            F.count_if(carries & cleartext).alias("exposed"),
         )
         .withColumn("exposed_share", F.col("exposed") / F.col("requests"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,21 @@ MAX_BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 48
 _COLUMN_BYTES = 16
 _MIN_SUPPORT = 1e-4
+#: A key is spread once it holds this many times the rows of an even partition, over so many salts as it fills.
+HOT_FACTOR = 1
+#: Salts of null keys, which meet no lookup row; far more than partitions, so that these fill evenly.
+NULL_SALTS = 1 << 20
+
+
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` is small enough to broadcast.
+
+    The plan's own bound decides where it is certain: an optimizer's estimate can only be too large for filters and
+    aggregates of stored files, so far below the limit nothing is computed twice.
+    """
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    # Files are compressed and rows have overhead: a tenfold margin.
+    return limit > 0 and (int(estimate) * 10 <= limit or table_bytes(df) <= limit)
 
 
 def table_bytes(df: DataFrame) -> int:
@@ -25,12 +41,20 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(size.cast("long"))).first()[0] or 0
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """Every key that holds more than ``share`` of the rows (and perhaps a few others).
+def hot_keys(df: DataFrame, key: str, share: float) -> dict:
+    """Every key that holds more than ``share`` of the rows, with its exact share; null is no key.
 
-    One pass over the key column in bounded memory; at most ``1 / share`` keys come back.
+    A first pass in bounded memory finds candidates, some of them by mistake; a second one counts them. At most
+    ``1 / share`` keys come back.
     """
-    return [k for k in df.select(key).stat.freqItems([key], max(share, _MIN_SUPPORT)).first()[0] if k is not None]
+    share = max(share, _MIN_SUPPORT)
+    found = [k for k in df.select(key).stat.freqItems([key], share).first()[0] if k is not None]
+    if not found:
+        return {}
+    named = F.when(F.col(key).isin(found), F.col(key))
+    rows = df.groupBy(named.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()  # the candidates and the rest
+    total = sum(r["n"] for r in rows)
+    return {r["k"]: r["n"] / total for r in rows if r["k"] is not None and r["n"] > share * total}
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -48,35 +72,36 @@ def lookup_join(
     """Join ``facts`` with ``lookup`` (each key once) on ``key``; ``how`` keeps the rows of ``facts``.
 
     A lookup whose measured size fits is broadcast, so ``facts`` is not shuffled at all. A larger one
-    is shuffled, and then the hot keys of ``facts`` are spread over all partitions by a hash of
-    ``spread_by`` (an id; default all plain columns), with their lookup rows repeated. Finding them is
-    one more pass over the key column of ``facts``.
+    is shuffled, and then the hot keys of ``facts`` are spread by a hash of ``spread_by`` (an id; default all plain
+    columns) over as many salts as their share of the rows fills partitions, with their lookup rows repeated as often.
+    Null keys find nothing and are spread over all partitions. Finding the keys is two more passes over the key column
+    of ``facts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if table_bytes(lookup) <= max_broadcast_bytes:
+    if fits(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), key, how)
     if facts.isStreaming:  # hot keys of a stream are not known up front; call per micro-batch instead
         return facts.join(lookup, key, how)
 
     spark = facts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, key, 1.0 / max(parts, 1))
-    if not hot:
-        return facts.join(lookup, key, how)
+    hot = {k: min(math.ceil(share * parts), parts) for k, share in hot_keys(facts, key, HOT_FACTOR / max(parts, 1)).items()}
     hot_table = F.broadcast(  # at most min(parts, 1 / _MIN_SUPPORT) keys
-        spark.createDataFrame([(k, True) for k in hot], T.StructType([facts.schema[key], T.StructField("_hot", T.BooleanType())]))
+        spark.createDataFrame(list(hot.items()), T.StructType([facts.schema[key], T.StructField("_salts", T.IntegerType())]))
     )
 
     def salted(df: DataFrame, salt: Column) -> DataFrame:
-        return df.join(hot_table, key, "left").withColumn("_salt", salt).drop("_hot")
+        if not hot:
+            return df.withColumn("_salts", F.lit(1)).withColumn("_salt", salt).drop("_salts")
+        return df.join(hot_table, key, "left").withColumn("_salt", salt).drop("_salts")
 
-    row_hash = F.pmod(F.xxhash64(*(spread_by or _hashable(facts))), F.lit(parts)).cast("int")
-    salted_facts = salted(facts, F.when(F.col("_hot"), row_hash).otherwise(F.lit(0)))
-    salted_lookup = salted(
-        lookup,
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))),
+    row_hash = F.xxhash64(*(spread_by or _hashable(facts)))
+    spread = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(NULL_SALTS))).otherwise(
+        F.pmod(row_hash, F.coalesce("_salts", F.lit(1)))
     )
+    salted_facts = salted(facts, spread.cast("int"))
+    salted_lookup = salted(lookup, F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
     return salted_facts.join(salted_lookup, [key, "_salt"], how).drop("_salt")
 
 

@@ -10,33 +10,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
+#: Cut points asked for in one aggregate; further ones are laid between them as the rows need.
+GRID = 10_000
 BATCH_SIZE = 200_000
 
 
 def _position(df: DataFrame, order_by: str) -> Column:
     """A double that never decreases when ``order_by`` increases."""
     kind = df.schema[order_by].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order_by).cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampNTZType):  # without the session's zone, whose clock may go back
+        apart = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(order_by))
+        return apart.cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(F.col(order_by)).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(order_by)).cast("double")
     return F.col(order_by).cast("double")
 
 
 def _bounds(df: DataFrame, column: str, rows_per_bucket: int) -> list[float]:
-    """Approximate quantiles that cut the table into buckets of bounded size.
+    """Approximate quantiles that cut the table into buckets of bounded size, from one aggregate with the count.
 
-    At most ``MAX_BUCKETS`` numbers reach the driver. They only balance the work: results do not
-    depend on how exact they are.
+    Some ``GRID`` numbers reach the driver, thinned out for small tables; beyond ``GRID * rows_per_bucket`` rows each
+    interval is cut evenly. Bounds only balance the work: results do not depend on how exact they are.
     """
-    rows = df.count()
-    n = min(max(-(-rows // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism), MAX_BUCKETS)
-    if rows == 0 or n == 1:
+    fractions = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
+    quantiles = F.expr(f"percentile_approx({column}, array({fractions}), {2 * GRID})")
+    rows, grid = df.agg(F.count(F.lit(1)), quantiles).first()
+    n = max(-(-rows // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
+    if not grid or n == 1:
         return []
-    fractions = ", ".join(f"{i / n!r}D" for i in range(1, n))
-    quantiles = F.expr(f"percentile_approx({column}, array({fractions}), {max(10_000, 2 * n)})")
-    return sorted(set(df.agg(quantiles).first()[0] or []))
+    if n <= GRID:
+        return sorted({grid[GRID * i // n] for i in range(1, n)})
+    parts = -(-n // GRID)
+    ends = sorted(set(grid))
+    between = [a + (b - a) * i / parts for a, b in zip(ends, ends[1:]) for i in range(1, parts)]
+    return sorted({*ends, *between})
 
 
 def with_ordinal(
@@ -45,11 +54,14 @@ def with_ordinal(
     within: Sequence[str] = (),
     ordinal: str = "ordinal",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Number the rows 1..n by ``order_by`` (a unique number, date or time), per group of ``within``.
+    """Number the rows 1..n by ``order_by`` (a number, date or time) and then ``ties``, per group of ``within``.
+
+    ``order_by`` and ``ties`` together are unique; rows of equal ``order_by`` share a bucket.
 
     Rows are numbered inside quantile buckets and shifted by the sizes of the buckets before them, so
-    even a group that holds the whole table is spread over all tasks. ``df`` is read four times, mostly
+    even a group that holds the whole table is spread over all tasks. ``df`` is read three times, mostly
     its key columns: store it first if it is costly to compute.
     """
     placed = df.withColumn("_pos", _position(df, order_by))
@@ -70,7 +82,7 @@ def with_ordinal(
         .withColumn("_within", F.struct(F.lit(0), *[F.col(f"_group.{c}") for c in within]))
         .select("_group", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     )
-    local = F.row_number().over(Window.partitionBy("_group").orderBy(order_by))
+    local = F.row_number().over(Window.partitionBy("_group").orderBy(order_by, *ties))
     return (
         keyed.withColumn("_local", local)
         .join(offsets, "_group")

@@ -54,6 +54,10 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
         "url": redact.redact_url(F.col("_url")).alias("url"),
         "has_username": carries(redact.USERNAME_FIELDS).alias("has_username"),
         "has_password": carries(redact.PASSWORD_FIELDS).alias("has_password"),
+        "has_basic": request.has_authorization(source, "basic").alias("has_basic"),
+        "has_bearer": request.has_authorization(source, "bearer").alias("has_bearer"),
+        "has_session": request.has_session_cookie(source).alias("has_session"),
+        "has_userinfo": request.has_userinfo(F.col("_url")).alias("has_userinfo"),
         "fields": last_win_map(redact.redact_entries(F.col("_fields"))).alias("fields"),
         "request_parameters": redact.redact_entries(F.col("_form")).alias("request_parameters"),
     }
@@ -94,8 +98,8 @@ def parse_requests(
 ) -> DataFrame:
     """One row per well-formed request; the raw text is not among the output columns.
 
-    Output: ``keep`` + ``host, url, action_type, has_username, has_password, fields,
-    request_parameters``. Values of sensitive fields are replaced here and nowhere later.
+    Output: ``keep`` + ``host, url, action_type, has_username, has_password, has_basic, has_bearer, has_session,
+    has_userinfo, fields, request_parameters``. Values of sensitive fields are replaced here and nowhere later.
     """
     keep = list(keep)
     if text in keep:
@@ -110,6 +114,9 @@ def parse_requests(
             "_multipart",
             x["host"],
             x["raw_url"],
+            x["has_basic"],
+            x["has_bearer"],
+            x["has_session"],
             F.col("_method").alias("action_type"),
             x["raw_fields"],
             x["raw_form"],
@@ -123,6 +130,10 @@ def parse_requests(
         "action_type",
         x["has_username"],
         x["has_password"],
+        "has_basic",
+        "has_bearer",
+        "has_session",
+        x["has_userinfo"],
         x["fields"],
         x["request_parameters"],
     )

@@ -43,14 +43,9 @@ def write_topic(rows: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_archive(rows: DataFrame, path: str, mode: str = "append") -> None:
-    """Archive ``seq, line`` rows as Parquet."""
-    rows.select(F.col("seq").cast("int").alias("seq"), "line").write.mode(mode).parquet(path)
-
-
-def write_archive_sequence_file(rows: DataFrame, path: str) -> None:
-    """Archive ``seq, line`` rows as a compressed SequenceFile of (int, text)."""
-    pairs = rows.select(F.col("seq").cast("int"), F.concat("line", F.lit("\n"))).rdd.map(tuple)
-    pairs.saveAsSequenceFile(path, "org.apache.hadoop.io.compress.DefaultCodec")
+    """Archive ``batch, seq, line`` rows as Parquet, one folder per batch."""
+    out = rows.select(F.col("batch").cast("long").alias("batch"), F.col("seq").cast("int").alias("seq"), "line")
+    out.hint("rebalance", F.col("batch")).write.mode(mode).partitionBy("batch").parquet(path)
 
 
 def append_json(df: DataFrame, key: str, path: str, mode: str = "append", key_buckets: int | None = None) -> None:

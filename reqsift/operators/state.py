@@ -1,9 +1,10 @@
 """The table of host counts and statuses, kept as batches of rows that add up.
 
-``<root>/counts/batch=<n>`` holds the counts of micro-batch ``n``; ``<root>/listing/batch=<n>`` the statuses
-set in step ``n``. ``base=<n>`` next to them holds everything up to and including ``n``. A batch that is
-written again replaces itself, so a replayed micro-batch changes nothing, and a batch costs its own size
-rather than that of the whole state. Directories without ``_SUCCESS`` are unfinished and are not read.
+``<root>/counts/writer=<id>/batch=<n>`` holds the counts of micro-batch ``n`` of one writer, ``base=<n>`` beside it all of
+that writer's up to and including ``n``; ``<root>/listing/batch=<n>`` and ``base=<n>`` the statuses set in step ``n``. A batch
+that is written again replaces itself, so a replayed micro-batch changes nothing, and a batch costs its own size
+rather than that of the whole state. Writers number their batches on their own and don't touch each other's.
+Directories without ``_SUCCESS`` are unfinished and are not read. Files are sorted by host.
 """
 
 from __future__ import annotations
@@ -13,17 +14,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import committed, delete_path, list_children
+from ..session import committed, committed_below, delete_path
 
 COUNTS = "host string, count bigint"
 LISTING = "host string, status string"
+WRITER = "main"
 
 
-def put_counts(rows: DataFrame, root: str, number: int) -> None:
-    """Add ``rows(host, count)`` as batch ``number``, typically the id of a micro-batch."""
-    rows.select("host", F.col("count").cast("long").alias("count")).write.mode("overwrite").parquet(
-        f"{root}/counts/batch={number}"
-    )
+def put_counts(rows: DataFrame, root: str, number: int, writer: str = WRITER) -> None:
+    """Add ``rows(host, count)`` as batch ``number`` of ``writer``, typically the id of a micro-batch."""
+    rows = rows.select("host", F.col("count").cast("long").alias("count")).sortWithinPartitions("host")
+    rows.write.mode("overwrite").parquet(f"{root}/counts/writer={writer}/batch={number}")
 
 
 def put_listing(rows: DataFrame, root: str) -> None:
@@ -31,27 +32,49 @@ def put_listing(rows: DataFrame, root: str) -> None:
 
     One writer at a time.
     """
-    log = f"{root}/listing"
-    spark = rows.sparkSession
-    number = max(_numbers(spark, log, "base") + _numbers(spark, log, "batch"), default=-1) + 1
-    rows.select("host", "status").write.mode("overwrite").parquet(f"{log}/batch={number}")
+    number = last_listing(rows.sparkSession, root) + 1
+    rows.select("host", "status").sortWithinPartitions("host").write.mode("overwrite").parquet(f"{root}/listing/batch={number}")
+
+
+def last_listing(spark: SparkSession, root: str) -> int:
+    """The number of the latest step of the listing, -1 before the first."""
+    bases, batches = _numbers(committed_below(spark, f"{root}/listing", 1))
+    return max(bases + batches, default=-1)
+
 
+def pinned_listing(spark: SparkSession, root: str, writer: str, number: int) -> int:
+    """The listing step that batch ``number`` of ``writer`` uses: the latest when first asked, the same ever after."""
+    path = f"{root}/pins/writer={writer}/batch={number}"
+    if not committed(spark, path):
+        pin = spark.createDataFrame([(last_listing(spark, root),)], "listing long")
+        pin.coalesce(1).write.mode("overwrite").parquet(path)
+        delete_path(spark, f"{root}/pins/writer={writer}/batch={number - 2}")
+    return spark.read.parquet(path).first()["listing"]
 
-def _numbers(spark: SparkSession, log: str, kind: str) -> list[int]:
-    names = [name for name, is_dir in list_children(spark, log) if is_dir and name.startswith(kind + "=")]
-    return sorted(int(name.split("=", 1)[1]) for name in names if committed(spark, f"{log}/{name}"))
 
+def _numbers(names: list[str]) -> tuple[list[int], list[int]]:
+    """The numbers of the bases and of the batches among folder names."""
+    kinds = {"base": [], "batch": []}
+    for name in names:
+        kind, _, number = name.partition("=")
+        if kind in kinds:
+            kinds[kind].append(int(number))
+    return sorted(kinds["base"]), sorted(kinds["batch"])
 
-def _parts(spark: SparkSession, log: str, through: int | None = None) -> tuple[list[int], list[int]]:
-    """The base (none or one) and the batches after it that make up the state at ``through``."""
-    bases = [n for n in _numbers(spark, log, "base") if through is None or n <= through][-1:]
-    batches = [n for n in _numbers(spark, log, "batch") if through is None or n <= through]
-    return bases, [n for n in batches if not bases or n > bases[0]]
 
+def _parts(names: list[str], through: int | None = None) -> tuple[list[int], list[int]]:
+    """The base (none or one) and the batches after it that make up the state at ``through``; raises if that is gone."""
+    bases, batches = _numbers(names)
+    held = [n for n in bases if through is None or n <= through][-1:]
+    # What a later base has folded is gone, unless all of it is still there.
+    if bases and through is not None and not held and batches[:1] != [0]:
+        raise ValueError(f"version {through} was folded into {bases[0]}")
+    return held, [n for n in batches if (not held or n > held[0]) and (through is None or n <= through)]
 
-def _rows(spark: SparkSession, log: str, schema: str, through: int | None = None) -> DataFrame:
+
+def _rows(spark: SparkSession, log: str, schema: str, names: list[str], through: int | None = None) -> DataFrame:
     """All rows of a log with the number of their ``batch`` (-1 for the base)."""
-    bases, batches = _parts(spark, log, through)
+    bases, batches = _parts(names, through)
     tables = [
         spark.read.schema(schema).parquet(f"{log}/base={n}").withColumn("batch", F.lit(-1).cast("long")) for n in bases
     ]
@@ -61,15 +84,33 @@ def _rows(spark: SparkSession, log: str, schema: str, through: int | None = None
     return reduce(DataFrame.unionByName, tables) if tables else spark.createDataFrame([], schema + ", batch bigint")
 
 
-def read_listing(spark: SparkSession, root: str) -> DataFrame:
-    """``host, status`` as set last, each host once."""
-    rows = _rows(spark, f"{root}/listing", LISTING)
+def read_listing(spark: SparkSession, root: str, through: int | None = None) -> DataFrame:
+    """``host, status`` as set last (as of step ``through``), each host once."""
+    log = f"{root}/listing"
+    rows = _rows(spark, log, LISTING, committed_below(spark, log, 1), through)
     return rows.groupBy("host").agg(F.max_by("status", "batch").alias("status"))
 
 
-def read_counts(spark: SparkSession, root: str, through: int | None = None) -> DataFrame:
-    """``host, count``, each host once, as of micro-batch ``through`` (default: the latest)."""
-    return _rows(spark, f"{root}/counts", COUNTS, through).groupBy("host").agg(F.sum("count").alias("count"))
+def _writers(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The finished folders of each writer."""
+    writers: dict[str, list[str]] = {}
+    for path in committed_below(spark, f"{root}/counts", 2):
+        writer, _, name = path.partition("/")
+        writers.setdefault(writer.removeprefix("writer="), []).append(name)
+    return writers
+
+
+def read_counts(spark: SparkSession, root: str, through: int | None = None, writer: str = WRITER) -> DataFrame:
+    """``host, count``, each host once, of all writers; ``through`` takes ``writer`` as of that micro-batch.
+
+    A version that was folded into a later one raises.
+    """
+    tables = [
+        _rows(spark, f"{root}/counts/writer={name}", COUNTS, names, through if name == writer else None)
+        for name, names in sorted(_writers(spark, root).items())
+    ]
+    rows = reduce(DataFrame.unionByName, tables) if tables else spark.createDataFrame([], COUNTS)
+    return rows.groupBy("host").agg(F.sum("count").alias("count"))
 
 
 def read_state(spark: SparkSession, root: str, through: int | None = None) -> DataFrame:
@@ -98,22 +139,33 @@ def state_get(table: DataFrame, host: str, key: str = "host") -> DataFrame:
     return table.filter(F.col(key) == F.lit(host))
 
 
-def fold(
-    spark: SparkSession, root: str, logs: tuple[str, ...] = ("counts", "listing"), keep_history: bool = False
-) -> None:
+def _replace(now: DataFrame, spark: SparkSession, log: str, names: list[str], keep_history: bool) -> None:
+    bases, batches = _parts(names)
+    if not batches:
+        return
+    now.sortWithinPartitions("host").write.mode("overwrite").parquet(f"{log}/base={batches[-1]}")
+    if not keep_history:
+        for n in batches:
+            delete_path(spark, f"{log}/batch={n}")
+        for n in bases:
+            delete_path(spark, f"{log}/base={n}")
+
+
+def fold_counts(spark: SparkSession, root: str, writer: str = WRITER, keep_history: bool = False) -> None:
+    """Write one writer's present counts as its new base and drop the parts it replaces; called by that writer."""
+    log, names = f"{root}/counts/writer={writer}", _writers(spark, root).get(writer, [])
+    now = _rows(spark, log, COUNTS, names).groupBy("host").agg(F.sum("count").alias("count"))
+    _replace(now, spark, log, names, keep_history)
+
+
+def fold(spark: SparkSession, root: str, logs: tuple[str, ...] = ("counts", "listing"), keep_history: bool = False) -> None:
     """Write each log's present state as its new base and drop the parts it replaces.
 
-    Called by the writer, between batches. Readers still at work on the old parts need ``keep_history``.
+    Called between batches of all writers. Readers still at work on the old parts need ``keep_history``.
     """
-    for name in logs:
-        log = f"{root}/{name}"
-        bases, batches = _parts(spark, log)
-        if not batches:
-            continue
-        now = read_counts(spark, root) if name == "counts" else read_listing(spark, root)
-        now.write.mode("overwrite").parquet(f"{log}/base={batches[-1]}")
-        if not keep_history:
-            for n in batches:
-                delete_path(spark, f"{log}/batch={n}")
-            for n in bases:
-                delete_path(spark, f"{log}/base={n}")
+    if "counts" in logs:
+        for writer in _writers(spark, root):
+            fold_counts(spark, root, writer, keep_history)
+    if "listing" in logs:
+        log = f"{root}/listing"
+        _replace(read_listing(spark, root), spark, log, committed_below(spark, log, 1), keep_history)

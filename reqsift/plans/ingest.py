@@ -25,16 +25,19 @@ def finished_days(spark: SparkSession, out: str) -> list[int]:
 
 
 def ingest_days(spark: SparkSession, root: str, out: str, **options) -> dict[int, dict[str, int]]:
-    """Parse every day directory after the last finished one into ``<out>/day=<n>``.
+    """Parse every day that is not finished into ``<out>/day=<n>``, also one that arrives after later days.
 
-    A finished day is the resume position: a day that failed half-way is done again and replaces itself.
-    Returns, per day, the number of records and of bad ones.
+    A day that failed half-way is done again and replaces itself. A finished day is not looked into again: archives
+    that are added to it later need the stream of archives, or its folder under ``out`` removed. Returns, per day, the
+    number of records and of bad ones.
     """
-    last = max(finished_days(spark, out), default=None)
+    done, folders = set(finished_days(spark, out)), {}
+    for name in archives.day_folders(spark, root):
+        folders.setdefault(int(name), []).append(f"{root}/{name}")
     report = {}
-    for day in archives.new_days(spark, root, last):
+    for day in sorted(folders.keys() - done):
         seen = Observation(f"day-{day}")
-        files = archives.list_files(spark, f"{root}/{day}")
+        files = archives.list_files(spark, folders[day])
         rows = archived_requests(files, root, observation=seen, **options)
         rows.drop("day").write.mode("overwrite").parquet(f"{out}/day={day}")
         report[day] = dict(seen.get)

@@ -68,7 +68,7 @@ parts AS (
       || CASE WHEN page_id % 6 = 0 THEN ',' || q || 'Password' || q || '[[:]]' || q || secret || q ELSE '' END AS members
   FROM base),
 texts AS (
-  SELECT page_id, CAST(20240101 + day_no AS INTEGER) AS day, chunk,
+  SELECT page_id, 20240101 + day_no AS day, chunk,
     no || CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.txt' END AS entry,
     CASE WHEN page_id % 2 = 0 THEN
       'GET ' || rest || CASE WHEN page_id % 3 = 0
@@ -116,6 +116,9 @@ ORACLE: dict[str, str] = {
     # sources
     "scan_days_after": "SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'",
     "zip_listing": _with(
+        TEXTS, "SELECT DISTINCT day, 'part-' || chunk || '.zip' AS name FROM texts"
+    ),
+    "zip_days_after": _with(
         TEXTS, "SELECT DISTINCT day, 'part-' || chunk || '.zip' AS name FROM texts WHERE day > 20240101"
     ),
     "zip_entries": _with(TEXTS, "SELECT day, entry, length(text) AS n_chars, md5(text) AS text_md5 FROM texts"),
@@ -124,7 +127,7 @@ ORACLE: dict[str, str] = {
     ),
     "archived_requests": _with(
         PARSED,
-        """SELECT CAST(20240101 + page_id % 3 AS INTEGER) AS day,
+        """SELECT 20240101 + page_id % 3 AS day,
         no || CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.txt' END AS entry,
         host, url, action_type, has_password, fields FROM parsed""",
     ),
@@ -175,8 +178,9 @@ ORACLE: dict[str, str] = {
     "enrich_with_state": _with(
         HALVES,
         """SELECT page_id, host, coalesce(count, 0) AS known_count, coalesce(status, '0') AS known_status
-        FROM req LEFT JOIN old USING (host) WHERE page_id % 2 = 1""",
+        FROM req LEFT JOIN old USING (host)""",
     ),
+    "unlisted_spread": _with(STATE, f"SELECT page_id, host, url FROM ({UNLISTED})"),
     "unlisted_stream": _with(STATE, f"SELECT page_id, host, host || '|| ' || url AS line FROM ({UNLISTED})"),
     "sift_archives": _with(
         PARSED
@@ -194,9 +198,11 @@ ORACLE: dict[str, str] = {
     "exposure_by_host": _with(
         PARSED,
         """SELECT host, count(*) AS requests, count(*) FILTER (has_username) AS with_username,
-        count(*) FILTER (has_password) AS with_password,
-        count(*) FILTER (has_password AND NOT starts_with(url, 'https://')) AS exposed,
-        count(*) FILTER (has_password AND NOT starts_with(url, 'https://')) / count(*) AS exposed_share
+        count(*) FILTER (has_password) AS with_password, count(*) FILTER (action_type = 'POST') AS with_basic,
+        0::BIGINT AS with_bearer, count(*) FILTER (action_type = 'GET') AS with_session,
+        count(*) FILTER (action_type = 'POST' AND page_id % 5 = 0) AS with_userinfo,
+        count(*) FILTER (NOT starts_with(url, 'https://')) AS exposed,
+        count(*) FILTER (NOT starts_with(url, 'https://')) / count(*) AS exposed_share
         FROM parsed GROUP BY host""",
     ),
     # order, ordinals, sets
@@ -205,6 +211,7 @@ ORACLE: dict[str, str] = {
     "top_hosts": _with(REQ, "SELECT host, count(*) AS count FROM req GROUP BY host ORDER BY count DESC, host LIMIT 10"),
     "batch_ordinals": """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day,
         row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS ordinal FROM events""",
+    "time_ordinals": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS ordinal FROM events",
     "union_keys": _with(
         REQ, "SELECT host FROM req WHERE page_id % 2 = 0 UNION SELECT host FROM req WHERE page_id % 2 = 1"
     ),
@@ -216,7 +223,8 @@ ORACLE: dict[str, str] = {
         FROM numbered GROUP BY ALL""",
     "archive_rows": _with(
         PARSED,
-        """SELECT CAST((row_number() OVER (ORDER BY page_id) - 1) % 100 + 1 AS INTEGER) AS seq, line FROM framed""",
+        """SELECT (row_number() OVER (ORDER BY page_id) - 1) // 100 AS batch,
+        CAST((row_number() OVER (ORDER BY page_id) - 1) % 100 + 1 AS INTEGER) AS seq, line FROM framed""",
     ),
     "json_by_key": "SELECT event_id, user_id, event_type FROM events",
     "tumbling_counts": f"SELECT {TUMBLING}, event_type, count(*) AS count FROM events GROUP BY ALL",
@@ -225,6 +233,12 @@ ORACLE: dict[str, str] = {
     "fan_out": """SELECT 'by_type' AS step, event_type AS key, count(*) AS count FROM events GROUP BY ALL
         UNION ALL SELECT 'by_day', strftime(ts, '%Y-%m-%d'), count(*) FROM events GROUP BY ALL""",
     "running_counts": _with(REQ, "SELECT host, count(*) AS count, '0' AS status FROM req GROUP BY host"),
+    "running_counts_two_writers": _with(REQ, "SELECT host, 2 * count(*) AS count, '0' AS status FROM req GROUP BY host"),
+    "late_file_stream": _with(REQ, "SELECT page_id, host FROM req"),
+    "resumed_ingest": _with(
+        PARSED, "SELECT 20240101 + page_id % 3 AS day, host, count(*) AS requests FROM parsed GROUP BY ALL"
+    ),
+    "stopped_and_restarted": _with(REQ, "SELECT host, count(*) AS count, '0' AS status FROM req GROUP BY host"),
     # steps by name
     "steps_from_spec": _with(STATE, RANKED),
 }

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import redact, request, text
 from ..operators import counts, filters, lookup, ordinal, parse, sinks, state, windows
-from ..session import scratch_dir
+from ..session import age_files, scratch_dir
 from ..sources import archives
 from ..sources.tables import read_table, rows_after_day, stream_table
-from ..streaming import jobs
+from ..streaming import control, jobs
 from . import derive, ingest
 from .registry import default_registry
 
@@ -94,6 +94,12 @@ def _archive_root(spark, folder) -> str:
 
 @query
 def zip_listing(spark, folder):
+    files = archives.scan_days(spark, _archive_root(spark, folder))
+    return files.select("day", F.substring_index("path", "/", -1).alias("name"))
+
+
+@query
+def zip_days_after(spark, folder):
     files = archives.scan_days(spark, _archive_root(spark, folder), derive.FIRST_DAY)
     return files.select("day", F.substring_index("path", "/", -1).alias("name"))
 
@@ -138,9 +144,9 @@ def state_keys(spark, folder):
 
 @query
 def state_lookup(spark, folder):
-    """Point read of the key that sorts first; the filter is pushed below the counting."""
-    first = _requests(spark, folder).agg(F.min("host")).first()[0]
-    return state.state_get(_host_state(spark, folder), first)
+    """Point read of the key that sorts first, which a scalar subquery finds; the filter goes below the counting."""
+    first = _requests(spark, folder).agg(F.min("host")).scalar()
+    return _host_state(spark, folder).filter(F.col("host") == first)
 
 
 # --- scalar functions -------------------------------------------------------------------------------
@@ -347,15 +353,23 @@ def unlisted_requests(spark, folder):
     return _unlisted(spark, folder).select("page_id", "host", "url")
 
 
+@query
+def unlisted_spread(spark, folder):
+    """The same with the listing shuffled, the hot hosts spread over salts: the form for listings too large to broadcast."""
+    listing = state.read_listing(spark, _stored_listing(spark, folder))
+    kept = lookup.drop_listed(_requests(spark, folder), listing, spread_by=["page_id"], max_broadcast_bytes=0)
+    return kept.select("page_id", "host", "url")
+
+
 @query
 def enrich_with_state(spark, folder):
-    """Requests of odd pages with what was known from the even ones."""
+    """All requests with what was known from those of the even pages."""
     requests = _requests(spark, folder)
     root = scratch_dir(spark, "state")
     state.put_counts(counts.count_by(_half(requests, 0)), root, 0)
     state.put_listing(_with_status(state.read_counts(spark, root)), root)
     known = state.read_state(spark, root)
-    return lookup.enrich_with_state(_half(requests, 1), known, spread_by=["page_id"]).select(
+    return lookup.enrich_with_state(requests, known, spread_by=["page_id"]).select(
         "page_id", "host", "known_count", "known_status"
     )
 
@@ -451,6 +465,13 @@ def batch_ordinals(spark, folder):
     return ordinal.with_ordinal(events, "event_id", within=["day"])
 
 
+@query
+def time_ordinals(spark, folder):
+    """Events in order of time; the id, unique, decides between equal times."""
+    events = _events(spark, folder).select("event_id", "ts")
+    return ordinal.with_ordinal(events, "ts", ties=["event_id"]).select("event_id", "ordinal")
+
+
 @query
 def union_keys(spark, folder):
     requests = _requests(spark, folder)
@@ -553,6 +574,63 @@ def running_counts(spark, folder):
     return state.read_state(spark, f"{root}/state")
 
 
+@query
+def running_counts_two_writers(spark, folder):
+    """Two streams of all pages count into one state, which is folded between; one goes on under a new checkpoint."""
+    root = scratch_dir(spark, "two-writers")
+    for checkpoint, parity in (("one", 0), ("two", 1), ("three", 0), ("four", 1)):
+        stream = derive.requests_of(stream_table(spark, folder, "pages"))
+        jobs.count_into_state(_half(stream, parity), f"{root}/state", f"{root}/{checkpoint}").awaitTermination()
+        state.fold(spark, f"{root}/state")
+    return state.read_state(spark, f"{root}/state")
+
+
+@query
+def late_file_stream(spark, folder):
+    """Pages as files of which one, added last, has a time stamp 20 days before the others; across a restart."""
+    root = scratch_dir(spark, "late-files")
+    requests = _requests(spark, folder).select("page_id", "host")
+    for age, parity in ((0, 0), (20, 1)):
+        _half(requests, parity).coalesce(1).write.mode("append").parquet(f"{root}/pages.parquet")
+        if age:
+            age_files(spark, f"{root}/pages.parquet", age, newest=True)
+        stream = stream_table(spark, root, "pages", max_files=1)
+        out = jobs.writer(stream, f"{root}/checkpoint").format("parquet").option("path", f"{root}/rows").start()
+        out.awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
+@query
+def resumed_ingest(spark, folder):
+    """Two days are ingested, then all three, the added one being the first: it is read though later ones are done."""
+    pages = read_table(spark, folder, "pages")
+    root, out = scratch_dir(spark, "days"), scratch_dir(spark, "ingested")
+    first = F.col("page_id") % 3 == 0
+    for part in (pages.filter(~first), pages.filter(first)):
+        derive.write_archives(derive.placed_transcripts(part), root)
+        ingest.ingest_days(spark, root, out)
+    rows = ingest.read_ingested(spark, out).groupBy(F.col("day").cast("long").alias("day"), "host")
+    return rows.agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query
+def stopped_and_restarted(spark, folder):
+    """A job is started by name and stopped; it counts what came meanwhile when it is started again."""
+    root = scratch_dir(spark, "restarted")
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+
+    def job(name):
+        stream = derive.requests_of(stream_table(spark, root, "pages"))
+        return jobs.count_into_state(stream, f"{root}/state", f"{root}/checkpoint", trigger="1 second", name=name)
+
+    name = f"restarted-{root[-12:]}"
+    for parity in (0, 1):
+        _half(pages, parity).write.mode("append").parquet(f"{root}/pages.parquet")
+        control.start(spark, {name: job})[name].processAllAvailable()
+        control.stop(spark, name)
+    return state.read_state(spark, f"{root}/state")
+
+
 # --- steps by name ----------------------------------------------------------------------------------
 
 

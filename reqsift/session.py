@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,11 +30,6 @@ def build_session(app_name: str = "reqsift", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Streams cast zone-less timestamps with the session zone; pin it so windows align."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder of ``spark.checkpoint.dir``.
 
@@ -43,12 +40,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="reqsift-")
+        root = _local_scratch()
     app = spark.sparkContext.applicationId
     path = _hadoop_path(spark, f"{root.rstrip('/')}/reqsift/{app}/{name}-{uuid.uuid4().hex}")
     return _file_system(spark, path).makeQualified(path).toString()
 
 
+_scratch: list[str] = []
+
+
+def _local_scratch() -> str:
+    """One folder per process, removed when it ends."""
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="reqsift-"))
+        atexit.register(shutil.rmtree, _scratch[0], ignore_errors=True)
+    return _scratch[0]
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -69,17 +77,43 @@ def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), bool(s.isDirectory())) for s in fs.listStatus(hadoop_path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and without a slash at the end, as Spark reports the files below it."""
+    hadoop_path = _hadoop_path(spark, path)
+    return _file_system(spark, hadoop_path).makeQualified(hadoop_path).toString()
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     hadoop_path = _hadoop_path(spark, path)
     fs = _file_system(spark, hadoop_path)
     return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())
 
 
+def age_files(spark: SparkSession, path: str, days: int, newest: bool = False) -> None:
+    """Set the time stamps of the files directly in ``path`` (or of the newest only) back by ``days``; for queries that show
+    what late files do."""
+    hadoop_path = _hadoop_path(spark, path)
+    fs = _file_system(spark, hadoop_path)
+    files = sorted((s for s in fs.listStatus(hadoop_path) if s.isFile()), key=lambda s: s.getModificationTime())
+    data = [s for s in files if s.getPath().getName().startswith("part-")]
+    for status in data[-1:] if newest else data:
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path = _hadoop_path(spark, path)
     _file_system(spark, hadoop_path).delete(hadoop_path, True)
 
 
+def committed_below(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Paths below ``path``, ``levels`` directories deep and relative to it, into which a Spark write finished: one listing."""
+    root = _hadoop_path(spark, path)
+    fs = _file_system(spark, root)
+    found = fs.globStatus(_hadoop_path(spark, path + "/*" * levels + "/_SUCCESS")) or []
+    below = len(fs.makeQualified(root).toString()) + 1
+    return sorted(s.getPath().getParent().toString()[below:] for s in found)
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write into ``path`` finished."""
     hadoop_path = _hadoop_path(spark, f"{path}/_SUCCESS")

@@ -11,7 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import list_children
+from ..session import list_children, qualified
+from .tables import file_stream
 
 # The functions below run in tasks; send them along instead of expecting the package there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,6 +24,8 @@ SLICE_BYTES = 32 << 20
 GAP_BYTES = 1 << 20
 SLICE_ENTRIES = 100_000
 FLUSH_BYTES = 8 << 20
+#: A longer entry counts as bad; a value in Spark has less than 2 GiB, and replacing bad bytes may triple a text.
+ENTRY_BYTES = 600 << 20
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 ENTRY_SCHEMA = "path string, entry string, text string"
@@ -33,10 +36,15 @@ SLICE_SCHEMA = (
 )
 
 
+def day_folders(spark: SparkSession, root: str, after_day: int | None = None) -> list[str]:
+    """Names of day directories (integers, as they are written) after ``after_day``, by day; other names are skipped."""
+    names = [name for name, is_dir in list_children(spark, root) if is_dir and re.fullmatch(r"\d{1,18}", name)]
+    return sorted((n for n in names if after_day is None or int(n) > after_day), key=lambda n: (int(n), n))
+
+
 def new_days(spark: SparkSession, root: str, after_day: int | None = None) -> list[int]:
-    """Day directories (integer names) after ``after_day``, in order; other names are skipped."""
-    days = [int(name) for name, is_dir in list_children(spark, root) if is_dir and re.fullmatch(r"\d+", name)]
-    return sorted(d for d in days if after_day is None or d > after_day)
+    """The days of ``day_folders``, each once."""
+    return sorted({int(n) for n in day_folders(spark, root, after_day)})
 
 
 def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*.zip") -> DataFrame:
@@ -51,51 +59,35 @@ def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*.zip")
 
 
 def stream_files(spark: SparkSession, root: str, glob: str = "*.zip", max_files: int | None = None) -> DataFrame:
-    """The archives under ``root`` as a stream; the checkpoint of the query remembers those done.
-
-    ``maxFileAge`` is set so far back that late archives with an old time stamp are still read.
-    """
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(FILE_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .option("maxFileAge", "3650d")
-    )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(root)
+    """The archives under ``root`` as a stream, also late ones with an old time stamp; the checkpoint of the query
+    remembers those done."""
+    reader = file_stream(spark, max_files).format("binaryFile").schema(FILE_SCHEMA)
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
 
 
 def scan_days(spark: SparkSession, root: str, after_day: int | None = None, glob: str = "*.zip") -> DataFrame:
     """Files of the days after ``after_day``, with ``day``; older days are not even listed."""
-    names = [name for name, is_dir in list_children(spark, root) if is_dir and re.fullmatch(r"\d+", name)]
-    paths = [f"{root}/{name}" for name in names if after_day is None or int(name) > after_day]
+    paths = [f"{root}/{name}" for name in day_folders(spark, root, after_day)]
     files = list_files(spark, paths, glob) if paths else spark.createDataFrame([], FILE_SCHEMA)
     return with_day(files, root)
 
 
 def with_day(files: DataFrame, root: str) -> DataFrame:
     """Add ``day``, the integer directory right below ``root`` (null elsewhere)."""
-    name = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
-    day = F.regexp_extract("path", rf"/{name}/(\d+)/", 1)
-    return files.withColumn("day", F.when(day != "", day.cast("int")))
+    # Spark reports local files as file:/ or file:///; both ways of writing are cut off.
+    bare = lambda path: re.sub(r"^file:/+", "/", path)
+    root = re.escape(bare(qualified(files.sparkSession, root)))
+    day = F.regexp_extract(F.regexp_replace("path", "^file:/+", "/"), rf"^{root}/(\d+)/", 1)
+    return files.withColumn("day", F.when(day != "", day.try_cast("bigint")))
 
 
 def list_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    """``is_dir, name`` of what lies directly in ``folder``: directories first, then by name.
+    """``is_dir, name`` of all that lies directly in ``folder``, empty directories too: directories first, then by name.
 
-    Directories are those that hold a file at some depth.
+    One listing of that folder alone, for folders whose names fit the driver.
     """
-    below = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
-    rest = F.regexp_extract("path", rf"/{below}/(.*)$", 1)
-    return (
-        list_files(spark, folder, glob="")
-        .select(rest.alias("rest"))
-        .select(F.col("rest").contains("/").alias("is_dir"), F.substring_index("rest", "/", 1).alias("name"))
-        .distinct()
-        .orderBy(F.desc("is_dir"), "name")
-    )
+    rows = [(is_dir, name) for name, is_dir in list_children(spark, folder)]
+    return spark.createDataFrame(rows, "is_dir boolean, name string").orderBy(F.desc("is_dir"), "name")
 
 
 def explode_archives(
@@ -192,8 +184,16 @@ def _entry_text(data: memoryview, at: int, size: int, method: int, crc: int, cha
         at += 30 + name_length + extra_length
         raw = data[at : at + size]
         if method == 8:
-            raw = zlib.decompress(raw, -15)
-        elif method != 0:
+            # In steps: a hostile entry inflates to no more than a Spark value can hold.
+            inflate, parts, left = zlib.decompressobj(-15), [], ENTRY_BYTES
+            while not inflate.eof and left > 0 and (part := inflate.decompress(raw, min(left, FLUSH_BYTES))):
+                parts.append(part)
+                left -= len(part)
+                raw = inflate.unconsumed_tail
+            if not inflate.eof and (left <= 0 or inflate.decompress(raw, 1)):
+                return None
+            raw = b"".join(parts)
+        elif method != 0 or size > ENTRY_BYTES:
             return None
     except (struct.error, zlib.error):
         return None

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators import counts, lookup, ordinal, sinks, state, windows
-from ..session import use_utc
+from ..session import qualified
 
+FOLD_EVERY = 100
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -25,22 +27,38 @@ def writer(df: DataFrame, checkpoint: str, trigger: str | None = None, name: str
     return out.queryName(name) if name else out
 
 
-def _add_counts(batch: DataFrame, key: str, state_root: str, batch_id: int, fold_every: int) -> None:
-    state.put_counts(counts.count_by(batch, key).withColumnRenamed(key, "host"), state_root, batch_id)
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after their window was closed, in the micro-batches the query still remembers."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which a stream with this checkpoint, and no other, numbers its batches in a state."""
+    return hashlib.sha256(qualified(spark, checkpoint).encode()).hexdigest()[:16]
+
+
+def _add_counts(batch: DataFrame, key: str, state_root: str, batch_id: int, writer: str) -> None:
+    state.put_counts(counts.count_by(batch, key).withColumnRenamed(key, "host"), state_root, batch_id, writer)
+
+
+def _fold(batch: DataFrame, state_root: str, batch_id: int, writer: str, fold_every: int) -> None:
     if fold_every and batch_id % fold_every == fold_every - 1:
-        state.fold(batch.sparkSession, state_root, logs=("counts",))
+        state.fold_counts(batch.sparkSession, state_root, writer)
 
 
 def count_into_state(
-    stream: DataFrame, state_root: str, checkpoint: str, key: str = "host", fold_every: int = 0, **options
+    stream: DataFrame, state_root: str, checkpoint: str, key: str = "host", fold_every: int = FOLD_EVERY, **options
 ) -> StreamingQuery:
     """Running counts per key: each micro-batch adds its own counts to the state table.
 
-    With ``fold_every`` the counts are folded after every so many batches.
+    Streams with checkpoints of their own may share a state. A stream's counts are folded after every ``fold_every`` of
+    its batches (0: never).
     """
+    me = writer_id(stream.sparkSession, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _add_counts(batch, key, state_root, batch_id, fold_every)
+        _add_counts(batch, key, state_root, batch_id, me)
+        _fold(batch, state_root, batch_id, me, fold_every)
 
     return writer(stream.select(key), checkpoint, **options).foreachBatch(sink).start()
 
@@ -52,24 +70,28 @@ def sift_stream(
     checkpoint: str,
     order_by: str | None = None,
     spread_by: list[str] | None = None,
-    fold_every: int = 0,
+    fold_every: int = FOLD_EVERY,
     **options,
 ) -> StreamingQuery:
     """The main job: drop requests to listed hosts, count the rest into the state, archive their lines.
 
     ``requests`` has ``host`` and ``line``. The allowlist is read again in every micro-batch, so a change
-    takes effect with the next one. With ``order_by`` the archived lines are numbered within the batch.
+    takes effect with the next one; a micro-batch that is done again uses the one it used before. With ``order_by`` the
+    archived lines are numbered within the batch.
     """
+    me = writer_id(requests.sparkSession, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        listing = state.read_listing(batch.sparkSession, state_root)
+        spark = batch.sparkSession
+        listing = state.read_listing(spark, state_root, through=state.pinned_listing(spark, state_root, me, batch_id))
         kept = lookup.drop_listed(batch, listing, spread_by=spread_by).persist()
         try:
-            _add_counts(kept, "host", state_root, batch_id, fold_every)
+            _add_counts(kept, "host", state_root, batch_id, me)
             lines = ordinal.with_ordinal(kept, order_by, ordinal="seq") if order_by else kept
             lines.write.mode("overwrite").parquet(f"{archive_root}/batch={batch_id}")
         finally:
             kept.unpersist()
+        _fold(batch, state_root, batch_id, me, fold_every)  # last: nothing of this batch is done again after it
 
     return writer(requests, checkpoint, **options).foreachBatch(sink).start()
 
@@ -99,8 +121,12 @@ def windowed_distinct_to(
     checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """Distinct tuples per window, appended as Parquet; ``delay`` is how late an event may come."""
-    use_utc(stream.sparkSession)
+    """Distinct tuples per window, appended as Parquet; ``delay`` is how late an event may come.
+
+    Later ones are dropped; ``late_rows`` of the query counts them.
+    """
+    if stream.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise ValueError("windows of zone-less times need a session whose spark.sql.session.timeZone is UTC")
     timed = stream.select(F.col(ts).cast("timestamp").alias(ts), key, *values).withWatermark(ts, delay)
     out = windows.windowed_distinct(timed, ts, duration, key, *values)
     return writer(out, checkpoint, **options).outputMode("append").format("parquet").option("path", path).start()

@@ -104,12 +104,27 @@ def test_entry_names_in_gbk_and_charset_option(spark, tmp_path):
 def test_listing_sorted(spark, root):
     rows = archives.list_sorted(spark, root).collect()
     assert [(r.is_dir, r.name) for r in rows] == [
-        (True, "20240101"), (True, "20240102"), (True, "20240103"), (True, "tmp"),
+        (True, "20240101"), (True, "20240102"), (True, "20240103"), (True, "20240104"), (True, "tmp"),
     ]
     inner = [(r.is_dir, r.name) for r in archives.list_sorted(spark, f"{root}/20240101").collect()]
     assert inner == [(False, "a.zip"), (False, "notes.txt")]
 
 
+def test_day_is_that_below_the_whole_root(spark, tmp_path):
+    root = f"{tmp_path}/1/data"
+    make_zip(f"{root}/1/data/20240101/f.zip", {"1.txt": POST.format(i=1)})
+    make_zip(f"{root}/20240102/f.zip", {"1.txt": POST.format(i=1)})
+    days = archives.with_day(archives.list_files(spark, root), root).select("day").collect()
+    assert sorted(r.day for r in days) == [1, 20240102]
+
+
+def test_an_entry_too_long_for_a_value_is_bad(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "ENTRY_BYTES", 1000)
+    make_zip(f"{tmp_path}/a.zip", {"long.txt": "x" * 1001, "fits.txt": "y" * 1000})
+    rows = archives.explode_archives(archives.list_files(spark, str(tmp_path))).collect()
+    assert {r.entry: r.text and len(r.text) for r in rows} == {"long.txt": None, "fits.txt": 1000}
+
+
 def test_ingest_resumes_after_the_last_finished_day(spark, root, tmp_path):
     out = str(tmp_path / "out")
     first = ingest.ingest_days(spark, root, out)
@@ -117,9 +132,12 @@ def test_ingest_resumes_after_the_last_finished_day(spark, root, tmp_path):
     assert ingest.ingest_days(spark, root, out) == {}
     make_zip(f"{root}/20240105/e.zip", {"1.txt": POST.format(i=1)})
     make_zip(f"{root}/20240102/late.zip", {"1.txt": POST.format(i=1)})
-    assert ingest.ingest_days(spark, root, out).keys() == {20240105}
+    make_zip(f"{root}/007/f.zip", {"1.txt": POST.format(i=1)})
+    make_zip(f"{root}/12345678901234/g.zip", {"1.txt": POST.format(i=1)})
+    # A day that comes late is read, though later ones are finished.
+    assert ingest.ingest_days(spark, root, out).keys() == {7, 20240105, 12345678901234}
     rows = ingest.read_ingested(spark, out, after_day=20240102)
-    assert {r.day: r["count"] for r in rows.groupBy("day").count().collect()} == {20240103: 200, 20240105: 1}
+    assert {r.day: r["count"] for r in rows.groupBy("day").count().collect()} == {20240103: 200, 20240105: 1, 12345678901234: 1}
 
 
 def test_ingest_repeats_a_day_that_failed_half_way(spark, root, tmp_path):

@@ -61,6 +61,26 @@ def test_hot_keys_has_no_false_negative(spark):
     assert "hot" in keys and len(keys) <= 4
 
 
+def test_only_truly_hot_keys_and_their_shares(spark):
+    even = spark.range(20_000).selectExpr("concat('h', id) AS host")
+    assert lookup.hot_keys(even, "host", 1 / 500) == {}
+    assert lookup.hot_keys(skewed(spark), "host", 0.25) == {"hot": 1000 / 3002}
+
+
+def test_null_keys_come_out_of_many_tasks(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(2000).selectExpr("id", "CAST(NULL AS STRING) AS host").union(skewed(spark))
+        got = lookup.lookup_join(facts, state(spark, "1").select("host", "count"), "host", "left", ["id"], 0)
+        tasks = [r[0] for r in got.filter("host IS NULL").groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(tasks) == 2001 and len(tasks) == 4 and max(tasks) < 800
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_table_bytes_grows_with_rows_and_texts(spark):
     one = spark.createDataFrame([("abc",)], "s string")
     assert 0 < lookup.table_bytes(one) < lookup.table_bytes(one.withColumn("s", F.repeat("s", F.lit(10))))

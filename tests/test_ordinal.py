@@ -57,6 +57,23 @@ def test_order_by_time(spark):
         assert got == list(range(1, 101))
 
 
+def test_zone_less_times_ignore_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.range(240).selectExpr("id", "timestamp_ntz'2024-10-26 23:00:00' + make_dt_interval(0, 0, id) AS ts")
+        got = ordinal.with_ordinal(df.repartition(4), "ts", rows_per_bucket=10).collect()
+        assert all(r.ordinal == r.id + 1 for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_more_buckets_than_the_grid(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "GRID", 4)
+    df = spark.range(1000).repartition(3)
+    assert len(ordinal._bounds(df.selectExpr("CAST(id AS DOUBLE) AS p"), "p", 50)) >= 15
+    assert all(r.ordinal == r.id + 1 for r in ordinal.with_ordinal(df, "id", rows_per_bucket=50).collect())
+
+
 def test_count_batches_are_exact_and_keep_the_rest(spark, rows):
     df = spark.createDataFrame(rows, "id long, g string")
     got = ordinal.count_batches(df, "id", size=400, rows_per_bucket=50).orderBy("id").collect()

@@ -31,13 +31,12 @@ def test_topic_rows_and_back(spark):
     assert back.host == "a.example" and back.line.startswith("action_type[[:]]POST")
 
 
-def test_archive_both_forms(spark, tmp_path):
-    rows = spark.createDataFrame([(1, "x"), (2, "y")], "seq int, line string")
-    sinks.write_archive(rows, str(tmp_path / "p"))
-    sinks.write_archive(rows, str(tmp_path / "p"))
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 4
-    sinks.write_archive_sequence_file(rows, str(tmp_path / "s"))
-    assert sorted(spark.sparkContext.sequenceFile(str(tmp_path / "s")).collect()) == [(1, "x\n"), (2, "y\n")]
+def test_archive_per_batch(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for batch in (0, 1):
+        sinks.write_archive(spark.createDataFrame([(batch, 1, "x"), (batch, 2, "y")], "batch long, seq int, line string"), path)
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r.batch, r.seq, r.line) for r in rows) == [(0, 1, "x"), (0, 2, "y"), (1, 1, "x"), (1, 2, "y")]
 
 
 def test_json_per_key(spark, tmp_path):

@@ -46,7 +46,7 @@ def test_a_replayed_batch_replaces_itself(spark, root):
 def test_unfinished_batches_are_not_read(spark, root):
     put(spark, root, 0, a=1)
     put(spark, root, 1, a=2)
-    os.remove(f"{root}/counts/batch=1/_SUCCESS")
+    os.remove(f"{root}/counts/writer=main/batch=1/_SUCCESS")
     assert read(spark, root) == {"a": (1, "0")}
 
 
@@ -58,7 +58,7 @@ def test_fold(spark, root, keep):
     before = read(spark, root)
     state.fold(spark, root, keep_history=keep)
     assert read(spark, root) == before
-    assert os.path.exists(f"{root}/counts/batch=0") == keep
+    assert os.path.exists(f"{root}/counts/writer=main/batch=0") == keep
     put(spark, root, 1, a=2)  # replayed after the fold
     assert read(spark, root) == before
     put(spark, root, 2, c=4)
@@ -67,3 +67,42 @@ def test_fold(spark, root, keep):
     state.fold(spark, root)
     state.fold(spark, root)
     assert read(spark, root) == {"a": (3, "1"), "b": (1, "1"), "c": (4, "0")}
+    if not keep:
+        with pytest.raises(ValueError, match="folded"):
+            read(spark, root, through=1)
+
+
+def test_writers_do_not_touch_each_other(spark, root):
+    counts = spark.createDataFrame([("a", 5)], "host string, count long")
+    state.put_counts(counts, root, 0, "one")
+    state.put_counts(counts, root, 0, "two")
+    assert read(spark, root) == {"a": (10, "0")}
+    state.fold(spark, root)
+    state.put_counts(counts, root, 0, "three")  # a new writer begins at 0 again
+    assert read(spark, root) == {"a": (15, "0")}
+
+
+def test_a_batch_done_again_uses_its_listing(spark, root):
+    list_hosts(spark, root, a="1")
+    assert state.pinned_listing(spark, root, "w", 0) == 0
+    list_hosts(spark, root, a="0", b="1")
+    assert state.pinned_listing(spark, root, "w", 0) == 0 and state.pinned_listing(spark, root, "w", 1) == 1
+    assert {r.host: r.status for r in state.read_listing(spark, root, through=0).collect()} == {"a": "1"}
+
+
+def test_point_read_skips_row_groups(spark, root):
+    rows = spark.range(200_000).selectExpr("format_string('h%07d', id) AS host", "id AS count")
+    spark.conf.set("parquet.block.size", "65536")
+    try:
+        state.put_counts(rows.repartition(1), root, 0)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    one = state.state_get(state.read_counts(spark, root), "h0100000")
+    assert "EqualTo(host,h0100000)" in one._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in one.collect()] == [("h0100000", 100_000)]
+    import pyarrow.parquet as pq
+
+    file = next(f for f in os.listdir(f"{root}/counts/writer=main/batch=0") if f.endswith(".parquet"))
+    meta = pq.ParquetFile(f"{root}/counts/writer=main/batch=0/{file}").metadata
+    bounds = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+    assert all(a.max <= b.min for a, b in zip(bounds, bounds[1:]))

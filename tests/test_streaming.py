@@ -54,7 +54,8 @@ def test_counts_are_folded_every_so_many_batches(spark, source):
         source.add("a", "b")
     root = f"{source.root}/state"
     jobs.count_into_state(source.stream(), root, f"{source.root}/cp", fold_every=2).awaitTermination()
-    assert sorted(os.listdir(f"{root}/counts")) == ["base=3", "batch=4"]
+    (me,) = os.listdir(f"{root}/counts")
+    assert sorted(os.listdir(f"{root}/counts/{me}")) == ["base=3", "batch=4"]
     assert read_counts(spark, root) == {"a": 5, "b": 5}
 
 
@@ -70,6 +71,52 @@ def test_replayed_micro_batch_counts_once(spark, source):
     assert read_counts(spark, f"{source.root}/state") == {"a": 1, "b": 1}
 
 
+def test_two_streams_and_a_new_checkpoint_share_a_state(spark, source):
+    source.add("a", "b")
+    source.add("a")
+    root = f"{source.root}/state"
+    for cp in ("one", "two"):
+        jobs.count_into_state(source.stream(), root, f"{source.root}/{cp}").awaitTermination()
+    state.fold(spark, root)
+    jobs.count_into_state(source.stream(), root, f"{source.root}/three").awaitTermination()
+    assert read_counts(spark, root) == {"a": 6, "b": 3}
+
+
+def test_old_files_are_read(spark, tmp_path):
+    import os
+    import time
+
+    folder, out = tmp_path / "t.parquet", str(tmp_path / "out")
+    for day in (0, 20, 4000):
+        before = set(folder.iterdir()) if folder.exists() else set()
+        spark.range(day, day + 1).coalesce(1).write.mode("append").parquet(str(folder))
+        for file in set(folder.iterdir()) - before:
+            os.utime(file, (time.time() - day * 86_400,) * 2)
+        stream = stream_table(spark, str(tmp_path), "t", max_files=1)
+        jobs.writer(stream, f"{out}-cp").format("parquet").start(out).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 20, 4000]
+
+
+def test_sift_done_again_after_it_folded(spark, source):
+    """The driver dies before the commit of a batch that has folded; the listing changes; the batch is done again."""
+    import os
+
+    root, cp = f"{source.root}/state", f"{source.root}/cp"
+
+    def run():
+        jobs.sift_stream(source.stream(), root, f"{source.root}/archive", cp, fold_every=1).awaitTermination()
+
+    state.put_listing(spark.createDataFrame([("a", "1")], "host string, status string"), root)
+    source.add("a", "b")
+    run()
+    state.put_listing(spark.createDataFrame([("a", "0"), ("b", "1")], "host string, status string"), root)
+    for name in os.listdir(f"{cp}/commits"):
+        os.remove(f"{cp}/commits/{name}")
+    run()
+    assert read_counts(spark, root) == {"b": 1}
+    assert [r.host for r in spark.read.parquet(f"{source.root}/archive").collect()] == ["b"]
+
+
 def test_sift_reads_the_allowlist_in_every_micro_batch(spark, source):
     root = f"{source.root}/state"
 
