@@ -1,7 +1,7 @@
 """Parts of a captured request text as column expressions.
 
-A request is text: a request line, header lines, then either a JSON payload on the last line (GET)
-or ``name[[:]]value`` lines (POST).
+A request is text: a request line (its first line that is not empty), header lines, then either a JSON payload on the
+last line (GET, which may have none) or ``name[[:]]value`` lines (all other methods).
 """
 
 from __future__ import annotations
@@ -13,19 +13,21 @@ from pyspark.sql import functions as F
 
 from .text import PAIR_SEP, after_first
 
-REQUEST_LINE = r"(?m)^(GET|POST)[ \t]+(\S+)"
+# The methods of HTTP.
+METHODS = ("GET", "HEAD", "POST", "PUT", "DELETE", "CONNECT", "OPTIONS", "TRACE", "PATCH")
+REQUEST_LINE = rf"^\s*({'|'.join(METHODS)})[ \t]+(\S+)"
 HOST_LINE = r"(?im)^[ \t]*host[ \t]*:[ \t]*(?:[^@\s]*@)?(\[[^\]\s]*\]|[^:\s]*)"
 # A header name has none of these; lines such as form bodies or JSON are not headers.
 NOT_IN_HEADER_NAME = " \t=&?{}[]<>\"'"
-BROKEN_REQUEST_LINE = r"^(?:GET|POST)(?![ \t]+\S)"
-URL_HOST = r"^[a-z]+://(?:[^/?#\s]*@)?([^/:?#]+)"
+HEADER_LINE = r"^[ \t]*[A-Za-z0-9!#$%&'*+.^_`|~-]+[ \t]*:"
+URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#\s]*@)?(\[[^\]/?#]*\]|[^/:?#]+)"
 
 _WHITE = " \t\f"
 
 
 def url_host(url: Column) -> Column:
-    """Host of an absolute URL, without port or userinfo; empty when there is none."""
-    return F.regexp_extract(url, URL_HOST, 1)
+    """Host of an absolute URL in lower case, without port or userinfo; empty when there is none."""
+    return F.lower(F.regexp_extract(url, URL_HOST, 1))
 
 
 def _trim(s: Column) -> Column:
@@ -69,8 +71,8 @@ def last_line(text_body: Column) -> Column:
 
 
 def host(text: Column) -> Column:
-    """Host header without port or userinfo; empty when absent."""
-    return F.regexp_extract(text, HOST_LINE, 1)
+    """Host header in lower case, without port or userinfo; empty when absent."""
+    return F.lower(F.regexp_extract(text, HOST_LINE, 1))
 
 
 def url(text: Column) -> Column:
@@ -79,11 +81,14 @@ def url(text: Column) -> Column:
 
 
 def method(text: Column) -> Column:
-    return F.when(F.regexp_extract(text, REQUEST_LINE, 1) == "GET", F.lit("GET")).otherwise(F.lit("POST"))
+    """The method of the request line; null when the text has no such line."""
+    return F.nullif(F.regexp_extract(text, REQUEST_LINE, 1), F.lit(""))
 
 
-def has_broken_request_line(text: Column) -> Column:
-    return text.rlike(BROKEN_REQUEST_LINE)
+def has_payload(text_body: Column) -> Column:
+    """True when the last line is neither empty nor a header nor the request line, so must be the payload."""
+    line = last_line(text_body)
+    return text_body.contains("\n") & line.rlike(r"\S") & ~line.rlike(HEADER_LINE)
 
 
 def payload_entries(line: Column) -> Column:

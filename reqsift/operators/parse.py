@@ -27,7 +27,7 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
     They are many; building them once per JVM keeps the set-up of a query or micro-batch short.
     """
     source = F.col(text)
-    is_get = F.col("_method") == "GET"
+    is_get = F.col("_method").eqNullSafe(F.lit("GET"))
     named = F.col("_named")
 
     def carries(names: tuple[str, ...]) -> Column:
@@ -40,8 +40,10 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
     return {
         "method": request.method(source),
         "body": request.body(source),
-        "payload": F.when(is_get, request.payload_entries(request.last_line(F.col("_body")))).otherwise(_no_entries()),
-        "bad": is_blank(source) | request.has_broken_request_line(source) | F.col("_payload").isNull(),
+        "payload": F.when(
+            is_get & request.has_payload(F.col("_body")), request.payload_entries(request.last_line(F.col("_body")))
+        ).otherwise(_no_entries()),
+        "bad": is_blank(source) | F.col("_method").isNull() | F.col("_payload").isNull(),
         "multipart": ~is_get & request.is_multipart(F.col("_body")),
         "lines": F.when(~is_get, request.lines(F.col("_body"))),
         "host": request.host(source).alias("host"),
@@ -70,7 +72,7 @@ def _parser(text: str) -> dict[str, Column]:
 def classify(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``_method``, ``_body``, ``_payload`` and the flag ``_bad`` for texts that are no request.
 
-    Bad are: empty or unreadable texts, a request line without a target, a GET whose payload is not JSON.
+    Bad are: empty or unreadable texts, texts without a request line, a GET with a payload that is not the JSON it should be.
     """
     x = _parser(text)
     df = df.withColumns({"_method": x["method"], "_body": x["body"]})

@@ -1,7 +1,7 @@
 """Request texts and archives derived from the ``pages`` table, as input for the named queries.
 
 Every page becomes one captured request, with planted credentials (``PLANTED-…``), ports, missing hosts
-and broken records at fixed page numbers, so that the expected records can be stated in SQL.
+and broken records, a further method, hosts in capitals and plain GETs at fixed page numbers, so that the expected records can be stated in SQL.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def transcripts(pages: DataFrame) -> DataFrame:
     secret = _text("PLANTED-SECRET-", no)
 
     host_line = F.when(
-        pid % 7 != 0, _text("Host: ", F.col("host"), F.when(pid % 4 < 2, F.lit(":8080")).otherwise(F.lit("")))
+        pid % 7 != 0, _text("Host: ", F.when(pid % 8 == 3, F.upper("host")).otherwise(F.col("host")), F.when(pid % 4 < 2, F.lit(":8080")).otherwise(F.lit("")))
     )
     token = F.when(
         pid % 3 == 0, _text(F.when(rest.contains("?"), F.lit("&")).otherwise(F.lit("?")), "token=", secret)
@@ -65,15 +65,22 @@ def transcripts(pages: DataFrame) -> DataFrame:
         .when(pid % 4 == 0, _text('{"data":{', members('"'), "}}"))
         .otherwise(_text('{"data":"{', members('\\"'), '}"}'))
     )
+    plain = pid % 10 == 0
     get = _lines(
-        _text("GET ", rest, token, " HTTP/1.1"), host_line, _text("Cookie: sid=", secret), F.lit(""), payload
+        _text("GET ", rest, token, " HTTP/1.1"),
+        host_line,
+        _text("Cookie: sid=", secret),
+        F.when(~plain, F.lit("")),
+        F.when(~plain, payload),
     )
 
     target = F.when(
         pid % 5 == 0, _text(scheme, "://bob:", secret, "@", F.col("host"), rest)
     ).otherwise(F.col("url"))
     post = _lines(
-        F.when(pid % 21 == 0, F.lit("POST/broken")).otherwise(_text("POST ", target, " HTTP/1.1")),
+        F.when(pid % 21 == 0, F.lit("POST/broken")).otherwise(
+            _text(F.when(pid % 13 == 0, F.lit("PUT ")).otherwise(F.lit("POST ")), target, " HTTP/1.1")
+        ),
         host_line,
         _text("Referer: ", F.col("url")),
         _text("Authorization: Basic ", secret),
@@ -83,9 +90,11 @@ def transcripts(pages: DataFrame) -> DataFrame:
         F.lit("Empty[[:]]"),
         F.when(pid % 3 == 1, _text("Username[[:]]PLANTED-USER-", no)),
         F.when(pid % 3 == 1, _text("Password[[:]]", secret)),
+        F.lit("GET it now"),
         F.lit("Note[[:]]will GET it"),
     )
-    return requests_of(pages).select("page_id", F.when(pid % 2 == 0, get).otherwise(post).alias("text"))
+    text = F.when(pid % 34 == 17, F.lit("hello world")).when(pid % 2 == 0, get).otherwise(post)
+    return requests_of(pages).select("page_id", text.alias("text"))
 
 
 def placed_transcripts(pages: DataFrame) -> DataFrame:

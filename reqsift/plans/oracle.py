@@ -19,19 +19,21 @@ PARSED = (
 base AS (
   SELECT page_id, url, host, CAST(page_id AS VARCHAR) AS no,
     regexp_replace(url, '^[a-z]+://[^/?#]+', '') AS rest, split_part(url, '://', 1) AS scheme,
-    page_id % 2 = 0 AS is_get
+    page_id % 2 = 0 AS is_get, page_id % 34 = 17 AS junk, page_id % 10 = 0 AS plain
   FROM pages JOIN (SELECT page_id, host FROM req) USING (page_id)),
 every AS (
   SELECT page_id, no,
-    CASE WHEN is_get THEN 'GET' WHEN page_id % 21 = 0 THEN 'POST' ELSE 'POST' END AS action_type,
-    CASE WHEN is_get THEN page_id % 22 = 0 ELSE page_id % 21 = 0 END AS bad,
-    CASE WHEN page_id % 7 = 0 THEN '' ELSE host END AS host,
-    CASE WHEN is_get THEN rest || CASE WHEN page_id % 3 = 0
+    CASE WHEN is_get THEN 'GET' WHEN junk OR page_id % 21 = 0 THEN NULL WHEN page_id % 13 = 0 THEN 'PUT' ELSE 'POST' END
+      AS action_type,
+    CASE WHEN is_get THEN page_id % 22 = 0 AND NOT plain ELSE junk OR page_id % 21 = 0 END AS bad,
+    CASE WHEN junk OR page_id % 7 = 0 THEN '' ELSE host END AS host,
+    CASE WHEN junk THEN '' WHEN is_get THEN rest || CASE WHEN page_id % 3 = 0
            THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'token=[redacted]' ELSE '' END
          WHEN page_id % 21 = 0 THEN '' ELSE url END AS url,
     NOT is_get AND page_id % 3 = 1 AS has_username,
-    CASE WHEN is_get THEN page_id % 6 = 0 ELSE page_id % 3 = 1 END AS has_password,
-    CASE WHEN is_get
+    CASE WHEN is_get THEN page_id % 6 = 0 AND NOT plain ELSE page_id % 3 = 1 END AS has_password,
+    CASE WHEN is_get AND plain THEN ''
+      WHEN is_get
       THEN 'page[[:]]' || no || CASE WHEN page_id % 6 = 0 THEN '[[--]]password[[:]][redacted]' ELSE '' END
            || '[[--]]title[[:]]' || host
       ELSE 'authorization[[:]][redacted][[--]]referer[[:]]' || url END AS fields,
@@ -44,7 +46,8 @@ parsed AS (SELECT * FROM every WHERE NOT bad),
 framed AS (
   SELECT page_id, host || '|| action_type[[:]]' || action_type
     || CASE WHEN action_type = 'GET'
-       THEN '[[--]]host[[:]]' || host || '[[--]]' || fields || '[[--]]url[[:]]' || url
+       THEN '[[--]]host[[:]]' || host || CASE WHEN fields <> '' THEN '[[--]]' || fields ELSE '' END
+         || '[[--]]url[[:]]' || url
        ELSE '[[--]]authorization[[:]][redacted][[--]]host[[:]]' || host || '[[--]]'
          || split_part(fields, '[[--]]', 2) || '[[--]]request_parameters[[:]]' || request_parameters
          || '[[--]]url[[:]]' || url END AS line
@@ -63,29 +66,30 @@ base AS (
 parts AS (
   SELECT *,
     CASE WHEN page_id % 7 <> 0
-      THEN 'Host: ' || host || CASE WHEN page_id % 4 < 2 THEN ':8080' ELSE '' END || chr(10) ELSE '' END AS host_line,
+      THEN 'Host: ' || CASE WHEN page_id % 8 = 3 THEN upper(host) ELSE host END || CASE WHEN page_id % 4 < 2 THEN ':8080' ELSE '' END || chr(10) ELSE '' END AS host_line,
     q || 'Page' || q || '[[:]]' || q || no || q || ',' || q || 'Title' || q || '[[:]]' || q || host || q
       || CASE WHEN page_id % 6 = 0 THEN ',' || q || 'Password' || q || '[[:]]' || q || secret || q ELSE '' END AS members
   FROM base),
 texts AS (
   SELECT page_id, 20240101 + day_no AS day, chunk,
     no || CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.txt' END AS entry,
-    CASE WHEN page_id % 2 = 0 THEN
+    CASE WHEN page_id % 34 = 17 THEN 'hello world' WHEN page_id % 2 = 0 THEN
       'GET ' || rest || CASE WHEN page_id % 3 = 0
         THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'token=' || secret ELSE '' END
-        || ' HTTP/1.1' || chr(10) || host_line || 'Cookie: sid=' || secret || chr(10) || chr(10)
-        || CASE WHEN page_id % 22 = 0 THEN '{"data":'
-                WHEN page_id % 4 = 0 THEN '{"data":{' || members || '}}'
-                ELSE '{"data":"{' || members || '}"}' END
+        || ' HTTP/1.1' || chr(10) || host_line || 'Cookie: sid=' || secret
+        || CASE WHEN page_id % 10 = 0 THEN ''
+                WHEN page_id % 22 = 0 THEN chr(10) || chr(10) || '{"data":'
+                WHEN page_id % 4 = 0 THEN chr(10) || chr(10) || '{"data":{' || members || '}}'
+                ELSE chr(10) || chr(10) || '{"data":"{' || members || '}"}' END
     ELSE
       CASE WHEN page_id % 21 = 0 THEN 'POST/broken'
-           ELSE 'POST ' || CASE WHEN page_id % 5 = 0 THEN scheme || '://bob:' || secret || '@' || host || rest
+           ELSE CASE WHEN page_id % 13 = 0 THEN 'PUT ' ELSE 'POST ' END || CASE WHEN page_id % 5 = 0 THEN scheme || '://bob:' || secret || '@' || host || rest
                                 ELSE url END || ' HTTP/1.1' END
         || chr(10) || host_line || 'Referer: ' || url || chr(10) || 'Authorization: Basic ' || secret || chr(10) || chr(10)
         || 'Page[[:]]' || no || chr(10) || 'Scheme[[:]]' || scheme || chr(10) || 'Empty[[:]]' || chr(10)
         || CASE WHEN page_id % 3 = 1 THEN 'Username[[:]]PLANTED-USER-' || no || chr(10)
              || 'Password[[:]]' || secret || chr(10) ELSE '' END
-        || 'Note[[:]]will GET it' END AS text
+        || 'GET it now' || chr(10) || 'Note[[:]]will GET it' END AS text
   FROM parts)"""
 )
 
@@ -198,9 +202,9 @@ ORACLE: dict[str, str] = {
     "exposure_by_host": _with(
         PARSED,
         """SELECT host, count(*) AS requests, count(*) FILTER (has_username) AS with_username,
-        count(*) FILTER (has_password) AS with_password, count(*) FILTER (action_type = 'POST') AS with_basic,
+        count(*) FILTER (has_password) AS with_password, count(*) FILTER (action_type <> 'GET') AS with_basic,
         0::BIGINT AS with_bearer, count(*) FILTER (action_type = 'GET') AS with_session,
-        count(*) FILTER (action_type = 'POST' AND page_id % 5 = 0) AS with_userinfo,
+        count(*) FILTER (action_type <> 'GET' AND page_id % 5 = 0) AS with_userinfo,
         count(*) FILTER (NOT starts_with(url, 'https://')) AS exposed,
         count(*) FILTER (NOT starts_with(url, 'https://')) / count(*) AS exposed_share
         FROM parsed GROUP BY host""",
@@ -241,4 +245,9 @@ ORACLE: dict[str, str] = {
     "stopped_and_restarted": _with(REQ, "SELECT host, count(*) AS count, '0' AS status FROM req GROUP BY host"),
     # steps by name
     "steps_from_spec": _with(STATE, RANKED),
+    "archives_to_archive": _with(
+        PARSED,
+        """SELECT (row_number() OVER (ORDER BY page_id) - 1) // 100 AS batch,
+        CAST((row_number() OVER (ORDER BY page_id) - 1) % 100 + 1 AS INTEGER) AS seq, line FROM framed""",
+    ),
 }

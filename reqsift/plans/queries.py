@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -636,12 +637,40 @@ def stopped_and_restarted(spark, folder):
 
 @query
 def steps_from_spec(spark, folder):
-    """The sifting step once more, as a list of named steps; equals ``hosts_by_count``."""
-    listing = state.read_listing(spark, _stored_listing(spark, folder))
+    """The sifting step once more, from a JSON text alone; equals ``hosts_by_count``."""
+    source = scratch_dir(spark, "requests")
+    _requests(spark, folder).write.parquet(f"{source}/requests.parquet")
+    spec = json.dumps(
+        [
+            {"step": "read_table", "folder": source, "name": "requests"},
+            {"step": "nonblank", "cols": ["host"]},
+            {"step": "drop_listed", "state": _stored_listing(spark, folder), "spread_by": ["page_id"]},
+            {"step": "count_by", "key": "host"},
+            {"step": "rank_by_count"},
+        ]
+    )
+    return default_registry().run(spark, spec)
+
+
+@query
+def archives_to_archive(spark, folder):
+    """From zip archives to JSON lines and on to the archive by specs."""
+    out = scratch_dir(spark, "by-spec")
     spec = [
+        {"step": "read_archives", "root": _archive_root(spark, folder)},
+        {"step": "explode_archives"},
+        {"step": "parse_requests", "keep": ["entry"]},
         {"step": "nonblank", "cols": ["host"]},
-        {"step": "drop_listed", "state": listing, "spread_by": ["page_id"]},
-        {"step": "count_by", "key": "host"},
-        {"step": "rank_by_count"},
+        {"step": "framed_lines"},
+        {"step": "select", "cols": ["entry", "host", "line"]},
+        {"step": "append_json", "key": "host", "path": f"{out}/json", "key_buckets": 4},
+    ]
+    default_registry().run(spark, json.dumps(spec))
+    lines = spark.read.schema("entry string, line string").json(f"{out}/json")
+    numbered = lines.withColumn("no", F.substring_index("entry", ".", 1).cast("long"))
+    tail = [
+        {"step": "count_batches", "order_by": "no", "size": ARCHIVE_ROWS},
+        {"step": "write_archive", "path": f"{out}/rows"},
     ]
-    return default_registry().apply(_requests(spark, folder), spec)
+    default_registry().apply(numbered, tail)
+    return spark.read.parquet(f"{out}/rows")

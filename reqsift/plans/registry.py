@@ -2,39 +2,71 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import counts, filters, lookup, ordinal, parse, sinks, windows
+from ..operators import state as state_table
 from ..sources import archives, topics
+from ..sources.tables import read_table
 
 Apply = Callable[..., DataFrame]
 Check = Callable[[Mapping[str, Any]], list[str]]
 
 
+#: What a parameter of this name must be; others may be anything.
+TYPES: dict[str, tuple[type, ...]] = {
+    **dict.fromkeys(("col", "key", "ts", "duration", "order_by", "ordinal", "charset", "text", "value", "line", "mode"), (str,)),
+    **dict.fromkeys(("path", "root", "folder", "name", "glob", "writer"), (str,)),
+    **dict.fromkeys(("cols", "values", "keep", "spread_by", "within", "ties"), (list, tuple)),
+    **dict.fromkeys(("limit", "size", "rows_per_bucket", "max_broadcast_bytes", "after_day", "number", "key_buckets"), (int,)),
+    **dict.fromkeys(("state", "other"), (str, DataFrame)),
+}
+POSITIVE = ("limit", "size", "rows_per_bucket", "key_buckets")
+
+
 @dataclass(frozen=True)
 class Step:
-    """A function ``(DataFrame, **params) -> DataFrame`` with what it needs to be told."""
+    """A function ``(DataFrame, **params) -> DataFrame`` with what it needs to be told.
+
+    A ``source`` takes the session instead of a DataFrame and can only come first.
+    """
 
     name: str
     apply: Apply
     required: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
     check: Check | None = None
+    source: bool = False
 
     def validate(self, params: Mapping[str, Any]) -> list[str]:
         """Problems with ``params``; an empty list means none."""
         known = set(self.required) | set(self.optional)
         problems = [f"{self.name}: missing parameter '{p}'" for p in self.required if p not in params]
         problems += [f"{self.name}: unknown parameter '{p}'" for p in params if p not in known]
+        for p, given in params.items():
+            kinds = TYPES.get(p) if p in known else None
+            if kinds and (not isinstance(given, kinds) or isinstance(given, bool)):
+                problems.append(f"{self.name}: '{p}' must be {' or '.join(_TYPE_NAMES[k] for k in kinds[:1] + kinds[2:])}")
+            elif kinds == (list, tuple) and not all(isinstance(x, str) for x in given):
+                problems.append(f"{self.name}: '{p}' must hold texts")
+            elif p in POSITIVE and p in known and given <= 0:
+                problems.append(f"{self.name}: '{p}' must be positive")
         if self.check and not problems:
-            problems += [f"{self.name}: {p}" for p in self.check(params)]
+            try:
+                problems += [f"{self.name}: {p}" for p in self.check(params)]
+            except Exception as error:
+                problems.append(f"{self.name}: {error}")
         return problems
 
 
+_TYPE_NAMES = {str: "a text", int: "a whole number", list: "a list of texts", DataFrame: "a table"}
+
+
 @dataclass
 class Registry:
     steps: dict[str, Step] = field(default_factory=dict)
@@ -47,12 +79,19 @@ class Registry:
 
     def validate(self, spec: Sequence[Mapping[str, Any]]) -> list[str]:
         """Problems with a spec, a list of ``{"step": name, **params}``, before any plan is built."""
+        if not isinstance(spec, (list, tuple)):
+            return ["a spec is a list of steps"]
         problems = []
         for i, item in enumerate(spec):
+            if not isinstance(item, Mapping):
+                problems.append(f"item {i}: a step is a mapping")
+                continue
             name = item.get("step")
-            if name not in self.steps:
+            if not isinstance(name, str) or name not in self.steps:
                 problems.append(f"item {i}: unknown step '{name}'")
             else:
+                if self.steps[name].source and i:
+                    problems.append(f"item {i}: {name}: a source comes first")
                 problems += [f"item {i}: {p}" for p in self.steps[name].validate(_params(item))]
         return problems
 
@@ -61,44 +100,131 @@ class Registry:
         problems = self.validate(spec)
         if problems:
             raise ValueError("; ".join(problems))
+        if spec and self.steps[spec[0]["step"]].source:
+            raise ValueError("a spec with a source is run, not applied to a table")
         for item in spec:
             df = df.transform(self.steps[item["step"]].apply, **_params(item))
         return df
 
+    def run(self, spark: SparkSession, spec: Sequence[Mapping[str, Any]] | str) -> DataFrame:
+        """A spec that begins with a source, as a list or as JSON text; returns what the last step gives.
+
+        Sinks write when they are reached and pass their rows on.
+        """
+        spec = json.loads(spec) if isinstance(spec, str) else spec
+        problems = self.validate(spec)
+        if not problems and not (spec and self.steps[spec[0]["step"]].source):
+            problems = ["item 0: the first step must be a source"]
+        if problems:
+            raise ValueError("; ".join(problems))
+        return self.apply(self.steps[spec[0]["step"]].apply(spark, **_params(spec[0])), spec[1:])
+
 
 def _params(item: Mapping[str, Any]) -> dict[str, Any]:
     return {k: v for k, v in item.items() if k != "step"}
 
 
-def _positive(name: str) -> Check:
-    return lambda params: [] if params.get(name, 1) > 0 else [f"'{name}' must be positive"]
+def _frame(df: DataFrame, table: DataFrame | str) -> DataFrame:
+    """A table given as such or by the path of its Parquet files."""
+    return table if isinstance(table, DataFrame) else df.sparkSession.read.parquet(table)
+
+
+def _listing(df: DataFrame, table: DataFrame | str) -> DataFrame:
+    """A listing given as such or by the root of a stored state."""
+    return table if isinstance(table, DataFrame) else state_table.read_listing(df.sparkSession, table)
+
+
+def _known(df: DataFrame, table: DataFrame | str) -> DataFrame:
+    return table if isinstance(table, DataFrame) else state_table.read_state(df.sparkSession, table)
 
 
 def _nonblank(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return filters.nonblank(df, *cols)
 
 
+def _select(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(*cols)
+
+
 def _distinct(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     return counts.distinct_per_key(df, key, *values)
 
 
+def _windowed(df: DataFrame, ts: str, duration: str, key: str, values: Sequence[str]) -> DataFrame:
+    return windows.windowed_distinct(df, ts, duration, key, *values)
+
+
+def _drop_listed(df: DataFrame, state: DataFrame | str, **options) -> DataFrame:
+    return lookup.drop_listed(df, _listing(df, state), **options)
+
+
+def _enrich(df: DataFrame, state: DataFrame | str, **options) -> DataFrame:
+    return lookup.enrich_with_state(df, _known(df, state), **options)
+
+
+def _merge(df: DataFrame, state: DataFrame | str, key: str = "host") -> DataFrame:
+    return counts.merge_counts(_known(df, state), df, key)
+
+
+def _union(df: DataFrame, key: str, other: DataFrame | str) -> DataFrame:
+    return counts.union_keys(key, df, _frame(df, other))
+
+
+def _difference(df: DataFrame, other: DataFrame | str, key: str = "host") -> DataFrame:
+    return counts.key_difference(df, _frame(df, other), key)
+
+
+def _read_archives(spark: SparkSession, root: str, after_day: int | None = None, glob: str = "*.zip") -> DataFrame:
+    return archives.scan_days(spark, root, after_day, glob)
+
+
+def _write_archive(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    sinks.write_archive(df, path, mode)
+    return df
+
+
+def _append_json(df: DataFrame, key: str, path: str, **options) -> DataFrame:
+    sinks.append_json(df, key, path, **options)
+    return df
+
+
+def _put_counts(df: DataFrame, root: str, number: int, writer: str = state_table.WRITER) -> DataFrame:
+    state_table.put_counts(df, root, number, writer)
+    return df
+
+
 def default_registry() -> Registry:
     registry = Registry()
     for step in (
+        Step("read_table", read_table, ("folder", "name"), source=True),
+        Step("read_archives", _read_archives, ("root",), ("after_day", "glob"), source=True),
+        Step("read_state", state_table.read_state, ("root",), source=True),
         Step("explode_archives", archives.explode_archives, (), ("charset",)),
         Step("parse_requests", parse.parse_requests, (), ("text", "keep", "observation")),
         Step("unframe", topics.unframe, (), ("value",)),
+        Step("select", _select, ("cols",)),
         Step("nonblank", _nonblank, ("cols",)),
         Step("key_equals", filters.key_equals, ("col", "value")),
-        Step("drop_listed", lookup.drop_listed, ("state",), ("key", "spread_by", "max_broadcast_bytes")),
-        Step("enrich_with_state", lookup.enrich_with_state, ("state",), ("key", "spread_by", "max_broadcast_bytes")),
+        Step("listed", filters.listed),
+        Step("drop_listed", _drop_listed, ("state",), ("key", "spread_by", "max_broadcast_bytes")),
+        Step("enrich_with_state", _enrich, ("state",), ("key", "spread_by", "max_broadcast_bytes")),
         Step("count_by", counts.count_by, (), ("key",)),
-        Step("rank_by_count", counts.rank_by_count, (), ("key", "limit"), _positive("limit")),
+        Step("merge_counts", _merge, ("state",), ("key",)),
+        Step("total_count", counts.total_count),
+        Step("rank_by_count", counts.rank_by_count, (), ("key", "limit")),
         Step("distinct_per_key", _distinct, ("key", "values")),
+        Step("union_keys", _union, ("key", "other")),
+        Step("key_difference", _difference, ("other",), ("key",)),
         Step("exposure_by_host", counts.exposure_by_host),
         Step("tumbling_counts", windows.tumbling_counts, ("ts", "duration", "key")),
-        Step("count_batches", ordinal.count_batches, ("order_by",), ("size", "rows_per_bucket"), _positive("size")),
+        Step("windowed_distinct", _windowed, ("ts", "duration", "key", "values")),
+        Step("with_ordinal", ordinal.with_ordinal, ("order_by",), ("within", "ordinal", "rows_per_bucket", "ties")),
+        Step("count_batches", ordinal.count_batches, ("order_by",), ("size", "rows_per_bucket")),
         Step("framed_lines", sinks.framed_lines),
+        Step("topic_rows", sinks.topic_rows, (), ("line",)),
+        Step("write_archive", _write_archive, ("path",), ("mode",)),
+        Step("append_json", _append_json, ("key", "path"), ("mode", "key_buckets")),
+        Step("put_counts", _put_counts, ("root", "number"), ("writer",)),
     ):
         registry.register(step)
     return registry

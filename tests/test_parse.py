@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import Observation
 
+from reqsift.functions.request import url_host
 from reqsift.operators.parse import parse_requests
 
 GET = 'GET /search?q=tea HTTP/1.1\nHost: shop.example.com\n{"data":"{\\"Q\\"[[:]]\\"tea\\",\\"Page\\"[[:]]\\"2\\"}"}'
@@ -64,8 +65,10 @@ def test_payload_cannot_overwrite_columns(spark):
         get("{}"),
         get('{"data":null}'),
         get('{"data":"no json"}'),
-        get('{"data":{}}\n\n'),  # empty last line
         "POST/x HTTP/1.1\nHost: h",
+        "hello world",
+        "HEAD",
+        "Host: h\nGET /a HTTP/1.1",  # the request line comes first
         "GET\nHost: h",
     ],
 )
@@ -115,9 +118,23 @@ def test_post_with_get_in_body_stays_post(spark):
     assert r.action_type == "POST" and [tuple(p) for p in r.request_parameters] == [("note", "GET this")]
 
 
-def test_other_methods_count_as_post_without_url(spark):
-    r = one(spark, "PUT /x HTTP/1.1\nHost: a")
-    assert (r.action_type, r.url, r.host) == ("POST", "", "a")
+def test_other_methods_and_a_body_line_like_a_request_line(spark):
+    r = one(spark, "PUT /x HTTP/1.1\nHost: a\n\nGET it now\nk[[:]]v")
+    assert (r.action_type, r.url, r.host) == ("PUT", "/x", "a") and [tuple(p) for p in r.request_parameters] == [("k", "v")]
+    assert one(spark, "\r\n\n HEAD /y HTTP/1.1\nHost: a").action_type == "HEAD"
+
+
+@pytest.mark.parametrize("rest", ["", "\nHost: h", "\nHost: h\nAccept: */*\n", "\nHost: h\n\n"])
+def test_get_without_payload_is_kept(spark, rest):
+    r = one(spark, "GET /a HTTP/1.1" + rest)
+    assert (r.action_type, r.url, r.fields) == ("GET", "/a", {})
+
+
+def test_hosts_in_any_case_and_bracketed(spark):
+    assert one(spark, "POST /x HTTP/1.1\nHost: A.Example.COM:80").host == "a.example.com"
+    urls = ["HTTP://A/x", "http://[::1]:80/x", "https://u:p@B.org:1/", "no url", "ftp://c"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert [r[0] for r in df.select(url_host(df.u)).collect()] == ["a", "[::1]", "b.org", "", "c"]
 
 
 def test_pairs(spark):
@@ -138,7 +155,8 @@ def test_post_without_form_has_empty_parameters(spark):
 def test_only_stated_columns_come_out(spark):
     df = spark.createDataFrame([(GET,)], "text string")
     assert parse_requests(df).columns == [
-        "host", "url", "action_type", "has_username", "has_password", "fields", "request_parameters",
+        "host", "url", "action_type", "has_username", "has_password", "has_basic", "has_bearer", "has_session",
+        "has_userinfo", "fields", "request_parameters",
     ]
 
 

@@ -21,6 +21,33 @@ def test_problems_are_listed_before_any_plan_is_built():
         default_registry().apply(None, spec)
 
 
+def test_wrong_values_are_problems_and_raise_nothing():
+    spec = [
+        {"step": "rank_by_count", "limit": "5"},
+        {"step": "nonblank", "cols": "name"},
+        {"step": "distinct_per_key", "key": "a", "values": [1]},
+        {"step": "drop_listed", "state": 7},
+        {"step": "read_table", "folder": "f", "name": "n"},
+        "count_by",
+        {"step": ["x"]},
+    ]
+    assert default_registry().validate(spec) == [
+        "item 0: rank_by_count: 'limit' must be a whole number",
+        "item 1: nonblank: 'cols' must be a list of texts",
+        "item 2: distinct_per_key: 'values' must hold texts",
+        "item 3: drop_listed: 'state' must be a text",
+        "item 4: read_table: a source comes first",
+        "item 5: a step is a mapping",
+        "item 6: unknown step '['x']'",
+    ]
+    assert default_registry().validate({"step": "x"}) == ["a spec is a list of steps"]
+
+
+def test_a_spec_without_source_is_not_run(spark):
+    with pytest.raises(ValueError, match="source"):
+        default_registry().run(spark, '[{"step": "count_by"}]')
+
+
 def test_own_steps(spark):
     registry = Registry()
     registry.register(Step("less_than", lambda df, n: df.filter(df.id < n), ("n",)))
