@@ -48,7 +48,10 @@ def last_win_map(entries: Column) -> Column:
 
 
 def encode_map(m: Column) -> Column:
-    """Map to ``k[[:]]v[[--]]k[[:]]v``, keys sorted, null values as empty text."""
+    """Map to ``k[[:]]v[[--]]k[[:]]v``, keys sorted, null values as empty text.
+
+    The separators of this wire format are not escaped: a key or value that holds one reads as several entries.
+    """
     pairs = F.transform(
         F.sort_array(F.map_entries(m)),
         lambda e: F.concat(e["key"], F.lit(PAIR_SEP), F.coalesce(e["value"], F.lit(""))),
@@ -63,7 +66,10 @@ def after_first(s: Column, separator: str) -> Column:
 
 
 def decode_map(s: Column) -> Column:
-    """The inverse of :func:`encode_map` for non-null values; empty text gives an empty map."""
+    """The inverse of :func:`encode_map` for non-null keys and values without separators; empty text gives an empty map.
+
+    A value that holds separators comes back as several entries, so captured values can add fields; don't trust names.
+    """
     parts = F.filter(F.split(s, ENTRY_RE), lambda p: p != "")
     entries = F.transform(
         parts,

@@ -93,18 +93,23 @@ def list_sorted(spark: SparkSession, folder: str) -> DataFrame:
 def explode_archives(
     files: DataFrame,
     charset: str = "utf-8",
-    whole_archive_bytes: int = WHOLE_ARCHIVE_BYTES,
+    whole_archive_bytes: int | None = WHOLE_ARCHIVE_BYTES,
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """``path, entry, text``: one row per ``.txt`` or ``.html`` entry of the archives in ``files``.
 
     Archives up to ``whole_archive_bytes`` are read as file contents, many to a task. Larger ones are
     cut into slices of entries that are spread over the cluster, so that one huge archive does not
-    become one task; only the bytes of the entries are read. An unreadable archive gives one row with
+    become one task; only the bytes of the entries are read. Tasks open those by ``pyarrow.fs``; a batch job on a store
+    that it can't open is refused at once rather than when a large archive comes. With None all archives are read as
+    file contents, by Spark alone. An unreadable archive gives one row with
     null entry and text, an unreadable entry a row with null text: the parser counts and drops them.
     """
+    if whole_archive_bytes is not None and not files.isStreaming:
+        _check_store(files)
+    limit = (1 << 62) if whole_archive_bytes is None else whole_archive_bytes
     small = (
-        files.filter(F.col("length") <= whole_archive_bytes)
+        files.filter(F.col("length") <= limit)
         .select("path", "content")
         .mapInArrow(_explode_contents(charset), ENTRY_SCHEMA)
     )
@@ -113,7 +118,7 @@ def explode_archives(
         files.sparkSession.sparkContext.defaultParallelism,
     )
     large = (
-        files.filter(F.col("length") > whole_archive_bytes)
+        files.filter(F.col("length") > limit)
         .select("path")
         .mapInArrow(_plan_slices(slice_bytes), SLICE_SCHEMA)
         # An explicit number: adaptive execution would merge these small rows into few tasks.
@@ -210,6 +215,20 @@ def _open_uri(path: str):
     return filesystem.open_input_file(inner)
 
 
+def _check_store(files: DataFrame) -> None:
+    """Raise if the store of these files can be read by Spark only."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    first = files.select("path").first()
+    if first:
+        try:
+            fs.FileSystem.from_uri(quote(first["path"], safe="/:@"))
+        except (pa.ArrowException, OSError) as error:
+            raise ValueError("large archives can't be read here in slices; pass whole_archive_bytes=None") from error
+
+
 def _explode_contents(charset: str):
     def rows(batches):
         for batch in batches:

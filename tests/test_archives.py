@@ -110,6 +110,14 @@ def test_listing_sorted(spark, root):
     assert inner == [(False, "a.zip"), (False, "notes.txt")]
 
 
+def test_a_store_that_only_spark_reads_is_refused_at_once(spark, root):
+    files = archives.list_files(spark, root)
+    odd = files.withColumn("path", F.regexp_replace("path", "^file:/+", "odd://store/"))
+    with pytest.raises(ValueError, match="whole_archive_bytes"):
+        archives.explode_archives(odd)
+    assert archives.explode_archives(odd, whole_archive_bytes=None).count() == archives.explode_archives(files).count()
+
+
 def test_day_is_that_below_the_whole_root(spark, tmp_path):
     root = f"{tmp_path}/1/data"
     make_zip(f"{root}/1/data/20240101/f.zip", {"1.txt": POST.format(i=1)})
