@@ -1,8 +1,9 @@
 """WARC archives and a globally ordered capture index.
 
 Records are text and are written by Spark's own text writer, a record per row with the two blank lines that end a WARC
-record as line separator, so archives go to any store and whole tasks are committed. Archives are read back whole,
-each bounded in size when written, and parsed by their ``Content-Length``.
+record as line separator, so archives go to any store and whole tasks are committed. An archive is one gzip stream (not one
+per record); offsets are those in the unpacked archive. Archives are read back whole, each bounded in size when written,
+and parsed by their ``Content-Length``.
 
 The index is built like an external sort: every archive gives one locally sorted run of captures, runs are cut at common
 boundaries by a range shuffle, and each range merges its runs with a loser tree.
@@ -10,6 +11,7 @@ boundaries by a range shuffle, and each range merges its runs with a loser tree.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,9 +79,16 @@ def write_archives(
     # Nulls first: a null id is the smallest.
     first = F.min(F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))).alias("first")
     firsts = light.filter(F.col("size") >= least).groupBy("digest").agg(first)
-    firsts = firsts.select(F.col("digest").alias("d"), "first.id", F.lit(True).alias("shared")).withColumnRenamed("id", "first_id")
-    joined = rows.join(firsts, F.col("digest") == F.col("d"), "left")
-    revisit = F.coalesce("shared", F.lit(False)) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    firsts = firsts.select(F.col("digest").alias("d"), F.col("first.id").alias("first_id"), F.lit(True).alias("shared"))
+    # Which rows are revisits is settled on digests alone; the payloads are then shuffled once, by row and not by digest,
+    # so that many copies of one payload spread over all archives.
+    row = F.concat_ws(":", "digest", F.col("id").cast("string"))
+    revisits = light.join(firsts, (F.col("digest") == F.col("d")) & ~F.col("id").eqNullSafe(F.col("first_id")))
+    revisits = revisits.select(row.alias("row"), "first_id", "shared").dropDuplicates(["row"])
+    total = light.agg(F.sum("size"), F.count("*")).first()
+    archives = int(1 + ((total[0] or 0) + 600 * total[1]) // archive_bytes)
+    joined = rows.withColumn("row", row).repartition(archives, "row").join(revisits.repartition(archives, "row"), "row", "left")
+    revisit = F.coalesce("shared", F.lit(False))
     name = lambda c: F.concat(F.lit("<urn:capture:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     head = F.concat_ws(
@@ -95,11 +104,8 @@ def write_archives(
         F.lit("Content-Type: text/html"),
         F.concat(F.lit("Content-Length: "), F.octet_length(body)),
     )
-    total = light.agg(F.sum("size"), F.count("*")).first()
-    archives = 1 + ((total[0] or 0) + 600 * total[1]) // archive_bytes
-    records = joined.select(F.concat(head, F.lit(_END), body).alias("record"), F.xxhash64("id", "digest").alias("at"))
-    records = records.repartition(int(archives), "at").select("record")
-    records.write.option("lineSep", _END).text(path)
+    records = joined.select(F.concat(head, F.lit(_END), body).alias("record"))
+    records.write.option("lineSep", _END).option("compression", "gzip").text(path)
 
 
 def _records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -126,7 +132,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
         for batch in batches:
             for i in range(batch.num_rows):
                 file, rows = batch.column(0)[i].as_py(), []
-                for at, h, body in _records(batch.column(1)[i].as_buffer().to_pybytes()):
+                for at, h, body in _records(gzip.decompress(batch.column(1)[i].as_buffer())):
                     row = {
                         "record_id": h["WARC-Record-ID"],
                         "type": h["WARC-Type"],
