@@ -1,7 +1,7 @@
 """Texts as pieces: cut on their UTF-8 bytes, and told apart, for many texts at a time (numpy, inside tasks).
 
-A piece is a stretch between two separators, and its leading run of Latin letters is a piece of its own where one of
-``_CLOSERS`` follows. Natural text repeats its pieces, so work per distinct piece is much less than work per piece.
+A piece is a stretch between two separators, and its leading run of Latin letters is a piece of its own where one of the
+``closers`` follows. Natural text repeats its pieces, so work per distinct piece is much less than work per piece.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from .shingles import mix
 _U = np.uint64
 #: Bytes of text that are cut at a time.
 SLICE = 1 << 21
-_CLOSERS = np.zeros(256, dtype=bool)
-_CLOSERS[list(b" \n.,;:!?|%&*#$")] = True
+CLOSERS = b" \n.,;:!?|%&*#$"
 _ASCII = np.zeros(256, dtype=bool)
 _ASCII[65:91] = _ASCII[97:123] = True
 _BASES = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -51,12 +50,12 @@ def _latin(data: np.ndarray) -> np.ndarray:
     return letters
 
 
-def _bounds(data: np.ndarray, first: np.ndarray, separators: bytes, keep: bool, close: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bounds(data: np.ndarray, first: np.ndarray, separators: bytes, keep: bool, closers: bytes, runs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the pieces of texts that lie one after another, and whether they are plain words; ``first`` are
     the places where texts start.
 
     With ``keep`` a separator begins the next piece, and cuts only if a Latin letter follows; else it belongs to none. Without
-    ``close`` leading words stay with what follows them, and nothing is cut inside a run of separators.
+    ``runs`` nothing is cut inside a run of separators.
     """
     size, letters = len(data), _latin(data)
     separates = np.zeros(size, dtype=bool)
@@ -68,7 +67,7 @@ def _bounds(data: np.ndarray, first: np.ndarray, separators: bytes, keep: bool,
         follows[first] = False  # a letter of the next text
         cut[:-1] &= follows[1:]
         cut[-1:] = False
-        if not close:
+        if not runs:
             cut[1:] &= ~separates[:-1]
         cut[first] = True
         starts = np.flatnonzero(cut)
@@ -90,12 +89,12 @@ def _bounds(data: np.ndarray, first: np.ndarray, separators: bytes, keep: bool,
     run = starts + (separates[starts] if keep else 0)
     stop = others[np.searchsorted(others, run)]
     split = (stop > run) & (stop < ends)
-    split[split] = _CLOSERS[data[stop[split]]]
+    closes = np.zeros(256, dtype=bool)
+    closes[list(closers)] = True
+    split[split] = closes[data[stop[split]]]
     plain = split | (stop > run) & (stop >= ends)
     if keep:
         plain &= data[starts] == 0x20
-    if not close:
-        return starts, ends, plain & ~split
     plain = np.concatenate((plain, np.zeros(int(split.sum()), dtype=bool)))
     starts = np.concatenate((starts, stop[split]))
     ends = np.concatenate((ends, ends[split]))
@@ -104,7 +103,7 @@ def _bounds(data: np.ndarray, first: np.ndarray, separators: bytes, keep: bool,
     return starts[order], ends[order], plain[order]
 
 
-def cut(texts: list[str], separators: bytes, keep: bool, close: bool = True) -> Pieces:
+def cut(texts: list[str], separators: bytes, keep: bool, closers: bytes = CLOSERS, runs: bool = True) -> Pieces:
     """The pieces of texts of ``SLICE`` bytes or less altogether (or of one text of any size)."""
     encoded = [t.encode() for t in texts]
     sizes = np.array([len(t) for t in encoded])
@@ -113,7 +112,7 @@ def cut(texts: list[str], separators: bytes, keep: bool, close: bool = True) ->
     if not len(data):
         return Pieces([], np.empty(0, bool), np.empty(0, np.int64), np.zeros(len(texts), np.int64))
     first = np.cumsum(sizes) - sizes
-    starts, ends, plain = _bounds(data, first[sizes > 0], separators, keep, close)
+    starts, ends, plain = _bounds(data, first[sizes > 0], separators, keep, closers, runs)
     counts = np.diff(np.searchsorted(starts, np.append(first, len(data))))
     if len(data) > SLICE:  # the powers don't reach
         words = [buffer[s:e] for s, e in zip(starts.tolist(), ends.tolist())]

@@ -29,7 +29,7 @@ from .tokens import Remembered, slices
 
 SPACE = "▁"
 #: Words and ids remembered by a worker, in bytes.
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 128 << 20
 #: Open nodes after which the search looks for the boundary they share.
 COMMIT_EVERY = 64
 
@@ -93,31 +93,58 @@ class Model:
         # No piece crosses from another character to a space: words are independent.
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.pairs: dict[int, bool] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging, best score first and leftmost among equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = self.ids.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or self.scores[found] > best):
-                    best, at = self.scores[found], i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        self._splits: dict[int, tuple[int, int] | None] = {}
+
+    def _split(self, piece: int) -> tuple[int, int] | None:
+        """The two pieces whose merge makes ``piece``, None for a character; (-1, -1) if merging ends in other pieces."""
+        known = self._splits.get(piece, 0)
+        if known == 0:
+            parts, last = list(self.pieces[piece]), None
+            while len(parts) > 1:
+                found = [(-self.scores[i], n) for n in range(len(parts) - 1) if (i := self.ids.get(parts[n] + parts[n + 1])) is not None]
+                if not found:
+                    last = (-1, -1)
+                    break
+                at = min(found)[1]  # best score, leftmost among equals
+                last = (self.ids[parts[at]], self.ids[parts[at + 1]])
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known = self._splits[piece] = last
+        return known
 
     def stays(self, left: int, right: int) -> bool:
-        """Whether the merges of ``left + right`` give just these two pieces; ``left`` -1 asks for ``right`` alone."""
+        """Whether the merges of ``left + right`` give just these two pieces; ``left`` -1 asks for ``right`` alone.
+
+        Goes back in time over the merges that made the two: at every moment the pieces that then met at the boundary must
+        not have been the better merge.
+        """
         key = left * 0x100000 + right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 400_000:
                 self.pairs.clear()
-            parts = [self.pieces[i] for i in (left, right) if i >= 0]
-            known = self.pairs[key] = self.merged("".join(parts)) == parts
+            known = self.pairs[key] = self._meets(left, right)
         return known
 
+    def _meets(self, left: int, right: int) -> bool:
+        if self._split(right) == (-1, -1):
+            return False
+        if left < 0:
+            return True
+        pieces, scores = self.pieces, self.scores
+        undone = float("-inf")  # score of the merge that is undone: it must beat the one across the boundary
+        strict = False  # a merge on the left of the boundary goes first among equals, one on its right does not
+        while True:
+            across = self.ids.get(pieces[left] + pieces[right])
+            if across is not None and (scores[across] > undone or strict and scores[across] == undone):
+                return False
+            a, b = self._split(left), self._split(right)
+            if a is None and b is None:
+                return True
+            # Of two equal scores the left one was merged first, so the right one is undone first.
+            if b is None or a is not None and scores[left] < scores[right]:
+                undone, strict, left = scores[left], False, a[1]
+            else:
+                undone, strict, right = scores[right], True, b[0]
 
 class StreamingViterbi:
     """``feed`` normalized text in any slices, then ``finish``; both return the ids that are certain by then."""
@@ -129,30 +156,6 @@ class StreamingViterbi:
         self.at = 0
         self.after_unknown = False
 
-    def _edges(self, stop: int) -> None:
-        """All edges from the node ``at``, which no open edge can improve any more."""
-        model, text, at, nodes = self.model, self.text, self.at, self.nodes
-        score, before, _ = nodes[at]
-        unigram, single = model.algorithm == _UNIGRAM, False
-        edge, left = model.edges.get, max(before, -1)
-        for end in range(at + 1, min(stop, at + model.longest) + 1):
-            piece = edge(text[at:end])
-            if piece is None:
-                break
-            if piece < 0:
-                continue
-            if unigram:
-                single |= end == at + 1
-                reached = score + model.scores[piece]
-                if end not in nodes or reached > nodes[end][0]:
-                    nodes[end] = (reached, piece, at)
-            elif end not in nodes and model.stays(left, piece):
-                nodes[end] = (0.0, piece, at)
-        if not single and (unigram or text[at] not in model.ids):
-            reached = score + model.unknown_score
-            if at + 1 not in nodes or unigram and reached > nodes[at + 1][0]:
-                nodes[at + 1] = (reached, -2, at)
-
     def _ids(self, node: int) -> list[int]:
         """The ids on the way to ``node``."""
         model, nodes, parts = self.model, self.nodes, []
@@ -189,14 +192,41 @@ class StreamingViterbi:
         return open_.pop()
 
     def _run(self, stop: int, safe: int) -> list[int]:
-        ids: list[int] = []
-        while self.at < safe:
-            if self.at in self.nodes:  # else no path comes here
-                self._edges(stop)
-            self.at += 1
-            if self.at >= COMMIT_EVERY and self.at % COMMIT_EVERY == 0 and (node := self._shared()) > 0:
-                stop, safe = stop - node, safe - node
-                ids += self._commit(node)
+        """Lay all edges from the nodes before ``safe``, which no open edge can improve any more."""
+        model, text, nodes, ids = self.model, self.text, self.nodes, []
+        edge, known, longest, unigram = model.edges.get, model.pairs.get, model.longest, model.algorithm == _UNIGRAM
+        at = self.at
+        while at < safe:
+            here = nodes.get(at)
+            if here is not None:  # else no path comes here
+                score, left, _ = here
+                left, single = max(left, -1), False
+                for end in range(at + 1, min(stop, at + longest) + 1):
+                    piece = edge(text[at:end])
+                    if piece is None:
+                        break
+                    if piece < 0:
+                        continue
+                    if unigram:
+                        single |= end == at + 1
+                        reached = score + model.scores[piece]
+                        if end not in nodes or reached > nodes[end][0]:
+                            nodes[end] = (reached, piece, at)
+                    elif end not in nodes:
+                        stays = known(left * 0x100000 + piece)
+                        if model.stays(left, piece) if stays is None else stays:
+                            nodes[end] = (0.0, piece, at)
+                if not single and (unigram or text[at] not in model.ids):
+                    reached = score + model.unknown_score
+                    if at + 1 not in nodes or unigram and reached > nodes[at + 1][0]:
+                        nodes[at + 1] = (reached, -2, at)
+            at += 1
+            if at % COMMIT_EVERY == 0:
+                self.at = at
+                if (node := self._shared()) > 0:
+                    ids += self._commit(node)
+                    stop, safe, at, text, nodes = stop - node, safe - node, self.at, self.text, self.nodes
+        self.at = at
         return ids
 
     def feed(self, text: str) -> list[int]:
@@ -214,6 +244,9 @@ class PieceCodec:
             self.model = model = Model(file.read())
         # A line end that is in no piece takes part in no merge: it separates as spaces do.
         self.separators = b" \n" if not any("\n" in p for p in model.ids) else b" "
+        # Nor do words merge with what follows them, where no piece holds a letter and then this character.
+        joined = {b for p in model.ids for a, b in zip(p, p[1:]) if re.match("[A-Za-zÀ-ÖØ-öø-ÿ]", a)}
+        self.closers = bytes(c for c in range(128) if chr(c) not in joined and not chr(c).isalpha())
         self.cut_at = re.compile("(?<=[^ ]) (?=[^ ])")
         self.known = Remembered("<i4")
         spell = lambda p, k: b"" if k == _CONTROL else bytes([int(p[3:5], 16)]) if k == _BYTE else p.encode()
@@ -236,7 +269,7 @@ class PieceCodec:
             self.known = Remembered("<i4")
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         for group in slices([t.replace(SPACE, " ") for t in normalized], self.cut_at):
-            words = cuts.cut([part for _, part in group], self.separators, keep=True, close=False)
+            words = cuts.cut([part for _, part in group], self.separators, True, self.closers, runs=False)
             rows = self.known.rows
             if new := [w for w in words.distinct if w not in rows]:
                 found = [self.search(w.decode().replace(" ", SPACE)) for w in new]
