@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqsift.llm import exact, minhash, packing, quality, secrets
-from reqsift.llm.store import ship, stored, table
+from reqsift.llm.store import discard, ship, stored, table
 from reqsift.session import scratch_dir
 
 #: Near-duplicates of the corpus: words in a shingle, least similarity in percent.
@@ -68,5 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        last, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(last)
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -33,5 +33,6 @@ def components(links: DataFrame, left: str = "left", right: str = "right") -> Da
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        edges = stored(small.filter("u != v").distinct(), "small-star")
+        last, edges = edges, stored(small.filter("u != v").distinct(), "small-star")
+        discard(last, large)
     return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import shingles as S
 from .components import components
-from .store import runs, stored, type_of
+from .store import discard, runs, stored, type_of
 
 #: 240 slots in 40 bands of 6: a pair at a similarity of 0.8 shares no band with a probability of 5e-6.
 SLOTS, ROWS = 240, 6
@@ -27,6 +27,8 @@ SLOTS, ROWS = 240, 6
 SLACK = 0.12
 #: Members of a bucket that are compared with each other in one task at a time.
 BLOCK = 512
+#: Nodes whose texts are fetched by a broadcast of their names, some 100 bytes each; more of them by a shuffle of the texts.
+BROADCAST_NODES = 500_000
 _BATCH_SHINGLES = 1 << 16
 
 
@@ -90,7 +92,9 @@ def _sets_of(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, width
                 )
 
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = wanted.join(texts, wanted["id"].eqNullSafe(texts["id"])).select("node", "text")
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    joined = texts.join(wanted, wanted["id"].eqNullSafe(texts["id"])).select("node", "text")
     # Nodes named by a null or repeated id meet several texts; equal sets are the same bytes.
     return joined.mapInArrow(run, "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
@@ -220,6 +224,11 @@ def near_duplicates(
     their row. A null id takes part, but is never the smallest: its ``component_id`` is null only if no id is in its
     component, and it is kept then. An empty table gives an empty result. Further columns are ignored.
     """
+    return _grouped(df, id_col, text_col, width, percent)[0]
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The result of ``near_duplicates``, and the stored tables it reads."""
     marks = stored(signatures(df, id_col, text_col, width), "signatures")
     nodes = marks.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     nodes = stored(
@@ -229,13 +238,13 @@ def near_duplicates(
         .drop("own"),
         "nodes",
     )
+    full, marks = marks, stored(marks.select("id", "n_shingles", "node"), "marks")
+    discard(full)
     rows = nodes.select("node", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     members = stored(rows.join(buckets, "key"), "buckets")
-    sets = stored(
-        _sets_of(df, id_col, text_col, nodes.select("node", "id").join(members.select("node").distinct(), "node"), width),
-        "sets",
-    )
+    wanted = stored(nodes.select("node", "id").join(members.select("node").distinct(), "node"), "bucketed")
+    sets = stored(_sets_of(df, id_col, text_col, wanted, width), "sets")
     links = stored(_confirmed(_star_pairs(members, nodes, percent), sets, percent), "star-links")
     roots = stored(components(links), "roots")
     blocks = stored(_open_pairs(members, nodes, roots, percent), "open-pairs")
@@ -243,14 +252,16 @@ def near_duplicates(
     if not more.isEmpty():
         known = roots.filter("node != root").select(F.col("node").alias("left"), F.col("root").alias("right"))
         roots = stored(components(known.union(more)), "all-roots")
+    discard(members, wanted, sets, links, blocks, more)
     rooted = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     groups = rooted.join(least, "root").select("node", "component_id")
     out = marks.select("id", "n_shingles", "node").join(groups, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+    return out, [marks, nodes, roots]
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -261,7 +272,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     """
     text = F.col(text_col)
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
-    groups = near_duplicates(df.select(key.alias("key"), text.alias("text")), "key", "text", width, percent)
+    groups, tables = _grouped(df.select(key.alias("key"), text.alias("text")), "key", "text", width, percent)
     dropped = stored(groups.filter("NOT kept").select(F.col("key").alias("_dropped")).distinct(), "near-dropped")
+    discard(*tables)
     rows = df.select(F.struct("*").alias("_row"), key.alias("_own"))
     return rows.join(dropped, F.col("_own").eqNullSafe(F.col("_dropped")), "left_anti").select("_row.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Iterable, Iterator
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import delete_path, scratch_dir
 
 #: A run of the six ASCII white-space characters, and a run of anything else, as Java and DuckDB regular expressions.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -43,7 +44,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the folder all executors share, and read back: lineage ends here and nothing is computed twice."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = path
+    weakref.finalize(out, _paths.pop, id(out), None)
+    return out
+
+
+_paths: dict[int, str] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing will read any more; what was made of them is stored itself by then."""
+    for table_ in tables:
+        if path := _paths.pop(id(table_), None):
+            delete_path(table_.sparkSession, path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
