@@ -1,11 +1,15 @@
-"""Licence scans: sparse TF-IDF cosine of header lines and licence files to templates, then inheritance down the tree.
+"""Licence scans: sparse TF-IDF cosine of lines, header blocks and licence files to templates, then inheritance down the tree.
 
-Built-in functions only. Distinct lines are scored once, however many files repeat them; the templates are a fixed small
-table. A file without a licence of its own takes that of the nearest directory above it that has a licence file.
+Built-in functions only. Distinct lines, blocks and files are scored once, however many files repeat them; the templates
+are a fixed small table. A file without a licence of its own takes that of the nearest directory above it that has a
+licence file.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +32,59 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: (licence, text): titles, notices of more than a line and SPDX forms, for blocks and files.
+FORMS = (
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    *(
+        (
+            licence,
+            f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+            f"by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+        )
+        for licence, what, name, version in (
+            ("GPL-2.0", "program", "General Public License", "2"),
+            ("GPL-3.0", "program", "General Public License", "3"),
+            ("LGPL-2.1", "library", "Lesser General Public License", "2.1"),
+            ("LGPL-3.0", "library", "Lesser General Public License", "3"),
+            ("AGPL-3.0", "program", "Affero General Public License", "3"),
+        )
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD", "BSD 2-Clause License"),
+    ("BSD", "BSD 3-Clause License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("MIT", "Apache-2.0", "MPL-2.0", "CC0-1.0", "Unlicense")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")),
+    *(("BSD", f"SPDX-License-Identifier: {name}") for name in ("BSD-2-Clause", "BSD-3-Clause")),
+    *(
+        (name, f"SPDX-License-Identifier: {name}{end}")
+        for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+        for end in ("", "-only", "-or-later")
+    ),
+)
+#: Whole licence texts, a file each; only the driver reads them.
+TEXTS = Path(__file__).parent / "licence_texts"
 #: A line that may name a licence. Every template has one of these words.
 TRIGGER = r"(?i)licen[sc]e|permission is hereby|redistribution|public domain|cc by|cc0|copyright|spdx"
+#: A block that may name one: the same words, also with line breaks and comment marks between them.
+HIT = TRIGGER.replace(" ", "[^a-z0-9]+")
+#: The mark a comment line opens with.
+COMMENT = r"^\s*(?:#|//|/?\*|--|;|%|<!--|(?i:rem|dnl)\s)"
 #: Least cosine of a line that names a licence.
 THRESHOLD = 0.75
 #: Base names of licence files.
@@ -43,17 +98,23 @@ def _tokens(line: Column) -> Column:
 
 
 def licence_lines(lines: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``line, licence, cosine`` for the rows of ``line, rows`` (distinct lines and how often they occur) that name a licence.
+    """``line, licence, cosine`` for the rows of ``line, rows`` (distinct lines and how often they occur) that name a licence."""
+    texts = lines.select(F.col("line").alias("key"), F.col("line").alias("text"), "rows")
+    return named(texts, templates, threshold).withColumnRenamed("key", "line")
+
 
-    Weights are the count of a token in the line times ``ln(1 + N / n)``: N lines in the corpus and the templates
+def named(texts: DataFrame, templates: tuple, threshold: float = THRESHOLD) -> DataFrame:
+    """``key, licence, cosine`` for the rows of ``key, text, rows`` (distinct texts and how often they occur) that name a licence.
+
+    Weights are the count of a token in the text times ``ln(1 + N / n)``: N texts in the corpus and the templates
     together, n of them with the token. Of equally similar templates the first counts. Cosines are rounded to 6 places.
     """
-    spark = lines.sparkSession
-    known = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "t int, licence string, line string")
-    bags = lines.select("line", "rows", F.explode(_tokens(F.col("line"))).alias("token"))
-    counts = stored(bags.groupBy("line", "rows", "token").agg(F.count("*").alias("n")), "line-tokens")
-    template_counts = known.select("t", F.explode(_tokens(F.col("line"))).alias("token")).groupBy("t", "token").agg(F.count("*").alias("n"))
-    total = lines.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total")).select((F.col("total") + len(templates)).alias("total"))
+    spark = texts.sparkSession
+    known = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "t int, licence string, text string")
+    bags = texts.select("key", "rows", F.explode(_tokens(F.col("text"))).alias("token"))
+    counts = stored(bags.groupBy("key", "rows", "token").agg(F.count("*").alias("n")), "licence-tokens")
+    template_counts = known.select("t", F.explode(_tokens(F.col("text"))).alias("token")).groupBy("t", "token").agg(F.count("*").alias("n"))
+    total = texts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total")).select((F.col("total") + len(templates)).alias("total"))
     seen = counts.groupBy("token").agg(F.sum("rows").alias("rows"))
     seen = seen.unionByName(template_counts.groupBy("token").agg(F.count("*").alias("rows")))
     seen = seen.groupBy("token").agg(F.sum("rows").alias("rows"))
@@ -61,16 +122,53 @@ def licence_lines(lines: DataFrame, templates: tuple = TEMPLATES, threshold: flo
     idf = seen.crossJoin(F.broadcast(total)).select("token", F.log(1 + F.col("total") / F.col("rows")).alias("idf"))
     idf = stored(idf, "idf")
     vector = counts.join(idf, "token").withColumn("w", F.col("n") * F.col("idf"))
-    norms = vector.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = vector.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     template = template_counts.join(idf, "token").withColumn("tw", F.col("n") * F.col("idf"))
     template_norms = template.groupBy("t").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("t_norm"))
     # The templates are a fixed table of some hundred tokens.
-    dots = vector.join(F.broadcast(template.select("t", "token", "tw")), "token").groupBy("line", "t")
-    dots = dots.agg(F.sum(F.col("w") * F.col("tw")).alias("dot")).join(norms, "line").join(F.broadcast(template_norms), "t")
+    dots = vector.join(F.broadcast(template.select("t", "token", "tw")), "token").groupBy("key", "t")
+    dots = dots.agg(F.sum(F.col("w") * F.col("tw")).alias("dot")).join(norms, "key").join(F.broadcast(template_norms), "t")
     scored = dots.withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 6))
-    best = scored.groupBy("line").agg(F.min(F.struct(-F.col("cosine"), F.col("t"))).alias("best"))
-    best = best.select("line", F.col("best.t").alias("t"), (-F.col("best.col1")).alias("cosine"))
-    return best.filter(F.col("cosine") >= threshold).join(F.broadcast(known.select("t", "licence")), "t").select("line", "licence", "cosine")
+    best = scored.groupBy("key").agg(F.min(F.struct(-F.col("cosine"), F.col("t"))).alias("best"))
+    best = best.select("key", F.col("best.t").alias("t"), (-F.col("best.col1")).alias("cosine"))
+    return best.filter(F.col("cosine") >= threshold).join(F.broadcast(known.select("t", "licence")), "t").select("key", "licence", "cosine")
+
+
+def whole_texts() -> tuple:
+    """``(licence, text)`` of the whole licence texts, by name."""
+    return tuple((p.stem, p.read_text("utf-8")) for p in sorted(TEXTS.glob("*.txt")))
+
+
+def _cut(lines: Column, kind) -> Column:
+    """Runs of adjacent ``lines`` of one ``kind``, joined by spaces."""
+    before = F.slice(F.concat(F.array(F.lit("")), lines), 1, F.size(lines))
+    parts = F.zip_with(lines, before, lambda x, y: F.concat(F.when(kind(x) == kind(y), " ").otherwise("\x01"), x))
+    return F.split(F.array_join(parts, ""), "\x01")
+
+
+def licence_units(rows: DataFrame, templates: tuple = TEMPLATES + FORMS) -> DataFrame:
+    """``id, path, scope, text`` of everything larger than a line that is compared, from ``id, path, text``.
+
+    Scope 1 is the whole text of a licence file. Scope 2 is a block: adjacent lines that are all comment or all not, up to
+    a line without letters and digits; those with a hit, and the first of a leading comment whether it has one or not.
+    Scope 3 is a run of lines with a hit that share at least half of their tokens with the ``templates``, so that a
+    notice is found in a block of other text, however many lines it takes.
+    """
+    words = sorted({w for _, text in templates for w in re.findall(_TOKEN, text.lower())})
+    base = F.coalesce(F.substring_index("path", "/", -1), F.lit(""))
+    is_file, some = base.rlike(LICENCE_FILE), r"[A-Za-z0-9]"
+    lines = F.split(F.translate("text", "\x01", " "), "\n")
+    comment = lambda x: x.rlike(COMMENT)
+    known = lambda x: F.size(F.array_intersect(_tokens(x), F.array(*map(F.lit, words)))) * 2
+    alike = lambda x: known(x) >= F.greatest(F.size(F.array_distinct(_tokens(x))), F.lit(1))
+    blocks = F.filter(_cut(lines, lambda x: F.when(~x.rlike(some), 0).when(comment(x), 1).otherwise(2)), lambda x: x.rlike(some))
+    hit = lambda x: x.rlike(HIT)
+    kept = F.filter(blocks, lambda x, i: hit(x) | ((i == 0) & comment(x)))
+    units = lambda scope, texts: F.transform(texts, lambda x: F.struct(F.lit(scope).alias("scope"), x.alias("text")))
+    whole = F.when(is_file, F.array("text")).otherwise(F.array().cast("array<string>"))
+    found = F.concat(units(1, whole), units(2, kept), units(3, F.filter(_cut(lines, alike), hit)))
+    wanted = hit(F.col("text")) | is_file | F.ltrim("text").rlike(COMMENT)
+    return rows.filter(wanted).select("id", "path", F.explode(F.array_distinct(found)).alias("u")).select("id", "path", "u.scope", "u.text")
 
 
 def scan_licences(
@@ -83,7 +181,9 @@ def scan_licences(
 ) -> DataFrame:
     """``id_col, path, own_licence, cosine, licence, inherited_from`` for every row of ``files``.
 
-    ``own_licence`` is that of the most similar line of the whole text (of equal ones, the first licence by name).
+    ``own_licence`` is that of the most similar line, block or licence file: every line is compared with ``templates``, and
+    what ``licence_units`` finds with those, ``FORMS`` and the whole licence texts, each kind with weights of its own (of
+    equal ones, lines come first, then files, blocks and runs, then the first licence by name).
     ``licence`` is the own one, or else that of the nearest licence file in the row's directory or one above it, whose
     path is ``inherited_from`` (of several in one directory, the smallest path). A licence file is a row with an own
     licence whose base name matches ``LICENCE_FILE``. Null and empty texts have no own licence; a null path has no
@@ -93,8 +193,14 @@ def scan_licences(
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(TRIGGER))
     found = rows.filter(F.col("text").rlike(TRIGGER)).select("id", "path", F.explode(F.array_distinct(lines)).alias("line"))
     found = stored(found.withColumn("line", F.trim(F.regexp_replace("line", r"[\x20\x09-\x0D]+", " "))), "licence-lines")
-    named = licence_lines(found.groupBy("line").agg(F.count("*").alias("rows")), templates, threshold)
-    own = found.join(named, "line").groupBy("id", "path").agg(F.min(F.struct(-F.col("cosine"), F.col("licence"))).alias("best"))
+    by_line = licence_lines(found.groupBy("line").agg(F.count("*").alias("rows")), templates, threshold)
+    units = stored(licence_units(rows, templates + FORMS).withColumn("key", F.sha2("text", 256)), "licence-units")
+    # A text that is a file, a block and a run at once counts once.
+    texts = units.groupBy("key").agg(F.any_value("text").alias("text"), F.count_distinct(F.struct("id", "path")).alias("rows"))
+    by_unit = named(texts, templates + FORMS + whole_texts(), threshold)
+    own = found.join(by_line, "line").select("id", "path", F.lit(0).alias("scope"), "licence", "cosine")
+    own = own.unionByName(units.drop("text").join(by_unit, "key").select("id", "path", "scope", "licence", "cosine"))
+    own = own.groupBy("id", "path").agg(F.min(F.struct(-F.col("cosine"), F.col("scope"), F.col("licence"))).alias("best"))
     own = own.select("id", "path", F.col("best.licence").alias("own_licence"), (-F.col("best.col1")).alias("cosine"))
     own = stored(own, "own-licences")
     base, folder = F.substring_index("path", "/", -1), F.regexp_extract("path", r"^(.*)/[^/]*$", 1)

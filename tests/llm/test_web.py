@@ -158,3 +158,37 @@ def test_licences(spark):
     }
     assert licences.scan_licences(df).count() == len(rows)
     assert licences.scan_licences(documents(spark, []).withColumn("path", F.lit("x"))).count() == 0
+
+
+WRAPPED = [
+    (1, "a/x.py", "# Copyright 2020 A. Author\n#\n# Licensed under the Apache\n# License, Version 2.0.\n\nimport os\n", "Apache-2.0"),
+    (2, "a/y.c", "/*\n * This work is licensed under the GNU\n * General Public License, version 2.\n */\nint x;\n", "GPL-2.0"),
+    (3, "a/z.txt", "prose of its own\nReleased\nunder\nthe\nMIT\nLicense.\nmore prose of another kind", "MIT"),
+    (4, None, "-- SPDX-License-Identifier: LGPL-3.0-or-later\nSELECT 1", "LGPL-3.0"),
+    (5, "b/t.rs", "// Dedicated to the public\n// domain under CC0 1.0.\nfn main() {}", "CC0-1.0"),
+    (6, "b/u.rs", "// a comment on what follows\nfn main() {}", None),
+    (7, "b/v.rs", "// SPDX-License-Identifier: ISC\nfn main() {}", None),
+    (8, "c/README", "MIT License\n\nsome words", "MIT"),
+    (None, "c/w", "Licensed under\nCC BY-SA 4.0.", "CC-BY-SA-4.0"),
+]
+
+
+def test_wrapped_notices(spark):
+    df = spark.createDataFrame([r[:3] for r in WRAPPED], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_licence"] for r in licences.scan_licences(df).collect()}
+    assert got == {r[0]: r[3] for r in WRAPPED}
+
+
+def test_whole_licence_texts(spark):
+    texts = licences.whole_texts()
+    changed = lambda t: " \n".join(t.replace("Regents of the University of California", "A. Author").split()[3:])
+    rows = [(i, f"{name}/LICENSE", changed(t)) for i, (name, t) in enumerate(texts)]
+    rows += [(100 + i, f"{name}/src/x", "code") for i, (name, _) in enumerate(texts)]
+    agpl = dict(texts)["GPL-3.0"].replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC").replace("29 June", "19 November")
+    rows += [(200, "own/LICENSE", "terms of our own that say nothing of the usual kind"), (201, "own/x", "code"), (202, "agpl/COPYING", agpl)]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: r for r in licences.scan_licences(df).collect()}
+    for i, (name, _) in enumerate(texts):
+        assert got[i]["own_licence"] == got[100 + i]["licence"] == name
+        assert got[100 + i]["inherited_from"] == f"{name}/LICENSE"
+    assert got[200]["licence"] is None and got[201]["licence"] is None and got[202]["licence"] == "AGPL-3.0"
