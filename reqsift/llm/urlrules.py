@@ -10,6 +10,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import stored
+
 #: (action, host and path prefix); a host stands for itself and its subdomains, the longest fitting rule wins.
 GIVEN_RULES = (
     ("allow", "org/"),
@@ -23,10 +25,8 @@ GIVEN_RULES = (
 MIN_SUPPORT, MIN_ROWS = 0.0005, 20
 #: It blocks if this share of its labelled rows is bad.
 MIN_CONFIDENCE = 0.9
-#: Tokens in more than this share of the labelled rows tell nothing and would multiply the sets.
-COMMON = 0.5
-#: Tokens per mined set.
-MOST_TOKENS = 3
+#: Tokens in more than this share of the labelled rows are left out. At 1 that is none: all token sets are mined.
+COMMON = 1.0
 
 _BAD = "\x00bad"
 
@@ -85,13 +85,13 @@ def mine_rules(
     min_rows: int = MIN_ROWS,
     min_confidence: float = MIN_CONFIDENCE,
     common: float = COMMON,
-    most_tokens: int = MOST_TOKENS,
 ) -> DataFrame:
     """``rule, tokens, confidence, rows``: token sets that block, mined from all labelled URLs.
 
-    A set is dropped when a part of it is a rule with no less confidence. ``bad`` is a boolean; rows where it is null are
-    left out, and without labelled rows there are no rules. FP-growth keeps at most (tokens of a row / ``min_support``)
-    tokens; the sets it finds are a table.
+    Sets have any number of tokens. A set is dropped when a part of it is a rule with no less confidence. Tokens in every
+    labelled row change no confidence, so they are not mined with the others; each is a rule of its own if the share of
+    bad rows is that high. ``bad`` is a boolean; rows where it is null are left out, and without labelled rows there are no
+    rules. FP-growth keeps at most (tokens of a row / ``min_support``) tokens; the sets it finds are a table.
     """
     spark = labelled.sparkSession
     none = spark.createDataFrame([], "rule string, tokens array<string>, confidence double, rows long")
@@ -102,23 +102,29 @@ def mine_rules(
     least = max(min_support, min_rows / total)
     if least > 1:
         return none
-    seen = rows.select(F.explode("items").alias("item")).groupBy("item").count().filter(F.col("count") > common * total)
+    seen = rows.select(F.explode("items").alias("item"), "bad").groupBy("item")
+    seen = seen.agg(F.count("*").alias("count"), F.count_if("bad").alias("sure"))
     # At most tokens of a row / `common` rows.
-    frequent = [r["item"] for r in seen.select("item").collect()]
-    items = F.array_except("items", F.array(*map(F.lit, frequent)).cast("array<string>")) if frequent else F.col("items")
+    frequent = seen.filter((F.col("count") == total) | (F.col("count") > common * total)).collect()
+    drop = [r["item"] for r in frequent]
+    items = F.array_except("items", F.array(*map(F.lit, drop)).cast("array<string>")) if drop else F.col("items")
     items = F.when(F.col("bad"), F.array_append(items, F.lit(_BAD))).otherwise(items)
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(rows.select(items.alias("items")))
-    mined = model.associationRules.filter(F.array_contains("consequent", _BAD) & (F.size("antecedent") <= most_tokens))
-    mined = mined.select(
-        F.array_sort("antecedent").alias("tokens"),
-        "confidence",
-        F.round(F.col("support") * total).cast("long").alias("rows"),
-    ).withColumn("rule", F.array_join("tokens", " "))
-    # Redundant: some part of it (one or two of its tokens) is as sure. Parts are at most three per token and rule.
-    parts = F.array_distinct(F.flatten(F.transform("tokens", lambda a: F.transform("tokens", lambda b: F.array_sort(F.array_distinct(F.array(a, b)))))))
-    part = mined.select("rule", "confidence", F.explode(parts).alias("p")).select("rule", "confidence", F.array_join("p", " ").alias("part"))
-    whole = mined.select(F.col("rule").alias("part"), F.col("confidence").alias("sure"))
-    redundant = part.filter("part != rule").join(whole, "part").filter("sure >= confidence").select("rule").distinct()
+    mined = model.associationRules.filter(F.array_contains("consequent", _BAD)).select(
+        F.array_sort("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * total).cast("long").alias("rows")
+    )
+    alone = [([r["item"]], r["sure"] / total, r["sure"]) for r in frequent if r["count"] == total]
+    alone = [r for r in alone if r[1] >= min_confidence and r[2] >= least * total]
+    if alone:
+        mined = mined.unionByName(spark.createDataFrame(alone, "tokens array<string>, confidence double, rows long"))
+    mined = stored(mined.withColumn("rule", F.array_join("tokens", " ")), "url-rules")
+    # Redundant: some part of it is as sure. A part meets the rules that have its token of the fewest rules.
+    index = mined.select("rule", F.explode("tokens").alias("token"))
+    spread = index.groupBy("token").agg(F.count("*").alias("n"))
+    anchor = index.join(spread, "token").groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    part = mined.join(anchor, "rule").select("token", F.col("tokens").alias("part"), F.col("confidence").alias("sure"))
+    met = index.join(mined, "rule").join(part, "token").filter("size(part) < size(tokens) AND sure >= confidence")
+    redundant = met.filter(F.size(F.array_except("part", "tokens")) == 0).select("rule").distinct()
     return mined.join(redundant, "rule", "left_anti").select("rule", "tokens", "confidence", "rows")
 
 

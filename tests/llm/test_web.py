@@ -66,6 +66,37 @@ def test_mined_rules(spark):
     assert urlrules.filter_urls(pages(spark, []), labelled(spark)).count() == 0
 
 
+def planted(spark):
+    """Rows with the production parameters' support: a host that is bad in one language only, and rules of two to four tokens."""
+    url = lambda host, lang, n, rest="": (f"https://{host}/{lang}/{n}{rest}")
+    rows = [(url("x.net", "en", i), i >= 2) for i in range(40)] + [(url("x.net", "de", i), i >= 32) for i in range(40)]
+    rows += [(url(f"h{i % 50}.org", "en", i), False) for i in range(300)]
+    four = ["p:aa", "p:bb", "p:cc", "p:dd"]
+    for missing in (None, *four):
+        path = "/".join(p[2:] for p in four if p != missing)
+        rows += [(f"https://y{i}.com/{path}", missing is None) for i in range(25)]
+    return spark.createDataFrame(rows, "url string, bad boolean")
+
+
+def test_rules_of_common_tokens_and_of_any_length(spark):
+    # All in https, so that no rule needs to name it; p:en is in most rows.
+    mined = {r["rule"]: (r["confidence"], r["rows"]) for r in urlrules.mine_rules(planted(spark)).collect()}
+    assert mined.pop("h:x.net p:en") == mined.pop("h:net p:en") == (0.95, 38)
+    assert mined.pop("p:aa p:bb p:cc p:dd") == (1.0, 25)
+    assert mined == {}
+    rows = [(1, "https://x.net/en/7"), (2, "https://x.net/de/7"), (3, "https://z.com/dd/cc/bb/aa"), (4, "https://z.com/aa/bb/cc")]
+    got = urlrules.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), planted(spark), rules=()).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+
+
+def test_a_host_of_most_or_all_rows_gets_its_rule(spark):
+    rows = [(f"https://spam.net/{i}", i >= 5) for i in range(100)] + [(f"http://good{i}.org/{i}", False) for i in range(60)]
+    mined = urlrules.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert {"h:spam.net": (0.95, 95)}.items() <= {r["rule"]: (r["confidence"], r["rows"]) for r in mined}.items()
+    mined = urlrules.mine_rules(spark.createDataFrame(rows[:100], "url string, bad boolean")).collect()
+    assert {r["rule"] for r in mined} == {"s:https", "h:spam.net", "h:net"}
+
+
 PAGES = [
     (3, "http://www.b.org/2", "same"),
     (1, "http://a.org/x#frag", "same"),
