@@ -142,13 +142,15 @@ def filter_urls(
     """``id_col, host, path, rule, verdict, mined`` for every row of ``pages``.
 
     ``verdict`` is the given rule's action where one fits, else ``block`` where a mined rule is met, else ``allow``. Null
-    URLs, and those without ``://``, have empty host and path and are allowed. Repeated rows get equal verdicts; rows
-    without an id are judged by the given rules only. ``labelled`` has columns ``url`` and ``bad``.
+    URLs, and those without ``://``, have empty host and path; no given rule fits them. Each distinct URL is matched once,
+    so rows of one URL get equal verdicts whatever their ids. ``labelled`` has columns ``url`` and ``bad``.
     """
     mined = mine_rules(labelled, url, **mining)
-    matches = mined_matches(pages.select(id_col, url), mined, id_col, url)
+    # A null URL has no tokens, so it meets no rule and joins nothing.
+    urls = pages.select(F.col(url).alias("_url")).filter("_url IS NOT NULL").distinct()
+    matches = mined_matches(urls, mined, "_url", "_url")
     host, path = host_and_path(url)
     rule, action = given_rule(F.col("host"), F.col("path"), rules)
-    out = pages.select(id_col, host.alias("host"), path.alias("path")).join(matches, id_col, "left")
+    out = pages.select(id_col, F.col(url).alias("_url"), host.alias("host"), path.alias("path")).join(matches, "_url", "left")
     verdict = F.coalesce(action, F.when(F.col("rules").isNotNull(), "block"), F.lit("allow"))
     return out.select(id_col, "host", "path", rule.alias("rule"), verdict.alias("verdict"), F.col("rules").alias("mined"))

@@ -97,6 +97,18 @@ def test_a_host_of_most_or_all_rows_gets_its_rule(spark):
     assert {r["rule"] for r in mined} == {"s:https", "h:spam.net", "h:net"}
 
 
+def test_rules_are_matched_by_url(spark):
+    """No id, and one id for several URLs none of which meets the rule alone."""
+    # The rule is "h:x.net p:en".
+    rows = [(None, "https://x.net/en/1"), (None, "https://x.net/de/1"), (1, "https://x.net/de/2"), (1, "https://y.org/en/2"), (2, None)]
+    rows += [(3, "https://x.net/en/3"), (3, "https://y.org/de/3"), (3, "https://x.net/en/3")]
+    got = urlrules.filter_urls(pages(spark, rows), planted(spark), rules=()).collect()
+    verdicts = sorted((r["host"] + r["path"], r["verdict"]) for r in got)
+    assert verdicts == sorted(
+        ((url or "https://").split("://")[1], "block" if (url or "").startswith("https://x.net/en/") else "allow") for _, url in rows
+    )
+
+
 PAGES = [
     (3, "http://www.b.org/2", "same"),
     (1, "http://a.org/x#frag", "same"),
