@@ -11,7 +11,9 @@ boundaries by a range shuffle, and each range merges its runs with a loser tree.
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -126,7 +128,20 @@ def _records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """``record_id, type, date, url, payload_digest, refers_to, size, file, offset`` (and ``payload``) of every record."""
+    """``record_id, type, date, url, payload_digest, refers_to, size, file, offset`` (and ``payload``) of every record.
+
+    The digest of a response is that of the body in the archive; one that differs from its header raises. A revisit has no
+    body, so its digest is its header's.
+    """
+
+    def digest(h: dict[str, str], body: bytes) -> str:
+        said = h["WARC-Payload-Digest"].removeprefix("sha1:")
+        if h["WARC-Type"] == "revisit":
+            return said
+        found = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        if found != said:
+            raise ValueError(f"{h['WARC-Record-ID']}: the payload digest is {found}, its header says {said}")
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +153,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                         "type": h["WARC-Type"],
                         "date": h["WARC-Date"],
                         "url": h["WARC-Target-URI"],
-                        "payload_digest": h["WARC-Payload-Digest"].removeprefix("sha1:"),
+                        "payload_digest": digest(h, body),
                         "refers_to": h.get("WARC-Refers-To"),
                         "size": len(body),
                         "file": file,
@@ -236,23 +251,27 @@ def capture_index(records: DataFrame) -> DataFrame:
 def archived_pages(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """``id, payload_bytes, payload_digest, record_type, refers_to, url_key, capture_no`` of every record in ``path``.
 
-    A revisit's bytes are those of the response it refers to. ``capture_no`` counts all captures from 1 in index order.
+    A revisit's bytes and digest are those of the response it refers to; one without such a response raises. ``capture_no`` counts all captures from 1 in index order.
     """
     records = stored(capture_index(read_archives(spark, path)), "capture-index")
     before = "coalesce(sum(n) OVER (ORDER BY range_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
     # One row per range.
     ranges = records.groupBy(F.col("range_no").alias("_no")).agg(F.count("*").alias("n"))
     ranges = ranges.withColumnRenamed("_no", "range_no").select(F.col("range_no").alias("_no"), F.expr(before).alias("_before"))
-    sizes = records.filter("type = 'response'").select(F.col("record_id").alias("_r"), F.col("size").alias("_size"))
-    sizes = sizes.dropDuplicates(["_r"])
-    joined = records.join(sizes, F.col("refers_to") == F.col("_r"), "left")
+    sizes = records.filter("type = 'response'")
+    sizes = sizes.select(F.col("record_id").alias("_r"), F.col("payload_digest").alias("_d"), F.col("size").alias("_size"))
+    # Rows of one id may be responses of several payloads.
+    sizes = sizes.dropDuplicates(["_r", "_d"])
+    joined = records.join(sizes, (F.col("refers_to") == F.col("_r")) & (F.col("payload_digest") == F.col("_d")), "left")
+    lost = F.raise_error(F.concat(F.col("record_id"), F.lit(": no response with its digest at "), F.col("refers_to")))
+    of_response = F.when(F.col("_d").isNull(), lost).otherwise(F.col("_d"))
     joined = joined.join(F.broadcast(ranges), F.col("range_no") == F.col("_no"))
     number = lambda c: F.regexp_extract(c, "<urn:capture:(.*)>", 1)
     value = lambda c: F.when(number(c) != "null", number(c)).cast(id_type)
     return joined.select(
         value(F.col("record_id")).alias("id"),
         F.when(F.col("type") == "revisit", F.col("_size")).otherwise(F.col("size")).alias("payload_bytes"),
-        "payload_digest",
+        F.when(F.col("type") == "revisit", of_response).otherwise(F.col("payload_digest")).alias("payload_digest"),
         F.col("type").alias("record_type"),
         value(F.col("refers_to")).alias("refers_to"),
         "url_key",

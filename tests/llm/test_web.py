@@ -1,6 +1,7 @@
 """URL rules, WARC archives and licences on rows with nulls, ties, repeats and clashing columns; empty tables."""
 
 import base64
+import gzip
 import hashlib
 import heapq
 
@@ -156,6 +157,25 @@ def test_warc_keeps_small_payloads_and_empty_tables(spark):
     assert warc.archived_pages(spark, path).count() == 0
 
 
+def test_changed_archives_are_an_error(spark, tmp_path):
+    same = "equal texts, long enough to be stored once " * 10
+    df = spark.createDataFrame([(1, "http://a.org/1", same), (2, "http://a.org/2", same)], "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(df, path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    data = b"".join(gzip.decompress(f["content"]) for f in files if f["length"])
+    head, found, rest = data.partition(b"WARC-Type: revisit")
+    assert found and data.count(b"equal texts") == 10
+    digest = base64.b32encode(hashlib.sha1(same.encode()).digest())
+    start = data.rindex(b"WARC/1.1", 0, len(head))
+    revisit = data[start:].replace(digest, b"A" * 32, 1)
+    for name, changed in (("body", data.replace(b"equal texts", b"other texts", 1)), ("revisit", data[:start] + revisit)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.txt.gz").write_bytes(gzip.compress(changed))
+        with pytest.raises(Exception, match="digest"):
+            warc.archived_pages(spark, str(tmp_path / name)).collect()
+
+
 @pytest.mark.parametrize("runs", [0, 1, 2, 3, 5, 8, 13])
 def test_loser_tree(runs):
     lists = [sorted((i * 7919 + j * j * 31) % 50 for j in range(i * 3)) for i in range(runs)]
