@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import exact, huffman, licences, packing, pieces, quality, secrets, urlrules, warc
+from . import centroids, exact, huffman, licences, mixing, packing, periodic, pieces, quality, secrets, urlrules, warc
 from .minhash import near_duplicates
 from .store import ship, table
 
@@ -20,6 +20,9 @@ ORACLE: dict[str, str] = {
     "op6_warc": warc.SQL,
     "op7_licence_scan": licences.SQL,
     "op9_secret_scan": secrets.SQL,
+    "op11_periodic_runs": periodic.SQL,
+    "op12_centroids": centroids.SQL,
+    "op13_source_mix": mixing.SQL,
 }
 
 
@@ -107,3 +110,19 @@ def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     shard = F.floor(F.col("doc_id") / 100).cast("string")
     path = F.concat_ws("/", "source", "lang", shard, name)
     return licences.scan_licences(documents.withColumn("path", path))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    planted = periodic.with_planted_runs(table(spark, folder, "documents"))
+    return periodic.digest_columns(periodic.periodic_runs(planted))
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.with_totals(*centroids.cluster(table(spark, folder, "embeddings")))
+
+
+@query
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"))
