@@ -55,12 +55,12 @@ def key_difference(all_keys: DataFrame, without: DataFrame, key: str = "host") -
 
 
 def exposure_by_host(requests: DataFrame) -> DataFrame:
-    """Per host: how many requests carry credentials of each kind, and how many (but for mere usernames) in cleartext.
+    """Per host: how many requests carry credentials of each kind (``key``: one that only its form tells), and how many (but for mere usernames) in cleartext.
 
     Counts only; the parser has already removed the credentials themselves.
     """
     cleartext = ~F.lower("url").startswith("https://")
-    kinds = ("password", "basic", "bearer", "session", "userinfo")
+    kinds = ("password", "basic", "bearer", "session", "userinfo", "key")
     carries = reduce(Column.__or__, [F.col(f"has_{k}") for k in kinds])
     return (
         requests.groupBy("host")

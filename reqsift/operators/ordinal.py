@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
-#: Cut points asked for in one aggregate; further ones are laid between them as the rows need.
+#: The most cut points asked for in one aggregate; further ones are laid between them as the rows need.
 GRID = 10_000
+#: A stored row takes so many bytes at least, as far as the number of cut points goes.
+LEAST_ROW_BYTES = 4
 BATCH_SIZE = 200_000
 
 
@@ -28,21 +30,32 @@ def _position(df: DataFrame, order_by: str) -> Column:
     return F.col(order_by).cast("double")
 
 
+def _grid(df: DataFrame, rows_per_bucket: int) -> int:
+    """How many cut points to ask for: some for each bucket that the table may fill, told from the plan without a job.
+
+    The plan's size errs upwards where it is not that of files, and a row takes some bytes of a file at least.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = max(8 * df.sparkSession.sparkContext.defaultParallelism, 2 * size // (LEAST_ROW_BYTES * rows_per_bucket))
+    return min(wanted, GRID)
+
+
 def _bounds(df: DataFrame, column: str, rows_per_bucket: int) -> list[float]:
     """Approximate quantiles that cut the table into buckets of bounded size, from one aggregate with the count.
 
-    Some ``GRID`` numbers reach the driver, thinned out for small tables; beyond ``GRID * rows_per_bucket`` rows each
-    interval is cut evenly. Bounds only balance the work: results do not depend on how exact they are.
+    At most ``GRID`` numbers reach the driver; where a table has more buckets than were asked for, each interval is cut
+    evenly. Bounds only balance the work: results do not depend on how exact they are.
     """
-    fractions = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
-    quantiles = F.expr(f"percentile_approx({column}, array({fractions}), {2 * GRID})")
+    size = _grid(df, rows_per_bucket)
+    fractions = ", ".join(f"{i / size!r}D" for i in range(size + 1))
+    quantiles = F.expr(f"percentile_approx({column}, array({fractions}), {max(2 * size, 1000)})")
     rows, grid = df.agg(F.count(F.lit(1)), quantiles).first()
     n = max(-(-rows // rows_per_bucket), df.sparkSession.sparkContext.defaultParallelism)
     if not grid or n == 1:
         return []
-    if n <= GRID:
-        return sorted({grid[GRID * i // n] for i in range(1, n)})
-    parts = -(-n // GRID)
+    if n <= size:
+        return sorted({grid[size * i // n] for i in range(1, n)})
+    parts = -(-n // size)
     ends = sorted(set(grid))
     between = [a + (b - a) * i / parts for a, b in zip(ends, ends[1:]) for i in range(1, parts)]
     return sorted({*ends, *between})

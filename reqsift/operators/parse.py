@@ -53,15 +53,17 @@ def _expressions(jvm: int, text: str) -> dict[str, Column]:
         .alias("_fields"),
         "raw_form": request.form_entries(F.col("_lines")).alias("_form"),
         "named": F.concat("_fields", F.coalesce("_form", _no_entries())),
-        "url": redact.redact_url(F.col("_url")).alias("url"),
+        "found": redact.credentials(F.array_append(redact.texts_of(named), F.col("_url"))),
+        "url": redact.redact_url(F.col("_url"), F.col("_found")).alias("url"),
         "has_username": carries(redact.USERNAME_FIELDS).alias("has_username"),
         "has_password": carries(redact.PASSWORD_FIELDS).alias("has_password"),
         "has_basic": request.has_authorization(source, "basic").alias("has_basic"),
         "has_bearer": request.has_authorization(source, "bearer").alias("has_bearer"),
         "has_session": request.has_session_cookie(source).alias("has_session"),
+        "has_key": (F.size("_found") > 0).alias("has_key"),
         "has_userinfo": request.has_userinfo(F.col("_url")).alias("has_userinfo"),
-        "fields": last_win_map(redact.redact_entries(F.col("_fields"))).alias("fields"),
-        "request_parameters": redact.redact_entries(F.col("_form")).alias("request_parameters"),
+        "fields": last_win_map(redact.redact_entries(F.col("_fields"), found=F.col("_found"))).alias("fields"),
+        "request_parameters": redact.redact_entries(F.col("_form"), found=F.col("_found")).alias("request_parameters"),
     }
 
 
@@ -101,7 +103,7 @@ def parse_requests(
     """One row per well-formed request; the raw text is not among the output columns.
 
     Output: ``keep`` + ``host, url, action_type, has_username, has_password, has_basic, has_bearer, has_session,
-    has_userinfo, fields, request_parameters``. Values of sensitive fields are replaced here and nowhere later.
+    has_userinfo, has_key, fields, request_parameters``. Values of sensitive fields are replaced here and nowhere later.
     """
     keep = list(keep)
     if text in keep:
@@ -124,6 +126,7 @@ def parse_requests(
             x["raw_form"],
         )
         .withColumn("_named", x["named"])
+        .withColumn("_found", x["found"])
     )
     return raw.select(
         *keep,
@@ -136,6 +139,7 @@ def parse_requests(
         "has_bearer",
         "has_session",
         x["has_userinfo"],
+        x["has_key"],
         x["fields"],
         x["request_parameters"],
     )

@@ -1,20 +1,27 @@
 """The table of host counts and statuses, kept as batches of rows that add up.
 
 ``<root>/counts/writer=<id>/batch=<n>`` holds the counts of micro-batch ``n`` of one writer, ``base=<n>`` beside it all of
-that writer's up to and including ``n``; ``<root>/listing/batch=<n>`` and ``base=<n>`` the statuses set in step ``n``. A batch
-that is written again replaces itself, so a replayed micro-batch changes nothing, and a batch costs its own size
-rather than that of the whole state. Writers number their batches on their own and don't touch each other's.
-Directories without ``_SUCCESS`` are unfinished and are not read. Files are sorted by host.
+that writer's up to and including ``n``. A batch that is written again replaces itself, so a replayed micro-batch changes
+nothing, and a batch costs its own size rather than that of the whole state. Writers number their batches on their own and
+don't touch each other's. Directories without ``_SUCCESS`` are unfinished and are not read. Files are sorted by host.
+
+``<root>/listing/data=<id>`` holds statuses that were set together, and ``<root>/listing/manifests/<n>.json`` which of them,
+in which order, make up the listing after step ``n``. A manifest is put in place only if none of its number is there: of
+writers that race, one wins and the others try again with the next number. Manifests don't change, so the listing of an
+earlier step can be read until it is expired.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import committed, committed_below, delete_path
+from ..session import committed, committed_below, delete_path, list_children, put_if_absent, read_text
 
 COUNTS = "host string, count bigint"
 LISTING = "host string, status string"
@@ -30,16 +37,40 @@ def put_counts(rows: DataFrame, root: str, number: int, writer: str = WRITER) ->
 def put_listing(rows: DataFrame, root: str) -> None:
     """Set the status of ``rows(host, status)``: ``'0'`` takes a host off the allowlist, others put it on.
 
-    One writer at a time.
+    Any number of writers at a time; of statuses of one host, those of the later step hold.
     """
-    number = last_listing(rows.sparkSession, root) + 1
-    rows.select("host", "status").sortWithinPartitions("host").write.mode("overwrite").parquet(f"{root}/listing/batch={number}")
+    name = _put_statuses(rows, root)
+    _publish(rows.sparkSession, root, lambda parts, step: [*parts, [name, step]])
+
+
+def _put_statuses(rows: DataFrame, root: str) -> str:
+    name = "p" + uuid.uuid4().hex
+    rows.select("host", "status").sortWithinPartitions("host").write.parquet(f"{root}/listing/data={name}")
+    return name
+
+
+def _manifests(spark: SparkSession, root: str) -> list[int]:
+    names = [name for name, _ in list_children(spark, f"{root}/listing/manifests")]
+    return sorted(int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit())
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> list[list]:
+    """``[id, step]`` of each part of the listing after step ``number``."""
+    return json.loads(read_text(spark, f"{root}/listing/manifests/{number}.json")) if number >= 0 else []
+
+
+def _publish(spark: SparkSession, root: str, change: Callable[[list, int], list]) -> int:
+    """Put the next manifest, ``change`` of the latest one and its own number, in place."""
+    while True:
+        last = last_listing(spark, root)
+        text = json.dumps(change(_manifest(spark, root, last), last + 1))
+        if put_if_absent(spark, f"{root}/listing/manifests/{last + 1}.json", text):
+            return last + 1
 
 
 def last_listing(spark: SparkSession, root: str) -> int:
     """The number of the latest step of the listing, -1 before the first."""
-    bases, batches = _numbers(committed_below(spark, f"{root}/listing", 1))
-    return max(bases + batches, default=-1)
+    return max(_manifests(spark, root), default=-1)
 
 
 def pinned_listing(spark: SparkSession, root: str, writer: str, number: int) -> int:
@@ -85,10 +116,22 @@ def _rows(spark: SparkSession, log: str, schema: str, names: list[str], through:
 
 
 def read_listing(spark: SparkSession, root: str, through: int | None = None) -> DataFrame:
-    """``host, status`` as set last (as of step ``through``), each host once."""
+    """``host, status`` as set last (as of step ``through``), each host once; an expired step raises."""
+    known = _manifests(spark, root)
+    number = max(known, default=-1) if through is None else through
+    if number >= 0 and number not in known:
+        raise ValueError(f"step {number} of the listing was expired, or is to come")
+    return _listed(spark, root, _manifest(spark, root, number))
+
+
+def _listed(spark: SparkSession, root: str, parts: list[list]) -> DataFrame:
     log = f"{root}/listing"
-    rows = _rows(spark, log, LISTING, committed_below(spark, log, 1), through)
-    return rows.groupBy("host").agg(F.max_by("status", "batch").alias("status"))
+    if not parts:
+        return spark.createDataFrame([], LISTING)
+    steps = F.create_map(*[F.lit(x) for name, step in parts for x in (name, step)])
+    reader = spark.read.schema(LISTING + ", data string").option("basePath", log)
+    rows = reader.parquet(*[f"{log}/data={name}" for name, _ in parts])
+    return rows.groupBy("host").agg(F.max_by("status", F.element_at(steps, F.col("data"))).alias("status"))
 
 
 def _writers(spark: SparkSession, root: str) -> dict[str, list[str]]:
@@ -167,5 +210,32 @@ def fold(spark: SparkSession, root: str, logs: tuple[str, ...] = ("counts", "lis
         for writer in _writers(spark, root):
             fold_counts(spark, root, writer, keep_history)
     if "listing" in logs:
-        log = f"{root}/listing"
-        _replace(read_listing(spark, root), spark, log, committed_below(spark, log, 1), keep_history)
+        fold_listing(spark, root)
+        if not keep_history:
+            expire_listing(spark, root)
+
+
+def fold_listing(spark: SparkSession, root: str) -> None:
+    """Write the present listing as one part of the next manifest; earlier steps stay as they are. Others may write meanwhile."""
+    last = last_listing(spark, root)
+    parts = _manifest(spark, root, last)
+    if len(parts) < 2:
+        return
+    name = _put_statuses(_listed(spark, root, parts), root)
+    # What others have set since comes after it.
+    _publish(spark, root, lambda now, _: [[name, last], *(p for p in now if p[1] > last)])
+
+
+def expire_listing(spark: SparkSession, root: str) -> None:
+    """Delete the steps before the latest one and before all that a batch is pinned to, and the parts only they have."""
+    known = _manifests(spark, root)
+    paths = [f"{root}/pins/{p}" for p in committed_below(spark, f"{root}/pins", 2)]
+    pinned = spark.read.parquet(*paths).agg(F.min("listing")).first()[0] if paths else None
+    first = min(known[-1:] + ([pinned] if pinned is not None else []), default=0)
+    kept = {name for n in known if n >= first for name, _ in _manifest(spark, root, n)}
+    for n in known:
+        if n < first:
+            gone = {name for name, _ in _manifest(spark, root, n)} - kept
+            delete_path(spark, f"{root}/listing/manifests/{n}.json")
+            for name in gone:
+                delete_path(spark, f"{root}/listing/data={name}")

@@ -1,6 +1,6 @@
 """Request texts and archives derived from the ``pages`` table, as input for the named queries.
 
-Every page becomes one captured request, with planted credentials (``PLANTED-…``), ports, missing hosts
+Every page becomes one captured request, with planted credentials (``PLANTED…``) under telling and under harmless names, ports, missing hosts
 and broken records, a further method, hosts in capitals and plain GETs at fixed page numbers, so that the expected records can be stated in SQL.
 """
 
@@ -18,6 +18,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PAGES_PER_ARCHIVE = 1000
 FIRST_DAY = 20240101
+# Made-up credentials that only their form tells; the number of the page follows, or stands in the middle.
+KEY_ID = "AKIAPLANTEDSECRET"
+RANDOM = "PLANTED9xQ2mZ7kL4vT8"
+SIGNED = ("eyJhbGciOiJIUzI1NiJ9.PLANTED-SECRET-", ".c2lnbmF0dXJlMQ")
 
 
 def requests_of(pages: DataFrame) -> DataFrame:
@@ -48,6 +52,9 @@ def transcripts(pages: DataFrame) -> DataFrame:
     token = F.when(
         pid % 3 == 0, _text(F.when(rest.contains("?"), F.lit("&")).otherwise(F.lit("?")), "token=", secret)
     ).otherwise(F.lit(""))
+    key_id = F.when(
+        pid % 9 == 2, _text(F.when(rest.contains("?"), F.lit("&")).otherwise(F.lit("?")), "k=", KEY_ID, no)
+    ).otherwise(F.lit(""))
 
     def members(quote: str) -> Column:
         def member(name: str, value: Column) -> Column:
@@ -58,6 +65,7 @@ def transcripts(pages: DataFrame) -> DataFrame:
             member("Page", no),
             member("Title", F.col("host")),
             F.when(pid % 6 == 0, member("Password", secret)),
+            F.when(pid % 9 == 8, member("Memo", _text(RANDOM, no))),
         )
 
     payload = (
@@ -67,7 +75,7 @@ def transcripts(pages: DataFrame) -> DataFrame:
     )
     plain = pid % 10 == 0
     get = _lines(
-        _text("GET ", rest, token, " HTTP/1.1"),
+        _text("GET ", rest, token, key_id, " HTTP/1.1"),
         host_line,
         _text("Cookie: sid=", secret),
         F.when(~plain, F.lit("")),
@@ -84,12 +92,15 @@ def transcripts(pages: DataFrame) -> DataFrame:
         host_line,
         _text("Referer: ", F.col("url")),
         _text("Authorization: Basic ", secret),
+        F.when(pid % 9 == 7, _text("X-Csrf-1: ", secret)),
         F.lit(""),
         _text("Page[[:]]", no),
         _text("Scheme[[:]]", scheme),
         F.lit("Empty[[:]]"),
         F.when(pid % 3 == 1, _text("Username[[:]]PLANTED-USER-", no)),
         F.when(pid % 3 == 1, _text("Password[[:]]", secret)),
+        F.when(pid % 9 == 6, _text("UserPass[[:]]", secret)),
+        F.when(pid % 9 == 5, _text("Ref[[:]]", SIGNED[0], no, SIGNED[1])),
         F.lit("GET it now"),
         F.lit("Note[[:]]will GET it"),
     )

@@ -29,17 +29,22 @@ every AS (
     CASE WHEN junk OR page_id % 7 = 0 THEN '' ELSE host END AS host,
     CASE WHEN junk THEN '' WHEN is_get THEN rest || CASE WHEN page_id % 3 = 0
            THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'token=[redacted]' ELSE '' END
+           || CASE WHEN page_id % 9 = 2 THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'k=[redacted]' ELSE '' END
          WHEN page_id % 21 = 0 THEN '' ELSE url END AS url,
     NOT is_get AND page_id % 3 = 1 AS has_username,
-    CASE WHEN is_get THEN page_id % 6 = 0 AND NOT plain ELSE page_id % 3 = 1 END AS has_password,
+    CASE WHEN is_get THEN page_id % 6 = 0 AND NOT plain ELSE page_id % 3 = 1 OR page_id % 9 = 6 END AS has_password,
+    CASE WHEN is_get THEN page_id % 9 = 2 OR (page_id % 9 = 8 AND NOT plain) ELSE page_id % 9 = 5 END AS has_key,
     CASE WHEN is_get AND plain THEN ''
       WHEN is_get
-      THEN 'page[[:]]' || no || CASE WHEN page_id % 6 = 0 THEN '[[--]]password[[:]][redacted]' ELSE '' END
+      THEN CASE WHEN page_id % 9 = 8 THEN 'memo[[:]][redacted][[--]]' ELSE '' END || 'page[[:]]' || no || CASE WHEN page_id % 6 = 0 THEN '[[--]]password[[:]][redacted]' ELSE '' END
            || '[[--]]title[[:]]' || host
-      ELSE 'authorization[[:]][redacted][[--]]referer[[:]]' || url END AS fields,
+      ELSE 'authorization[[:]][redacted][[--]]referer[[:]]' || url
+        || CASE WHEN page_id % 9 = 7 THEN '[[--]]x-csrf-1[[:]][redacted]' ELSE '' END END AS fields,
     CASE WHEN NOT is_get THEN '[{"key":"page","value":"' || no || '"},{"key":"scheme","value":"' || scheme || '"},'
       || CASE WHEN page_id % 3 = 1 THEN '{"key":"username","value":"[redacted]"},{"key":"password","value":"[redacted]"},'
          ELSE '' END
+      || CASE WHEN page_id % 9 = 6 THEN '{"key":"userpass","value":"[redacted]"},' ELSE '' END
+      || CASE WHEN page_id % 9 = 5 THEN '{"key":"ref","value":"[redacted]"},' ELSE '' END
       || '{"key":"note","value":"will GET it"}]' END AS request_parameters
   FROM base),
 parsed AS (SELECT * FROM every WHERE NOT bad),
@@ -50,7 +55,7 @@ framed AS (
          || '[[--]]url[[:]]' || url
        ELSE '[[--]]authorization[[:]][redacted][[--]]host[[:]]' || host || '[[--]]'
          || split_part(fields, '[[--]]', 2) || '[[--]]request_parameters[[:]]' || request_parameters
-         || '[[--]]url[[:]]' || url END AS line
+         || '[[--]]url[[:]]' || url || CASE WHEN page_id % 9 = 7 THEN '[[--]]x-csrf-1[[:]][redacted]' ELSE '' END END AS line
   FROM parsed WHERE host <> '')"""
 )
 
@@ -68,7 +73,8 @@ parts AS (
     CASE WHEN page_id % 7 <> 0
       THEN 'Host: ' || CASE WHEN page_id % 8 = 3 THEN upper(host) ELSE host END || CASE WHEN page_id % 4 < 2 THEN ':8080' ELSE '' END || chr(10) ELSE '' END AS host_line,
     q || 'Page' || q || '[[:]]' || q || no || q || ',' || q || 'Title' || q || '[[:]]' || q || host || q
-      || CASE WHEN page_id % 6 = 0 THEN ',' || q || 'Password' || q || '[[:]]' || q || secret || q ELSE '' END AS members
+      || CASE WHEN page_id % 6 = 0 THEN ',' || q || 'Password' || q || '[[:]]' || q || secret || q ELSE '' END
+      || CASE WHEN page_id % 9 = 8 THEN ',' || q || 'Memo' || q || '[[:]]' || q || 'PLANTED9xQ2mZ7kL4vT8' || no || q ELSE '' END AS members
   FROM base),
 texts AS (
   SELECT page_id, 20240101 + day_no AS day, chunk,
@@ -76,6 +82,8 @@ texts AS (
     CASE WHEN page_id % 34 = 17 THEN 'hello world' WHEN page_id % 2 = 0 THEN
       'GET ' || rest || CASE WHEN page_id % 3 = 0
         THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'token=' || secret ELSE '' END
+        || CASE WHEN page_id % 9 = 2
+        THEN CASE WHEN contains(rest, '?') THEN '&' ELSE '?' END || 'k=AKIAPLANTEDSECRET' || no ELSE '' END
         || ' HTTP/1.1' || chr(10) || host_line || 'Cookie: sid=' || secret
         || CASE WHEN page_id % 10 = 0 THEN ''
                 WHEN page_id % 22 = 0 THEN chr(10) || chr(10) || '{"data":'
@@ -85,10 +93,13 @@ texts AS (
       CASE WHEN page_id % 21 = 0 THEN 'POST/broken'
            ELSE CASE WHEN page_id % 13 = 0 THEN 'PUT ' ELSE 'POST ' END || CASE WHEN page_id % 5 = 0 THEN scheme || '://bob:' || secret || '@' || host || rest
                                 ELSE url END || ' HTTP/1.1' END
-        || chr(10) || host_line || 'Referer: ' || url || chr(10) || 'Authorization: Basic ' || secret || chr(10) || chr(10)
+        || chr(10) || host_line || 'Referer: ' || url || chr(10) || 'Authorization: Basic ' || secret || chr(10)
+        || CASE WHEN page_id % 9 = 7 THEN 'X-Csrf-1: ' || secret || chr(10) ELSE '' END || chr(10)
         || 'Page[[:]]' || no || chr(10) || 'Scheme[[:]]' || scheme || chr(10) || 'Empty[[:]]' || chr(10)
         || CASE WHEN page_id % 3 = 1 THEN 'Username[[:]]PLANTED-USER-' || no || chr(10)
              || 'Password[[:]]' || secret || chr(10) ELSE '' END
+        || CASE WHEN page_id % 9 = 6 THEN 'UserPass[[:]]' || secret || chr(10) ELSE '' END
+        || CASE WHEN page_id % 9 = 5 THEN 'Ref[[:]]eyJhbGciOiJIUzI1NiJ9.' || secret || '.c2lnbmF0dXJlMQ' || chr(10) ELSE '' END
         || 'GET it now' || chr(10) || 'Note[[:]]will GET it' END AS text
   FROM parts)"""
 )
@@ -205,6 +216,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (has_password) AS with_password, count(*) FILTER (action_type <> 'GET') AS with_basic,
         0::BIGINT AS with_bearer, count(*) FILTER (action_type = 'GET') AS with_session,
         count(*) FILTER (action_type <> 'GET' AND page_id % 5 = 0) AS with_userinfo,
+        count(*) FILTER (has_key) AS with_key,
         count(*) FILTER (NOT starts_with(url, 'https://')) AS exposed,
         count(*) FILTER (NOT starts_with(url, 'https://')) / count(*) AS exposed_share
         FROM parsed GROUP BY host""",
@@ -234,6 +246,24 @@ ORACLE: dict[str, str] = {
     "tumbling_counts": f"SELECT {TUMBLING}, event_type, count(*) AS count FROM events GROUP BY ALL",
     "windowed_distinct": f"SELECT DISTINCT {TUMBLING}, event_type, user_id FROM events",
     "windowed_distinct_stream": f"SELECT DISTINCT {TUMBLING}, event_type, user_id FROM events",
+    # Days 11 to 19 come last, when the watermark, a day behind the last event, has passed their windows.
+    "late_events": f"""SELECT DISTINCT {TUMBLING}, event_type, user_id, NULL::BIGINT AS event_id, 'window' AS kind
+        FROM events WHERE day(ts) NOT BETWEEN 11 AND 19
+        UNION ALL SELECT {TUMBLING}, event_type, user_id, event_id, 'late' FROM events WHERE day(ts) BETWEEN 11 AND 19""",
+    "count_or_time_batches": """WITH RECURSIVE numbered AS (
+          SELECT event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS i,
+            count(*) OVER (PARTITION BY event_type) AS n, max(ts) OVER () AS latest,
+            count(*) OVER (PARTITION BY event_type ORDER BY ts
+              RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '12 hours' - INTERVAL '1 microsecond' FOLLOWING) AS through FROM events),
+        starts AS (SELECT *, least(i + 30, through + 1) AS next FROM numbered),
+        batch AS (
+          SELECT event_type, 0::BIGINT AS batch, i, next, ts, n, latest FROM starts WHERE i = 1
+          UNION ALL SELECT s.event_type, batch + 1, s.i, s.next, s.ts, s.n, s.latest
+          FROM batch b JOIN starts s ON s.event_type = b.event_type AND s.i = b.next)
+        SELECT event_type, batch, epoch_us(b.ts) AS first, epoch_us(l.ts) AS last, b.next - b.i AS rows,
+          CASE WHEN b.next - b.i = 30 THEN 'count' ELSE 'time' END AS closed_by
+        FROM batch b JOIN numbered l USING (event_type) WHERE l.i = b.next - 1
+          AND (b.next - b.i = 30 OR b.next <= b.n OR b.ts + INTERVAL '12 hours' <= b.latest - INTERVAL '1 hour')""",
     "fan_out": """SELECT 'by_type' AS step, event_type AS key, count(*) AS count FROM events GROUP BY ALL
         UNION ALL SELECT 'by_day', strftime(ts, '%Y-%m-%d'), count(*) FROM events GROUP BY ALL""",
     "running_counts": _with(REQ, "SELECT host, count(*) AS count, '0' AS status FROM req GROUP BY host"),
@@ -242,9 +272,29 @@ ORACLE: dict[str, str] = {
     "resumed_ingest": _with(
         PARSED, "SELECT 20240101 + page_id % 3 AS day, host, count(*) AS requests FROM parsed GROUP BY ALL"
     ),
+    "added_to_finished_day": _with(
+        PARSED,
+        """SELECT 20240101 + page_id % 3 AS day, no || CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.txt' END AS entry,
+        host, url, page_id % 4 = 3 AS added FROM parsed""",
+    ),
+    "listing_two_writers": _with(
+        STATE
+        + """,
+        crc_table AS MATERIALIZED (
+          SELECT list(list_reduce([b] || range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))
+            ORDER BY b) AS t FROM range(256) AS x(b)),
+        shared AS (
+          SELECT host, status, xor(list_reduce([4294967295] || list_transform(string_split(host, ''), lambda s: ascii(s)::BIGINT),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 8 = 0 AS turned
+          FROM host_state, crc_table)""",
+        "SELECT host, CASE WHEN turned THEN CASE status WHEN '0' THEN '1' ELSE '0' END ELSE status END AS status, turned FROM shared",
+    ),
     "stopped_and_restarted": _with(REQ, "SELECT host, count(*) AS count, '0' AS status FROM req GROUP BY host"),
     # steps by name
     "steps_from_spec": _with(STATE, RANKED),
+    "stream_from_spec": _with(
+        STATE, f"SELECT host, count(*) AS count, count(*) AS archived, count(DISTINCT url) AS lines FROM ({UNLISTED}) GROUP BY host"
+    ),
     "archives_to_archive": _with(
         PARSED,
         """SELECT (row_number() OVER (ORDER BY page_id) - 1) // 100 AS batch,

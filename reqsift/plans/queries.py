@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import redact, request, text
 from ..operators import counts, filters, lookup, ordinal, parse, sinks, state, windows
-from ..session import age_files, scratch_dir
+from ..session import age_files, list_children, scratch_dir
 from ..sources import archives
 from ..sources.tables import read_table, rows_after_day, stream_table
-from ..streaming import control, jobs
+from ..streaming import control, flush, jobs
 from . import derive, ingest
 from .registry import default_registry
 
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LISTED_FROM = 9
 BATCH_ROWS = 2000
+FLUSH_ROWS, FLUSH_AFTER, FLUSH_DELAY = 30, "12 hours", "1 hour"
 ARCHIVE_ROWS = 100
 AFTER_DAY = "2024-01-15"
 
@@ -530,8 +532,10 @@ def windowed_distinct(spark, folder):
 
 @query
 def windowed_distinct_stream(spark, folder):
+    """Rows that come after their window was closed would be missing: the query raises if there are any."""
     root = scratch_dir(spark, "windowed")
-    jobs.windowed_distinct_to(
+    late = jobs.LateRows(spark)
+    query_ = jobs.windowed_distinct_to(
         stream_table(spark, folder, "events"),
         "ts",
         "1 day",
@@ -540,10 +544,52 @@ def windowed_distinct_stream(spark, folder):
         "user_id",
         path=f"{root}/rows",
         checkpoint=f"{root}/checkpoint",
-    ).awaitTermination()
+    )
+    query_.awaitTermination()
+    dropped = late.of(query_)
+    late.close()
+    if dropped:
+        raise RuntimeError(f"{dropped} rows came after their window was closed")
     return spark.read.parquet(f"{root}/rows").select(_window_text(), "event_type", "user_id")
 
 
+@query
+def late_events(spark, folder):
+    """Events in three files: up to the 10th, from the 20th on, and then those between, whose windows are closed by then.
+    What is in the windows and what came late are all rows."""
+    root = scratch_dir(spark, "late-events")
+    events = _events(spark, folder)
+    day = F.dayofmonth("ts")
+    for part in (events.filter(day <= 10), events.filter(day >= 20), events.filter(day.between(11, 19))):
+        part.write.mode("append").parquet(f"{root}/events.parquet")
+        jobs.windows_and_late_to(
+            stream_table(spark, root, "events"), "ts", "1 day", "1 day", "event_type", "user_id",
+            path=f"{root}/out", checkpoint=f"{root}/checkpoint",
+        ).awaitTermination()
+    inside, late = jobs.read_windows(spark, f"{root}/out")
+    kinds = [F.lit(None).cast("long").alias("event_id"), F.lit("window").alias("kind")]
+    late = late.select(F.date_trunc("day", "ts").alias("window_start"), "event_type", "user_id", "event_id", F.lit("late").alias("kind"))
+    both = inside.select("window_start", "event_type", "user_id", *kinds).unionByName(late)
+    return both.withColumn("window_start", _window_text())
+
+
+@query
+def count_or_time_batches(spark, folder):
+    """Batches per kind of event that end with a number of rows or after some hours, those of kinds that fall silent too."""
+    root = scratch_dir(spark, "flush")
+    late = jobs.LateRows(spark)
+    stream = stream_table(spark, folder, "events")
+    batches = flush.count_or_time_batches(stream, "event_type", "ts", FLUSH_ROWS, FLUSH_AFTER, FLUSH_DELAY)
+    out = jobs.writer(batches, f"{root}/checkpoint").outputMode("append").format("parquet").option("path", f"{root}/rows").start()
+    out.awaitTermination()
+    dropped = late.of(out)
+    late.close()
+    if dropped:
+        raise RuntimeError(f"{dropped} rows came behind the watermark")
+    rows = spark.read.parquet(f"{root}/rows")
+    return rows.withColumn("first", F.unix_micros("first")).withColumn("last", F.unix_micros("last"))
+
+
 @query
 def fan_out(spark, folder):
     """One stream to two steps; their outputs are told apart by a tag."""
@@ -588,13 +634,14 @@ def running_counts_two_writers(spark, folder):
 
 @query
 def late_file_stream(spark, folder):
-    """Pages as files of which one, added last, has a time stamp 20 days before the others; across a restart."""
+    """Pages as files of which half, added last, have time stamps 20 days before the others; across a restart."""
     root = scratch_dir(spark, "late-files")
     requests = _requests(spark, folder).select("page_id", "host")
     for age, parity in ((0, 0), (20, 1)):
-        _half(requests, parity).coalesce(1).write.mode("append").parquet(f"{root}/pages.parquet")
+        done = [name for name, _ in list_children(spark, f"{root}/pages.parquet")]
+        _half(requests, parity).write.mode("append").parquet(f"{root}/pages.parquet")
         if age:
-            age_files(spark, f"{root}/pages.parquet", age, newest=True)
+            age_files(spark, f"{root}/pages.parquet", age, but=done)
         stream = stream_table(spark, root, "pages", max_files=1)
         out = jobs.writer(stream, f"{root}/checkpoint").format("parquet").option("path", f"{root}/rows").start()
         out.awaitTermination()
@@ -614,6 +661,46 @@ def resumed_ingest(spark, folder):
     return rows.agg(F.count(F.lit(1)).alias("requests"))
 
 
+@query
+def added_to_finished_day(spark, folder):
+    """All days are ingested, then archives are added to each of them, and the ingest is run twice more: what is new is read,
+    once."""
+    pages = read_table(spark, folder, "pages")
+    root, out = scratch_dir(spark, "days"), scratch_dir(spark, "ingested")
+    placed = derive.placed_transcripts(pages)
+    later = F.substring_index("entry", ".", 1).cast("long") % 4 == 3
+    derive.write_archives(placed.filter(~later), root)
+    ingest.ingest_days(spark, root, out)
+    derive.write_archives(placed.filter(later).withColumn("archive", F.replace("archive", F.lit("part-"), F.lit("added-"))), root)
+    for _ in range(2):
+        ingest.ingest_days(spark, root, out)
+    rows = ingest.read_ingested(spark, out)
+    added = F.contains(F.substring_index("path", "/", -1), F.lit("added-"))
+    return rows.select("day", "entry", "host", "url", added.alias("added"))
+
+
+@query
+def listing_two_writers(spark, folder):
+    """Eight writers set the statuses of their hosts at once, then those of the first are set the other way, while the listing
+    is folded."""
+    root = scratch_dir(spark, "listing")
+    known = _host_state(spark, folder).select("host", "status")
+    share = F.pmod(F.crc32(F.col("host").cast("binary")), F.lit(8))
+
+    def put(n: int) -> None:
+        state.put_listing(known.filter(share == n), root)
+
+    def turn(_: int) -> None:
+        turned = F.when(F.col("status") == "0", "1").otherwise("0")
+        state.put_listing(known.filter(share == 0).withColumn("status", turned), root)
+
+    with ThreadPoolExecutor(8) as writers:
+        list(writers.map(put, range(8)))
+        list(writers.map(lambda job: job(0), [turn, lambda _: state.fold_listing(spark, root)]))
+    state.fold(spark, root, logs=("listing",))
+    return state.read_listing(spark, root).select("host", "status", (share == 0).alias("turned"))
+
+
 @query
 def stopped_and_restarted(spark, folder):
     """A job is started by name and stopped; it counts what came meanwhile when it is started again."""
@@ -652,6 +739,28 @@ def steps_from_spec(spark, folder):
     return default_registry().run(spark, spec)
 
 
+@query
+def stream_from_spec(spark, folder):
+    """The sifting job from a JSON text: pages as a file stream, sifted, counted into the state and archived; started again
+    for the second half. Per host, what was counted and what was archived."""
+    root = scratch_dir(spark, "stream-spec")
+    requests = _requests(spark, folder).withColumn("line", text.frame(F.col("host"), F.col("url")))
+    spec = json.dumps(
+        [
+            {"step": "stream_table", "folder": root, "name": "requests", "max_files": 4},
+            {"step": "nonblank", "cols": ["host"]},
+            {"step": "drop_listed", "state": _stored_listing(spark, folder), "spread_by": ["page_id"]},
+            {"step": "fork", "steps": [{"step": "count_by", "key": "host"}, {"step": "put_counts", "root": f"{root}/state"}]},
+            {"step": "write_archive", "path": f"{root}/archive"},
+        ]
+    )
+    for parity in (0, 1):
+        _half(requests, parity).write.mode("append").parquet(f"{root}/requests.parquet")
+        default_registry().stream(spark, spec, f"{root}/checkpoint").awaitTermination()
+    archived = spark.read.parquet(f"{root}/archive").groupBy("host").agg(F.count(F.lit(1)).alias("archived"), F.count_distinct("line").alias("lines"))
+    return state.read_counts(spark, f"{root}/state").join(archived, "host", "full_outer")
+
+
 @query
 def archives_to_archive(spark, folder):
     """From zip archives to JSON lines and on to the archive by specs."""

@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Collection
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -89,14 +91,13 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())
 
 
-def age_files(spark: SparkSession, path: str, days: int, newest: bool = False) -> None:
-    """Set the time stamps of the files directly in ``path`` (or of the newest only) back by ``days``; for queries that show
-    what late files do."""
+def age_files(spark: SparkSession, path: str, days: int, but: Collection[str] = ()) -> None:
+    """Set the time stamps of the data files directly in ``path``, ``but`` for those of these names, back by ``days``; for
+    queries that show what late files do."""
     hadoop_path = _hadoop_path(spark, path)
     fs = _file_system(spark, hadoop_path)
-    files = sorted((s for s in fs.listStatus(hadoop_path) if s.isFile()), key=lambda s: s.getModificationTime())
-    data = [s for s in files if s.getPath().getName().startswith("part-")]
-    for status in data[-1:] if newest else data:
+    data = [s for s in fs.listStatus(hadoop_path) if s.isFile() and s.getPath().getName().startswith("part-")]
+    for status in (s for s in data if s.getPath().getName() not in but):
         fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
 
 
@@ -118,3 +119,54 @@ def committed(spark: SparkSession, path: str) -> bool:
     """True when a Spark write into ``path`` finished."""
     hadoop_path = _hadoop_path(spark, f"{path}/_SUCCESS")
     return bool(_file_system(spark, hadoop_path).exists(hadoop_path))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = _hadoop_path(spark, path)
+    return bool(_file_system(spark, hadoop_path).exists(hadoop_path))
+
+
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file; putting it again changes nothing."""
+    hadoop_path = _hadoop_path(spark, path)
+    _file_system(spark, hadoop_path).create(hadoop_path, True).close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of one small file."""
+    hadoop_path = _hadoop_path(spark, path)
+    stream = _file_system(spark, hadoop_path).open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file with ``text``, whole at once; False, and no change, where ``path`` is there already.
+
+    Writers may race: one of them wins. It is written beside its place first, and takes it by a link on a local disk and
+    by a rename elsewhere, which stores such as HDFS refuse when the place is taken.
+    """
+    target = _hadoop_path(spark, path)
+    fs = _file_system(spark, target)
+    if fs.exists(target):
+        return False
+    aside = _hadoop_path(spark, f"{target.getParent().toString()}/_{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.getScheme() != "file":
+        won = bool(fs.rename(aside, target))
+    else:
+        files = spark.sparkContext._jvm.java.nio.file
+        try:
+            local = [files.Path.of(p.toUri().getPath(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.String, 0)) for p in (target, aside)]
+            files.Files.createLink(*local)
+            won = True
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in str(error.java_exception):
+                raise
+            won = False
+    fs.delete(aside, False)
+    return won

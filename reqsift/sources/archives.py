@@ -24,11 +24,16 @@ SLICE_BYTES = 32 << 20
 GAP_BYTES = 1 << 20
 SLICE_ENTRIES = 100_000
 FLUSH_BYTES = 8 << 20
-#: A longer entry counts as bad; a value in Spark has less than 2 GiB, and replacing bad bytes may triple a text.
-ENTRY_BYTES = 600 << 20
+#: Bytes of an archive's directory that one task reads; an entry takes some 100 of them, and at most ``LONGEST_RECORD``.
+DIRECTORY_BYTES = 4 << 20
+LONGEST_RECORD = 46 + 3 * 65535
+#: A text of more UTF-8 bytes counts as bad: a value in Spark has less than 2 GiB.
+VALUE_BYTES = (1 << 31) - 4096
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 ENTRY_SCHEMA = "path string, entry string, text string"
+# A stretch of an archive's directory: where it and the whole directory begin and end, and by how much all offsets are off.
+RANGE_SCHEMA = "path string, start bigint, stop bigint, first bigint, last bigint, shift bigint"
 # A run of neighbouring entries: the bytes it spans, and what the archive's directory says of each entry.
 SLICE_SCHEMA = (
     "path string, start bigint, stop bigint, names array<string>, offsets array<bigint>, sizes array<bigint>, "
@@ -95,12 +100,13 @@ def explode_archives(
     charset: str = "utf-8",
     whole_archive_bytes: int | None = WHOLE_ARCHIVE_BYTES,
     slice_bytes: int = SLICE_BYTES,
+    directory_bytes: int = DIRECTORY_BYTES,
 ) -> DataFrame:
     """``path, entry, text``: one row per ``.txt`` or ``.html`` entry of the archives in ``files``.
 
-    Archives up to ``whole_archive_bytes`` are read as file contents, many to a task. Larger ones are
-    cut into slices of entries that are spread over the cluster, so that one huge archive does not
-    become one task; only the bytes of the entries are read. Tasks open those by ``pyarrow.fs``; a batch job on a store
+    Archives up to ``whole_archive_bytes`` are read as file contents, many to a task. Of larger ones, first the directories
+    and then the entries are cut into slices that are spread over the cluster, so that no task reads or holds more of
+    one huge archive than a slice; only the bytes of the entries are read. Tasks open those by ``pyarrow.fs``; a batch job on a store
     that it can't open is refused at once rather than when a large archive comes. With None all archives are read as
     file contents, by Spark alone. An unreadable archive gives one row with
     null entry and text, an unreadable entry a row with null text: the parser counts and drops them.
@@ -120,15 +126,18 @@ def explode_archives(
     large = (
         files.filter(F.col("length") > limit)
         .select("path")
-        .mapInArrow(_plan_slices(slice_bytes), SLICE_SCHEMA)
+        .mapInArrow(_plan_ranges(directory_bytes), RANGE_SCHEMA)
         # An explicit number: adaptive execution would merge these small rows into few tasks.
         .repartition(parts, "path", "start")
+        .mapInArrow(_plan_slices(slice_bytes), SLICE_SCHEMA)
+        .repartition(parts, "path", "start")
         .mapInArrow(_read_slices(charset), ENTRY_SCHEMA)
     )
     return small.unionByName(large)
 
 
 _ENTRY_ARROW = pa.schema([("path", pa.string()), ("entry", pa.string()), ("text", pa.string())])
+_RANGE_ARROW = pa.schema([("path", pa.string()), *((n, pa.int64()) for n in ("start", "stop", "first", "last", "shift"))])
 _SLICE_ARROW = pa.schema(
     [
         ("path", pa.string()),
@@ -144,18 +153,23 @@ _SLICE_ARROW = pa.schema(
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, flush_bytes: int = FLUSH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Rows in record batches of bounded size."""
+    """Rows in record batches of bounded size; a very large row has one of its own."""
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     columns: list[list] = [[] for _ in schema]
     size = 0
     for row in rows:
+        more = sum(8 if v is None or isinstance(v, int) else len(v) * (8 if isinstance(v, list) else 1) for v in row)
+        if size and size + more > flush_bytes:
+            yield batch()
+            columns, size = [[] for _ in schema], 0
         for column, value in zip(columns, row):
             column.append(value)
-            size += 8 if value is None or isinstance(value, int) else len(value) * (8 if isinstance(value, list) else 1)
-        if size >= flush_bytes:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-            columns, size = [[] for _ in schema], 0
+        size += more
     if columns[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        yield batch()
 
 
 def _text_entries(file) -> list | None:
@@ -179,30 +193,139 @@ def _text_entries(file) -> list | None:
         ]
 
 
-def _entry_text(data: memoryview, at: int, size: int, method: int, crc: int, charset: str) -> str | None:
-    """The text of the entry whose header is at ``at``; None if it is damaged, encrypted or packed otherwise."""
+def _inflated(raw: memoryview) -> Iterator[bytes]:
+    """The bytes of a deflated entry, a few at a time; short if it is cut off."""
+    import zlib
+
+    inflate = zlib.decompressobj(-15)
+    while not inflate.eof and (part := inflate.decompress(raw, FLUSH_BYTES)):
+        yield part
+        raw = inflate.unconsumed_tail
+
+
+def _entry_text(data: memoryview, at: int, size: int, method: int, crc: int, charset: str) -> bytes | None:
+    """The text, in UTF-8, of the entry whose header is at ``at``; None if it is damaged, encrypted, packed otherwise, or
+    too long for a value. It is decoded step by step, so a hostile entry is given up as soon as it is too long."""
+    import codecs
     import struct
     import zlib
 
+    decode = codecs.getincrementaldecoder(charset)("replace").decode
+    parts, length, seen = [], 0, 0
     try:
         name_length, extra_length = struct.unpack_from("<HH", data, at + 26)
         at += 30 + name_length + extra_length
         raw = data[at : at + size]
         if method == 8:
-            # In steps: a hostile entry inflates to no more than a Spark value can hold.
-            inflate, parts, left = zlib.decompressobj(-15), [], ENTRY_BYTES
-            while not inflate.eof and left > 0 and (part := inflate.decompress(raw, min(left, FLUSH_BYTES))):
-                parts.append(part)
-                left -= len(part)
-                raw = inflate.unconsumed_tail
-            if not inflate.eof and (left <= 0 or inflate.decompress(raw, 1)):
-                return None
-            raw = b"".join(parts)
-        elif method != 0 or size > ENTRY_BYTES:
+            steps = _inflated(raw)
+        elif method == 0:
+            steps = (raw[i : i + FLUSH_BYTES] for i in range(0, len(raw), FLUSH_BYTES))
+        else:
             return None
+        for step in steps:
+            seen = zlib.crc32(step, seen)
+            parts.append(decode(step).encode())
+            length += len(parts[-1])
+            if length > VALUE_BYTES:
+                return None
     except (struct.error, zlib.error):
         return None
-    return str(raw, charset, "replace") if zlib.crc32(raw) == crc else None
+    parts.append(decode(b"", True).encode())
+    return b"".join(parts) if seen == crc and length + len(parts[-1]) <= VALUE_BYTES else None
+
+
+# --- directories of large archives ------------------------------------------------------------------
+
+# Fixed values of the zip format: the marks of its records.
+END, END_64, LOCATOR_64, RECORD, HEADER = b"PK\5\6", b"PK\6\6", b"PK\6\7", b"PK\1\2", b"PK\3\4"
+
+
+def _directory(file) -> tuple[int, int, int] | None:
+    """``(first, last, shift)`` of an archive's directory in the file and how far its offsets are off; None for no archive."""
+    import struct
+
+    size = file.size()
+    tail_at = max(size - 22 - 65535, 0)
+    tail = file.read_at(size - tail_at, tail_at)
+    at = tail.rfind(END)
+    # The comment that follows has the length the record says; its text may hold the mark itself.
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
+        at = tail.rfind(END, 0, at)
+    if at < 0:
+        return None
+    length, offset = struct.unpack_from("<LL", tail, at + 12)
+    end = tail_at + at
+    if (0xFFFFFFFF in (length, offset) or struct.unpack_from("<H", tail, at + 10)[0] == 0xFFFF) and end >= 20:
+        locator = file.read_at(20, end - 20)
+        if locator[:4] == LOCATOR_64:
+            end = end - 20 - 56
+            record = file.read_at(56, end) if end >= 0 else b""
+            if record[:4] != END_64:  # longer than it has to be: go where the locator points
+                end = struct.unpack_from("<Q", locator, 8)[0]
+                record = file.read_at(56, end) if end + 56 <= size else b""
+            if record[:4] != END_64:
+                return None
+            length, offset = struct.unpack_from("<QQ", record, 40)
+    first = end - length
+    return (first, end, first - offset) if first >= 0 and first >= offset else None
+
+
+def _record(data: bytes, at: int) -> tuple | None:
+    """``(name, offset, size, method, crc, end of the record)`` of the directory record at ``at``; None if there is none."""
+    import struct
+
+    if data[at : at + 4] != RECORD or at + 46 > len(data):
+        return None
+    flags, method, _, crc, size, full, names, extras, comments = struct.unpack_from("<HHLLLLHHH", data, at + 8)
+    offset = struct.unpack_from("<L", data, at + 42)[0]
+    extra_at, stop = at + 46 + names, at + 46 + names + extras + comments
+    if stop > len(data):
+        return None
+    name = data[at + 46 : extra_at].split(b"\0")[0].decode("utf-8" if flags & 0x800 else NAME_CHARSET, "replace")
+    extra = data[extra_at : extra_at + extras]
+    while len(extra) >= 4:
+        kind, length = struct.unpack_from("<HH", extra)
+        if kind == 1:  # the values that need 64 bits, in this order
+            body = extra[4 : 4 + length]
+            wide = list(struct.unpack(f"<{len(body) // 8}Q", body[: len(body) // 8 * 8]))
+            if full == 0xFFFFFFFF and wide:
+                wide.pop(0)
+            if size == 0xFFFFFFFF and wide:
+                size = wide.pop(0)
+            if offset == 0xFFFFFFFF and wide:
+                offset = wide.pop(0)
+        extra = extra[4 + length :]
+    return name, offset, size, -1 if flags & 1 else method, crc, stop
+
+
+def _first_record(file, data: bytes, shift: int) -> int:
+    """Where the first record begins in a stretch of a directory that may begin inside one; -1 if none does.
+
+    Names and comments may hold the mark of a record, so what is found must also agree with the header it points to.
+    """
+    at = data.find(RECORD)
+    while at >= 0:
+        if found := _record(data, at):
+            header = file.read_at(30, found[1] + shift) if 0 <= found[1] + shift <= file.size() - 30 else b""
+            if header[:4] == HEADER and header[14:18] in (data[at + 16 : at + 20], b"\0\0\0\0") and header[26:28] == data[at + 28 : at + 30]:
+                return at
+        at = data.find(RECORD, at + 1)
+    return -1
+
+
+def _range_entries(file, start: int, stop: int, first: int, last: int, shift: int) -> Iterator[tuple]:
+    """``(name, offset, end, size, method, crc)`` of the text entries whose records begin from ``start`` up to ``stop``.
+
+    ``end`` is as far as the entry can reach: its header in the file may be longer than the record says, but not by more
+    than 64 KiB, and it ends before the directory.
+    """
+    data = file.read_at(min(stop + LONGEST_RECORD, last) - start, start)
+    at = 0 if start == first else _first_record(file, data, shift)
+    while 0 <= at < stop - start and (found := _record(data, at)):
+        name, offset, size, method, crc, after = found
+        if name.endswith(SUFFIXES):
+            yield name, offset + shift, min(offset + shift + 30 + 2 * 65535 + size, first), size, method, crc
+        at = after
 
 
 def _open_uri(path: str):
@@ -245,21 +368,40 @@ def _explode_contents(charset: str):
     return lambda batches: _batches(rows(batches), _ENTRY_ARROW)
 
 
+def _plan_ranges(directory_bytes: int):
+    """The directory of each archive, cut into stretches of ``directory_bytes``; only the end of the file is read."""
+
+    def rows(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with _open_uri(path) as file:
+                    found = _directory(file)
+                if found is None:
+                    yield (path,) + (None,) * 5
+                    continue
+                first, last, shift = found
+                for start in range(first, last, directory_bytes):
+                    yield path, start, min(start + directory_bytes, last), first, last, shift
+
+    return lambda batches: _batches(rows(batches), _RANGE_ARROW)
+
+
 def _plan_slices(slice_bytes: int):
-    """Cut each archive into runs of neighbouring text entries that span about ``slice_bytes``."""
+    """The text entries of each stretch of a directory, in runs of neighbours that span about ``slice_bytes``."""
 
     def slice_row(path, run):
         names, offsets, ends, sizes, methods, crcs = map(list, zip(*run))
-        return path, offsets[0], ends[-1], names, offsets, sizes, methods, crcs
+        return path, offsets[0], max(ends), names, offsets, sizes, methods, crcs
 
     def rows(batches):
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                with _open_uri(path) as file:
-                    entries = _text_entries(file)
-                if entries is None:
+            for r in batch.to_pylist():
+                path = r.pop("path")
+                if r["start"] is None:
                     yield (path,) + (None,) * 7
                     continue
+                with _open_uri(path) as file:
+                    entries = sorted(_range_entries(file, **r), key=lambda e: e[1])
                 run = []
                 for entry in entries:
                     if run and (

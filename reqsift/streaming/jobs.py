@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections import Counter, defaultdict
+from collections.abc import Mapping
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..operators import counts, lookup, ordinal, sinks, state, windows
-from ..session import qualified
+from ..session import committed, delete_path, qualified
+from .steps import Sink, run_steps
 
 FOLD_EVERY = 100
-Sink = Callable[[DataFrame, int], None]
 
 
 def writer(df: DataFrame, checkpoint: str, trigger: str | None = None, name: str | None = None) -> DataStreamWriter:
@@ -27,9 +29,40 @@ def writer(df: DataFrame, checkpoint: str, trigger: str | None = None, name: str
     return out.queryName(name) if name else out
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after their window was closed, in the micro-batches the query still remembers."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+class LateRows(StreamingQueryListener):
+    """Sums the rows that stateful operators dropped as too late, over all micro-batches of every query of a session.
+
+    Make it before the queries start; a query itself remembers its last 100 micro-batches only.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._dropped: Counter[str] = Counter()
+        self._ended: defaultdict[str, Event] = defaultdict(Event)
+        self._spark = spark
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self._dropped[str(progress.runId)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, timeout: float = 60) -> int:
+        """Rows that this run of ``query`` dropped, all of them once it has ended."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(timeout):
+            raise TimeoutError("the end of the query was not reported")
+        return self._dropped[run]
+
+    def close(self) -> None:
+        self._spark.streams.removeListener(self)
 
 
 def writer_id(spark: SparkSession, checkpoint: str) -> str:
@@ -97,15 +130,14 @@ def sift_stream(
 
 
 def fan_out(stream: DataFrame, sinks_by_step: Mapping[str, Sink], checkpoint: str, **options) -> StreamingQuery:
-    """Give every micro-batch to all steps; it is computed once."""
+    """Give every micro-batch to all steps; it is computed once.
+
+    Each step is marked done with a batch, under the checkpoint. One that raises fails the batch after the others have run;
+    done again, the batch goes to the failed steps only.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        shared = batch.persist()
-        try:
-            for step in sinks_by_step.values():
-                step(shared, batch_id)
-        finally:
-            shared.unpersist()
+        run_steps(batch, batch_id, sinks_by_step, f"{checkpoint}/marks")
 
     return writer(stream, checkpoint, **options).foreachBatch(sink).start()
 
@@ -123,15 +155,68 @@ def windowed_distinct_to(
 ) -> StreamingQuery:
     """Distinct tuples per window, appended as Parquet; ``delay`` is how late an event may come.
 
-    Later ones are dropped; ``late_rows`` of the query counts them.
+    Later ones are dropped: ``LateRows`` counts them, ``windows_and_late_to`` keeps them.
     """
-    if stream.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
-        raise ValueError("windows of zone-less times need a session whose spark.sql.session.timeZone is UTC")
+    _check_zone(stream)
     timed = stream.select(F.col(ts).cast("timestamp").alias(ts), key, *values).withWatermark(ts, delay)
     out = windows.windowed_distinct(timed, ts, duration, key, *values)
     return writer(out, checkpoint, **options).outputMode("append").format("parquet").option("path", path).start()
 
 
+def _check_zone(stream: DataFrame) -> None:
+    if stream.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise ValueError("windows of zone-less times need a session whose spark.sql.session.timeZone is UTC")
+
+
+def windows_and_late_to(
+    stream: DataFrame,
+    ts: str,
+    duration: str,
+    delay: str,
+    key: str,
+    *values: str,
+    path: str,
+    checkpoint: str,
+    **options,
+) -> StreamingQuery:
+    """Distinct tuples per window under ``path/windows``, and under ``path/late`` every row whose window was closed.
+
+    The watermark is that of Spark: ``delay`` behind the latest time of all micro-batches before. A window is closed when it
+    ends there or before; rows without a time are late. Each micro-batch writes its own distinct tuples, its late rows and the
+    watermark for the next one, so a batch that is done again replaces itself; ``read_windows`` puts them together.
+    """
+    _check_zone(stream)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = f"{path}/watermark/batch="
+        before = spark.read.parquet(f"{known}{batch_id - 1}") if committed(spark, f"{known}{batch_id - 1}") else None
+        rows = batch.persist()
+        try:
+            seen = rows.agg(F.max(ts).alias("seen"))
+            limit = before.select(F.expr(f"seen - interval {delay}")).scalar() if before else F.lit(None).cast("timestamp")
+            window = F.window(F.col(ts), duration)
+            closed = F.coalesce(F.col("_window.end") <= limit, F.lit(False))
+            timed_rows = rows.withColumn("_window", window)  # without those that have no time
+            ontime = timed_rows.filter(~closed).select(F.col("_window.start").alias("window_start"), key, *values).distinct()
+            ontime.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+            behind = timed_rows.filter(closed).drop("_window").unionByName(rows.filter(F.col(ts).isNull()))
+            behind.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            latest = seen.unionByName(before) if before else seen
+            latest.agg(F.max("seen").alias("seen")).coalesce(1).write.mode("overwrite").parquet(f"{known}{batch_id}")
+            delete_path(spark, f"{known}{batch_id - 2}")
+        finally:
+            rows.unpersist()
+
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return writer(timed, checkpoint, **options).foreachBatch(sink).start()
+
+
+def read_windows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct tuples per window, and the late rows, that ``windows_and_late_to`` has written."""
+    return spark.read.parquet(f"{path}/windows").drop("batch").distinct(), spark.read.parquet(f"{path}/late").drop("batch")
+
+
 def topic_to(lines: DataFrame, servers: str, topic: str, checkpoint: str, **options) -> StreamingQuery:
     """Framed lines of a stream to a topic; needs the Kafka connector on the class path."""
     out = writer(sinks.topic_rows(lines), checkpoint, **options).format("kafka")

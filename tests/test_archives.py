@@ -126,11 +126,158 @@ def test_day_is_that_below_the_whole_root(spark, tmp_path):
     assert sorted(r.day for r in days) == [1, 20240102]
 
 
-def test_an_entry_too_long_for_a_value_is_bad(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(archives, "ENTRY_BYTES", 1000)
-    make_zip(f"{tmp_path}/a.zip", {"long.txt": "x" * 1001, "fits.txt": "y" * 1000})
+@pytest.mark.parametrize("whole", [0, 1 << 20])
+def test_an_entry_is_too_long_only_when_its_decoded_text_is(spark, tmp_path, monkeypatch, whole):
+    """The bound is on UTF-8 after decoding: bytes that are replaced grow, texts of two-byte characters stay as long."""
+    monkeypatch.setattr(archives, "VALUE_BYTES", 1000)
+    monkeypatch.setattr(archives, "FLUSH_BYTES", 64)
+    entries = {"long.txt": "x" * 1001, "fits.txt": "y" * 1000, "grows.txt": b"\xff" * 334, "grows-less.txt": b"\xff" * 333, "wide.txt": "é" * 500, "wider.txt": "é" * 501}
+    make_zip(f"{tmp_path}/a.zip", entries)
+    with zipfile.ZipFile(f"{tmp_path}/stored.zip", "w") as z:
+        for name, body in entries.items():
+            z.writestr(name, body)
+    files = archives.list_files(spark, str(tmp_path))
+    rows = archives.explode_archives(files, whole_archive_bytes=whole).collect()
+    want = {"long.txt": None, "fits.txt": 1000, "grows.txt": None, "grows-less.txt": 999, "wide.txt": 1000, "wider.txt": None}
+    for name in ("a.zip", "stored.zip"):
+        assert {r.entry: r.text and len(r.text.encode()) for r in rows if r.path.endswith(name)} == want
+
+
+def test_an_entry_above_the_old_bound_is_read(spark, tmp_path, monkeypatch):
+    """600 MB were the most once; a tenth of the flush size stands for it, so steps, batches and rows are many."""
+    monkeypatch.setattr(archives, "FLUSH_BYTES", 1 << 16)
+    body = "0123456789abcdef" * (1 << 16)
+    make_zip(f"{tmp_path}/a.zip", {"1.txt": body, "2.txt": body + "!"})
     rows = archives.explode_archives(archives.list_files(spark, str(tmp_path))).collect()
-    assert {r.entry: r.text and len(r.text) for r in rows} == {"long.txt": None, "fits.txt": 1000}
+    assert {r.entry: r.text for r in rows} == {"1.txt": body, "2.txt": body + "!"}
+
+
+class _File:
+    """A file in memory that remembers the longest read."""
+
+    def __init__(self, data):
+        self.data, self.longest = data, 0
+
+    def size(self):
+        return len(self.data)
+
+    def read_at(self, n, at):
+        self.longest = max(self.longest, min(n, len(self.data) - at))
+        return self.data[at : at + n]
+
+
+def _listed(data, step):
+    file = _File(data)
+    first, last, shift = archives._directory(file)
+    ranges = [(a, min(a + step, last), first, last, shift) for a in range(first, last, step)]
+    found = [[e for e in archives._range_entries(file, *r)] for r in ranges]
+    return found, file
+
+
+@pytest.mark.parametrize("step", [1, 50, 333, 10_000, 1 << 20])
+@pytest.mark.parametrize("form", ["plain", "prefixed", "commented", "marks in names", "zip64"])
+def test_directory_in_ranges_gives_every_entry_once(step, form, tmp_path, monkeypatch):
+    if form == "zip64":
+        monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
+        monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 10)
+    path = str(tmp_path / "a.zip")
+    if form == "prefixed":
+        (tmp_path / "a.zip").write_bytes(b"#!/bin/sh" * 7)
+    names = [f"{i}{'PK' + chr(1) + chr(2) if form == 'marks in names' else ''}{'é' if i % 3 else ''}.txt" for i in range(60)]
+    with zipfile.ZipFile(path, "a", zipfile.ZIP_DEFLATED) as z:
+        for i, name in enumerate(names):
+            info = zipfile.ZipInfo(name)
+            info.comment = b"PK\1\2" * (i % 4) if form in ("commented", "marks in names") else b""
+            z.writestr(info, f"text {i}" * i)
+        z.writestr("no.bin", "x")
+        if form == "commented":
+            z.comment = b"PK\5\6" + b"comment" * 20
+    data = open(path, "rb").read()
+    found, _ = _listed(data, step)
+    got = [e for part in found for e in part]
+    with zipfile.ZipFile(path) as z:
+        assert [e[0] for e in got] == names
+        for name, offset, end, size, method, crc in got:
+            text = archives._entry_text(memoryview(data), offset, size, method, crc, "utf-8")
+            assert text == z.read(name) and offset + 30 + size <= end
+
+
+def test_no_task_holds_more_than_a_slice_of_a_million_entries():
+    """A directory of 10^6 records, made up: ranges of the default size hold some 1 in 20 of them, and read no more."""
+    import struct
+
+    n, step = 1_000_000, archives.DIRECTORY_BYTES
+    header = b"PK\3\4" + struct.pack("<HHHHHLLLHH", 20, 0, 0, 0, 0, 0, 0, 0, 11, 0) + b"0000000.txt"
+    record = b"".join(b"PK\1\2" + struct.pack("<HHHHHHLLLHHHHHLL", 20, 20, 0, 0, 0, 0, 0, 0, 0, 11, 0, 0, 0, 0, 0, 0) + b"%07d.txt" % i for i in range(n))
+    end = b"PK\5\6" + struct.pack("<HHHHLLH", 0, 0, 65535, 65535, len(record), len(header), 0)
+    found, file = _listed(header + record + end, step)
+    assert sum(map(len, found)) == n and [e[0] for part in found for e in part][::99_999] == [f"{i:07d}.txt" for i in range(0, n, 99_999)]
+    assert max(map(len, found)) <= step // 57 + 1
+    assert file.longest <= step + archives.LONGEST_RECORD
+
+
+def test_directories_are_spread_over_tasks(spark, root):
+    files = archives.list_files(spark, f"{root}/20240103")
+    sliced = archives.explode_archives(files, whole_archive_bytes=0, slice_bytes=500, directory_bytes=700)
+    assert entries(sliced) == entries(archives.explode_archives(files)) and len(entries(sliced)) == 200
+
+
+def _rows(spark, out):
+    return sorted((r.day, r.path.rsplit("/", 1)[1], r.entry, r.url) for r in ingest.read_ingested(spark, out).collect())
+
+
+def test_files_added_to_a_finished_day_are_read_once(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    ingest.ingest_days(spark, root, out)
+    before = _rows(spark, out)
+    for i in range(3):
+        make_zip(f"{root}/20240101/deep/late [{i}] *.zip", {"7.txt": POST.format(i=7 + i)})
+    assert ingest.ingest_days(spark, root, out) == {20240101: {"records": 3, "bad_records": 0}}
+    assert ingest.ingest_days(spark, root, out) == {}
+    assert _rows(spark, out) == sorted(before + [(20240101, f"late [{i}] *.zip", "7.txt", f"/{7 + i}") for i in range(3)])
+    ledger = ingest.read_ledger(spark, out).filter("day = 20240101").collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.run) for r in ledger) == [("a.zip", 0)] + [(f"late [{i}] *.zip", 1) for i in range(3)]
+
+
+def test_many_added_files_go_in_several_runs(spark, root, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "NAMED_FILES", 2)
+    out = str(tmp_path / "out")
+    ingest.ingest_days(spark, root, out)
+    for i in range(5):
+        make_zip(f"{root}/20240102/late{i}.zip", {"7.txt": POST.format(i=i), "8.txt": ""})
+    assert ingest.ingest_days(spark, root, out) == {20240102: {"records": 10, "bad_records": 5}}
+    assert ingest.finished_runs(spark, out)[20240102] == [0, 1, 2, 3]
+    assert len(_rows(spark, out)) == 2 + 1 + 200 + 5
+
+
+def test_records_of_a_changed_file_are_replaced(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    ingest.ingest_days(spark, root, out)
+    make_zip(f"{root}/20240101/a.zip", {"1.txt": POST.format(i=99)})
+    assert ingest.ingest_days(spark, root, out) == {20240101: {"records": 1, "bad_records": 0}}
+    assert [r[1:] for r in _rows(spark, out) if r[0] == 20240101] == [("a.zip", "1.txt", "/99")]
+    assert [r[1:] for r in _rows(spark, out) if r[0] == 20240102] == [("b.zip", "3.txt", "/3")]
+
+
+def test_a_run_without_its_ledger_did_not_happen(spark, root, tmp_path):
+    import shutil
+
+    out = str(tmp_path / "out")
+    ingest.ingest_days(spark, root, out)
+    before = _rows(spark, out)
+    make_zip(f"{root}/20240101/late.zip", {"7.txt": POST.format(i=7)})
+    ingest.ingest_days(spark, root, out)
+    shutil.rmtree(f"{out}/files/day=20240101/run=1")
+    assert _rows(spark, out) == before
+    assert ingest.ingest_days(spark, root, out).keys() == {20240101}
+    assert len(_rows(spark, out)) == len(before) + 1
+
+
+def test_days_behind_the_bound_are_not_listed(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    assert ingest.ingest_days(spark, root, out, after_day=20240102).keys() == {20240103, 20240104}
+    with pytest.raises(ValueError, match="nothing"):
+        ingest.read_ingested(spark, out, after_day=20240104)
 
 
 def test_ingest_resumes_after_the_last_finished_day(spark, root, tmp_path):
@@ -142,8 +289,8 @@ def test_ingest_resumes_after_the_last_finished_day(spark, root, tmp_path):
     make_zip(f"{root}/20240102/late.zip", {"1.txt": POST.format(i=1)})
     make_zip(f"{root}/007/f.zip", {"1.txt": POST.format(i=1)})
     make_zip(f"{root}/12345678901234/g.zip", {"1.txt": POST.format(i=1)})
-    # A day that comes late is read, though later ones are finished.
-    assert ingest.ingest_days(spark, root, out).keys() == {7, 20240105, 12345678901234}
+    # A day that comes late is read, though later ones are finished, and so is a file of a finished one.
+    assert ingest.ingest_days(spark, root, out).keys() == {7, 20240102, 20240105, 12345678901234}
     rows = ingest.read_ingested(spark, out, after_day=20240102)
     assert {r.day: r["count"] for r in rows.groupBy("day").count().collect()} == {20240103: 200, 20240105: 1, 12345678901234: 1}
 
@@ -152,7 +299,7 @@ def test_ingest_repeats_a_day_that_failed_half_way(spark, root, tmp_path):
     out = str(tmp_path / "out")
     ingest.ingest_days(spark, root, out)
     for day in (20240103, 20240104):
-        os.remove(f"{out}/day={day}/_SUCCESS")
+        os.remove(f"{out}/files/day={day}/run=0/_SUCCESS")
     assert ingest.ingest_days(spark, root, out).keys() == {20240103, 20240104}
     assert ingest.read_ingested(spark, out).count() == 2 + 1 + 200
 

@@ -45,6 +45,6 @@ def test_entry(spark):
 
 
 def test_no_planted_secret_in_the_results(spark):
-    names = ["archived_requests", "request_url", "redacted_requests", "framed_lines", "archive_rows", "payload_fields"]
+    names = ["sift_archives", "unlisted_stream", "archives_to_archive", "added_to_finished_day", "archived_requests", "request_url", "redacted_requests", "framed_lines", "archive_rows", "payload_fields"]
     for name in names + ["form_params", "headers", "exposure_by_host"]:
-        assert "PLANTED" not in repr(QUERIES[name](spark, FOLDER).collect()), name
+        assert "PLANTED" not in repr(QUERIES[name](spark, FOLDER).collect()).upper(), name

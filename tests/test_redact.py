@@ -17,6 +17,8 @@ NAMES = [
     "user_name", "j_username",
     "pass", "pw", "passwort", "passcode", "pin", "otp", "auth", "bearer", "X-Api-Key", "api_key", "apikey", "access_key",
     "access-key", "private_key", "PHPSESSID", "session_id", "sid", "jwt", "signature", "sig", "cvv", "cvc", "X-Auth",
+    "userpass", "dbpass", "pass1", "pass2", "authkey", "pincode", "passkey", "otpcode", "pswd", "psw", "pword", "x-csrf", "mdp",
+    "senha", "contrasena", "contraseña", "wachtwoord", "heslo", "kennwort", "passphrase", "X-XSRF-Token", "userPin", "cvv2", "dbpw",
 ]
 
 CARRIERS = [
@@ -64,6 +66,12 @@ USERINFO = [
 ]
 
 
+CARRIERS += [
+    "POST /x HTTP/1.1\nHost: h\nX-{n}-1: {s}",
+    'GET /x?{n}={s} HTTP/1.1\nHost: h\n{{"data":{{"{n}1":"{s}"}}}}',
+]
+
+
 def planted():
     texts = [c.format(n=n, s=SECRET) for c in CARRIERS for n in NAMES]
     return texts + PASSWORD_MENTIONS + USERINFO
@@ -98,7 +106,7 @@ def test_no_planted_secret_in_any_file(spark, parsed, tmp_path):
 
 
 #: Names that are sensitive as whole words only.
-WHOLE = ("user", "pass", "pw", "pin", "otp", "auth", "x-auth", "sid", "jwt", "sig", "cvv", "cvc")
+WHOLE = ("user", "mdp", "dbpw", "userpin", "cvv2", "pass", "pw", "pin", "otp", "auth", "x-auth", "sid", "jwt", "sig", "cvv", "cvc")
 WORDS = st.sampled_from(["a", "b2", "x-y", "q", "%20", ".", "/", "&", ";", "é"])
 FILLER = st.lists(WORDS, max_size=5).map("".join)
 CASES = st.lists(

@@ -60,3 +60,39 @@ def test_parser_by_name(spark):
     df = spark.createDataFrame([("POST /x HTTP/1.1\nHost: a",), ("POST /x HTTP/1.1\nHost: a",)], "text string")
     spec = [{"step": "parse_requests"}, {"step": "count_by"}]
     assert [tuple(r) for r in default_registry().apply(df, spec).collect()] == [("a", 2)]
+
+
+def test_problems_of_stream_specs():
+    registry = default_registry()
+    source = {"step": "stream_table", "folder": "f", "name": "n"}
+    spec = [
+        {"step": "read_table", "folder": "f", "name": "n"},
+        source,
+        {"step": "rank_by_count"},
+        {"step": "fork", "steps": [{"step": "nope"}, {"step": "fork", "steps": 7}], "colour": "red"},
+        {"step": "put_counts", "root": "r", "number": 1},
+        {"step": "fork"},
+    ]
+    assert registry.validate(spec, stream=True) == [
+        "item 1: stream_table: a source comes first",
+        "item 2: rank_by_count: needs a whole table, not a micro-batch",
+        "item 3: fork: unknown parameter 'colour'",
+        "item 3: fork: item 0: unknown step 'nope'",
+        "item 3: fork: item 1: fork: a spec is a list of steps",
+        "item 4: put_counts: unknown parameter 'number'",
+        "item 5: fork: a spec is a list of steps",
+    ]
+    assert registry.validate([{"step": "nonblank", "cols": ["a"]}], stream=True) == ["item 0: the first step must be a stream source"]
+    assert registry.validate([], stream=True) == ["item 0: the first step must be a stream source"]
+    assert registry.validate([source], stream=True) == ["the stream writes nothing"]
+    assert registry.validate([source]) == ["item 0: stream_table: a stream is started, not run"]
+    assert registry.validate([{**source, "max_files": 0}], stream=True) == ["item 0: stream_table: 'max_files' must be positive"]
+    with pytest.raises(ValueError, match="writes nothing"):
+        registry.stream(None, [source], "cp")
+
+
+def test_fork_in_a_batch(spark, tmp_path):
+    df = spark.createDataFrame([(1, "b"), (2, "a")], "id long, host string")
+    spec = [{"step": "fork", "steps": [{"step": "append_json", "key": "host", "path": str(tmp_path / "json")}]}, {"step": "count_by"}]
+    assert sorted(map(tuple, default_registry().apply(df, spec).collect())) == [("a", 1), ("b", 1)]
+    assert spark.read.json(str(tmp_path / "json")).count() == 2

@@ -106,3 +106,58 @@ def test_point_read_skips_row_groups(spark, root):
     meta = pq.ParquetFile(f"{root}/counts/writer=main/batch=0/{file}").metadata
     bounds = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
     assert all(a.max <= b.min for a, b in zip(bounds, bounds[1:]))
+
+
+def test_writers_of_the_listing_race(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def put(n):
+        state.put_listing(spark.createDataFrame([(f"h{n}", "1"), ("all", str(n))], "host string, status string"), root)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(put, range(12)))
+    got = {r.host: r.status for r in state.read_listing(spark, root).collect()}
+    assert got.keys() == {f"h{n}" for n in range(12)} | {"all"}
+    assert state.last_listing(spark, root) == 11
+
+
+def test_a_fold_keeps_what_others_set_meanwhile(spark, root, monkeypatch):
+    def put(**statuses):
+        state.put_listing(spark.createDataFrame(list(statuses.items()), "host string, status string"), root)
+
+    put(a="1", b="1")
+    put(b="0")
+    listed = state._listed
+
+    def slow(*args):
+        monkeypatch.setattr(state, "_listed", listed)
+        put(a="0", c="1")  # after the fold has read, before it publishes
+        return listed(*args)
+
+    monkeypatch.setattr(state, "_listed", slow)
+    state.fold_listing(spark, root)
+    assert {r.host: r.status for r in state.read_listing(spark, root).collect()} == {"a": "0", "b": "0", "c": "1"}
+
+
+def test_a_pinned_step_can_be_read_after_a_fold(spark, root):
+    def put(**statuses):
+        state.put_listing(spark.createDataFrame(list(statuses.items()), "host string, status string"), root)
+
+    put(a="1")
+    put(b="1")
+    assert state.pinned_listing(spark, root, "w", 7) == 1
+    put(a="0")
+    state.fold(spark, root)
+    step = state.pinned_listing(spark, root, "w", 7)
+    assert step == 1 and {r.host: r.status for r in state.read_listing(spark, root, through=step).collect()} == {"a": "1", "b": "1"}
+    with pytest.raises(ValueError, match="expired"):
+        state.read_listing(spark, root, through=0)
+    assert {r.host: r.status for r in state.read_listing(spark, root).collect()} == {"a": "0", "b": "1"}
+
+
+def test_put_if_absent(spark, tmp_path):
+    from reqsift.session import put_if_absent, read_text
+
+    path = str(tmp_path / "deep" / "m.json")
+    assert put_if_absent(spark, path, "é1") and not put_if_absent(spark, path, "2")
+    assert read_text(spark, path) == "é1"

@@ -1,9 +1,13 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from reqsift.operators import state, windows
+from reqsift.plans.registry import default_registry
 from reqsift.sources.tables import stream_table
-from reqsift.streaming import control, jobs
+from reqsift.streaming import control, flush, jobs
+from reqsift.streaming.steps import StepsFailed, run_steps
 
 SCHEMA = "id long, host string, line string, ts timestamp_ntz"
 
@@ -224,3 +228,213 @@ def test_stream_of_a_table_file_and_of_a_table_folder(spark, tmp_path):
         out = str(folder / "out")
         jobs.writer(stream_table(spark, str(folder), "part"), f"{out}-cp").format("parquet").start(out).awaitTermination()
         assert spark.read.parquet(out).count() == 10
+
+
+# --- steps that fail alone --------------------------------------------------------------------------
+
+
+def test_a_step_that_fails_is_done_again_alone(spark, source):
+    source.add("a", "b")
+    source.add("c")
+    seen, failures = {"good": [], "bad": [], "last": []}, [1]
+
+    def step(name):
+        def sink(batch, batch_id):
+            if name == "bad" and batch_id == 1 and failures:
+                failures.pop()
+                raise RuntimeError("no luck")
+            seen[name].append((batch_id, sorted(r.host for r in batch.collect())))
+
+        return sink
+
+    def run():
+        jobs.fan_out(source.stream(), {n: step(n) for n in seen}, f"{source.root}/cp").awaitTermination()
+
+    with pytest.raises(Exception, match="no luck"):
+        run()
+    # The others were done with the batch all the same.
+    assert [len(seen[n]) for n in ("good", "bad", "last")] == [2, 1, 2]
+    run()
+    assert seen["good"] == seen["last"] == seen["bad"] and [i for i, _ in seen["bad"]] == [0, 1]
+
+
+def test_all_errors_are_told_and_marks_are_few(spark, tmp_path):
+    import os
+
+    def bad(batch, batch_id):
+        raise KeyError(f"k{batch_id}")
+
+    for n in range(5):
+        with pytest.raises(StepsFailed) as error:
+            run_steps(spark.range(1), n, {"a/b": bad, "c": lambda b, i: None, "d": bad}, str(tmp_path / "marks"))
+        assert set(error.value.errors) == {"a/b", "d"}
+    assert sorted(f for f in os.listdir(tmp_path / "marks" / "step=c") if not f.startswith(".")) == ["batch=3", "batch=4"]
+
+
+# --- late rows --------------------------------------------------------------------------------------
+
+
+def test_dropped_rows_are_counted_over_all_batches(spark, source):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for n in range(6):
+            source.add("a", "b", start=100_000 * (3 - n))
+        late = jobs.LateRows(spark)
+        query = jobs.windowed_distinct_to(
+            source.stream(), "ts", "10 seconds", "1 second", "host", path=f"{source.root}/out", checkpoint=f"{source.root}/cp"
+        )
+        query.awaitTermination()
+        assert late.of(query) == 2 * 5  # what the query remembers of them is less
+        assert sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators) < 10
+        late.close()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def windows_and_late(spark, source, delay="1 second"):
+    stream = source.stream().withColumn("_late", F.lit(1))
+    jobs.windows_and_late_to(stream, "ts", "10 seconds", delay, "host", path=f"{source.root}/out", checkpoint=f"{source.root}/cp").awaitTermination()
+    inside, late = jobs.read_windows(spark, f"{source.root}/out")
+    return sorted((str(r.window_start), r.host) for r in inside.collect()), sorted(r.id for r in late.collect())
+
+
+def test_windows_and_late_rows_are_all_rows(spark, source):
+    source.add("a", "b", "a", start=0)
+    source.add("a", start=100)  # the watermark stands at 99 s after it
+    source.add("a", "b", start=5)
+    source.add("c", start=95)  # behind the latest, but its window is open
+    inside, late = windows_and_late(spark, source)
+    assert inside == [("2024-01-01 00:00:00", "a"), ("2024-01-01 00:00:00", "b"), ("2024-01-01 00:01:30", "c"), ("2024-01-01 00:01:40", "a")]
+    assert late == [5, 6]
+    source.add("z", start=3)
+    assert windows_and_late(spark, source) == (inside, [3, 5, 6])  # across a restart
+
+
+def test_a_batch_done_again_splits_as_before(spark, source):
+    import os
+
+    source.add("a", start=100)
+    source.add("b", start=5)
+    want = windows_and_late(spark, source)
+    os.remove(f"{source.root}/cp/commits/1")
+    assert windows_and_late(spark, source) == want and want[1] == [5]
+
+
+def test_rows_without_a_time_are_late(spark, source):
+    source.add("a", "b")
+    rows = spark.createDataFrame([(7, "n", "n|| x", None)], SCHEMA)
+    rows.write.mode("append").parquet(source.folder)
+    inside, late = windows_and_late(spark, source)
+    assert late == [7] and len(inside) == 2
+
+
+# --- batches by count or time -----------------------------------------------------------------------
+
+
+def flushed(spark, source, size, span, delay="0 seconds"):
+    batches = flush.count_or_time_batches(source.stream(), "host", "ts", size, span, delay)
+    out = f"{source.root}/flushed"
+    jobs.writer(batches, f"{source.root}/cp").outputMode("append").format("parquet").option("path", out).start().awaitTermination()
+    rows = spark.read.parquet(out).withColumn("first", F.unix_seconds("first") % 86_400).withColumn("last", F.unix_seconds("last") % 86_400)
+    return sorted((r.host, r.batch, r["first"], r["last"], r.rows, r.closed_by) for r in rows.collect())
+
+
+def test_flush_by_count(spark, source):
+    source.add(*["a"] * 7)
+    source.add(*["a"] * 4, start=7)
+    assert flushed(spark, source, 5, "1 hour") == [("a", 0, 0, 4, 5, "count"), ("a", 1, 5, 9, 5, "count")]
+
+
+def test_flush_by_time_when_the_key_goes_on(spark, source):
+    source.add("a", "a", "a")
+    source.add("a", start=10)
+    source.add("a", start=60)
+    assert flushed(spark, source, 100, "10 seconds") == [("a", 0, 0, 2, 3, "time"), ("a", 1, 10, 10, 1, "time")]
+
+
+def test_a_quiet_key_is_flushed(spark, source):
+    """Nothing comes for the key any more; the time of the others closes its batch."""
+    source.add("quiet", "busy")
+    source.add("busy", start=5)
+    source.add("busy", start=500)
+    got = flushed(spark, source, 100, "10 seconds")
+    assert ("quiet", 0, 0, 0, 1, "time") in got and ("busy", 0, 1, 5, 2, "time") in got and len(got) == 2
+
+
+def test_flush_goes_on_after_a_restart(spark, source):
+    source.add("a", "a", "a")
+    assert flushed(spark, source, 4, "1 hour") == []
+    source.add("a", "a", start=3)
+    assert flushed(spark, source, 4, "1 hour") == [("a", 0, 0, 3, 4, "count")]
+
+
+def test_flush_needs_sensible_bounds(spark, source):
+    source.add("a")
+    with pytest.raises(ValueError, match="one row"):
+        flush.count_or_time_batches(source.stream(), "host", "ts", 0, "1 hour", "0 seconds")
+    with pytest.raises(ValueError, match="duration"):
+        flush.count_or_time_batches(source.stream(), "host", "ts", 1, "soon", "0 seconds")
+
+
+# --- specs as streams -------------------------------------------------------------------------------
+
+
+def spec_of(source, more=()):
+    return json.dumps(
+        [
+            {"step": "stream_table", "folder": source.root, "name": "pages", "max_files": 1},
+            {"step": "nonblank", "cols": ["host"]},
+            {"step": "drop_listed", "state": f"{source.root}/state"},
+            {"step": "fork", "steps": [{"step": "count_by", "key": "host"}, {"step": "put_counts", "root": f"{source.root}/state"}]},
+            {"step": "write_archive", "path": f"{source.root}/archive", "order_by": "id"},
+            *more,
+        ]
+    )
+
+
+def test_a_spec_as_a_stream(spark, source):
+    source.folder = f"{source.root}/pages.parquet"
+    state.put_listing(spark.createDataFrame([("a", "1")], "host string, status string"), f"{source.root}/state")
+    source.add("a", "b", "", "b")
+    source.add("c", start=10)
+    more = [{"step": "select", "cols": ["id", "host"]}, {"step": "append_json", "key": "host", "path": f"{source.root}/json"}]
+
+    def run():
+        default_registry().stream(spark, spec_of(source, more), f"{source.root}/cp").awaitTermination()
+        archive = spark.read.parquet(f"{source.root}/archive").orderBy("batch", "seq").collect()
+        lines = spark.read.schema("id long, host string").json(f"{source.root}/json").count()
+        return read_counts(spark, f"{source.root}/state"), [(r.batch, r.seq, r.host) for r in archive], lines
+
+    assert run() == ({"b": 2, "c": 1}, [(0, 1, "b"), (0, 2, "b"), (1, 1, "c")], 3)
+    source.add("a", "d", start=20)
+    assert run() == ({"b": 2, "c": 1, "d": 1}, [(0, 1, "b"), (0, 2, "b"), (1, 1, "c"), (2, 1, "d")], 4)
+
+
+def test_a_spec_whose_archive_fails_counts_once(spark, source, monkeypatch):
+    from reqsift.plans import registry
+
+    source.folder = f"{source.root}/pages.parquet"
+    source.add("a", "b", "b")
+    steps = default_registry()
+    broken, calls = steps.steps["write_archive"], []
+
+    def once(df, batch, **params):
+        calls.append(batch.number)
+        if len(calls) == 1:
+            raise RuntimeError("disk full")
+        return broken.per_batch(df, batch, **params)
+
+    steps.steps["write_archive"] = registry.Step(
+        "write_archive", broken.apply, sink=True, per_batch=once, batch_required=("path",), batch_optional=("order_by",)
+    )
+    counted = []
+    put = steps.steps["put_counts"]
+    steps.steps["put_counts"] = registry.Step(
+        "put_counts", put.apply, sink=True, batch_required=("root",),
+        per_batch=lambda df, batch, **params: counted.append(batch.number) or put.per_batch(df, batch, **params),
+    )
+    with pytest.raises(Exception, match="disk full"):
+        steps.stream(spark, spec_of(source), f"{source.root}/cp").awaitTermination()
+    steps.stream(spark, spec_of(source), f"{source.root}/cp").awaitTermination()
+    assert read_counts(spark, f"{source.root}/state") == {"a": 1, "b": 2} and counted == [0] and calls == [0, 0]
+    assert spark.read.parquet(f"{source.root}/archive").count() == 3
