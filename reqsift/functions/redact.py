@@ -40,8 +40,8 @@ SENSITIVE_WORDS = (
 )
 # Words for a password in other languages.
 FOREIGN_WORDS = (
-    "senha", "contrase[nñ]a", "wachtwoord", "heslo", "kennwort", "parola", "salasana", "losenord", "lösenord", "adgangskode",
-    "jelszo", "jelszó", "sifre", "şifre", "пароль", "Пароль", "ПАРОЛЬ", "密码", "口令", "パスワード", "비밀번호",
+    "senha", "contrase[nñÑ]a", "wachtwoord", "heslo", "kennwort", "parola", "salasana", "losenord", "lösenord", "LÖSENORD", "adgangskode",
+    "jelszo", "jelszó", "JELSZÓ", "sifre", "şifre", "ŞIFRE", "пароль", "Пароль", "ПАРОЛЬ", "密码", "口令", "パスワード", "비밀번호",
 )
 # Sensitive as a part of a name, but for what the patterns leave out: passenger, passage, passive, passion, passing, passes,
 # passed, passthrough, compass, bypass, surpass, trespass; author, authority, authentic; shipping, pine, pink, pinned, pint,
@@ -58,8 +58,8 @@ SHORT_WORDS = ("sid", "jwt", "sig", "cvv", "cvc", "mdp", "clave", "haslo")
 # In an encoded URL the name follows the digits of an encoded quote, brace or separator.
 _AFTER_CODE = "[237][0-9A-Fa-f]"
 _SHORT = tuple(rf"{w}(?:(?<![A-Za-z]{w})|(?<={_AFTER_CODE}{w}))(?![A-Za-z])" for w in SHORT_WORDS)
-# A field is also sensitive when it is called just this ("user-agent" and "user_id" are not).
-USER_WORD = rf"user(?:(?<![\w-]user)|(?<={_AFTER_CODE}user))(?![\w-])"
+# A field is also sensitive when it is called just this, or with a number ("user-agent" and "user_id" are not).
+USER_WORD = rf"user(?:(?<![\w-]user)|(?<={_AFTER_CODE}user))[0-9]*+(?![\w-])"
 
 
 def _one_of(words: Iterable[str]) -> str:

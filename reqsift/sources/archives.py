@@ -255,7 +255,7 @@ def _directory(file) -> tuple[int, int, int] | None:
         return None
     length, offset = struct.unpack_from("<LL", tail, at + 12)
     end = tail_at + at
-    if (0xFFFFFFFF in (length, offset) or struct.unpack_from("<H", tail, at + 10)[0] == 0xFFFF) and end >= 20:
+    if end >= 20:
         locator = file.read_at(20, end - 20)
         if locator[:4] == LOCATOR_64:
             end = end - 20 - 56

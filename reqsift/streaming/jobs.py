@@ -181,7 +181,7 @@ def windows_and_late_to(
 ) -> StreamingQuery:
     """Distinct tuples per window under ``path/windows``, and under ``path/late`` every row whose window was closed.
 
-    The watermark is that of Spark: ``delay`` behind the latest time of all micro-batches before. A window is closed when it
+    The watermark is ``delay`` behind the latest time of all micro-batches before. A window is closed when it
     ends there or before; rows without a time are late. Each micro-batch writes its own distinct tuples, its late rows and the
     watermark for the next one, so a batch that is done again replaces itself; ``read_windows`` puts them together.
     """

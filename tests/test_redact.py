@@ -67,7 +67,6 @@ USERINFO = [
 
 
 CARRIERS += [
-    "POST /x HTTP/1.1\nHost: h\nX-{n}-1: {s}",
     'GET /x?{n}={s} HTTP/1.1\nHost: h\n{{"data":{{"{n}1":"{s}"}}}}',
 ]
 

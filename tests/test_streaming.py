@@ -284,8 +284,9 @@ def test_dropped_rows_are_counted_over_all_batches(spark, source):
             source.stream(), "ts", "10 seconds", "1 second", "host", path=f"{source.root}/out", checkpoint=f"{source.root}/cp"
         )
         query.awaitTermination()
-        assert late.of(query) == 2 * 5  # what the query remembers of them is less
-        assert sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators) < 10
+        # Spark drops by the watermark before last, so nothing of the first two; what the query remembers of the rest is less.
+        assert late.of(query) == 2 * 4
+        assert sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators) < 8
         late.close()
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
@@ -316,7 +317,8 @@ def test_a_batch_done_again_splits_as_before(spark, source):
     source.add("a", start=100)
     source.add("b", start=5)
     want = windows_and_late(spark, source)
-    os.remove(f"{source.root}/cp/commits/1")
+    for name in ("1", ".1.crc"):
+        os.remove(f"{source.root}/cp/commits/{name}")
     assert windows_and_late(spark, source) == want and want[1] == [5]
 
 
