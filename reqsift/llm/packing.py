@@ -1,4 +1,4 @@
-"""Best-fit packing of token pieces into sequences by exact-complement hashing.
+"""Best-fit packing of token pieces into sequences by exact-complement hashing of the sums of one, two and three lengths.
 
 Only lengths matter, and there are at most ``capacity`` of them: the plan is made on the driver from a histogram of at
 most ``capacity`` counts, whatever the number of documents. It lists patterns (lengths that fill one sequence) and how
@@ -72,75 +72,154 @@ def token_pieces(
     return texts.mapInArrow(run, schema + ", ids array<int>" * with_ids)
 
 
-class _Lengths:
-    """How many pieces of each length are left, with the sums that one, two and three of them make."""
+class _Sums:
+    """How many pieces of each length are left, and an index of the sums that one, two and three of them make.
+
+    ``pairs[s]`` and ``triples[s]`` are the numbers of ways to make ``s``, under the counts that are left; they are brought up to
+    date when a count falls to two, one or none, the only times they change.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.left = counts.copy()
+        self.left, self.stale = counts.copy(), True
+
+    def take(self, lengths: np.ndarray, times: np.ndarray) -> None:
+        before = np.minimum(self.left[lengths], 3)
+        self.left[lengths] -= times
+        self.stale |= bool((np.minimum(self.left[lengths], 3) != before).any())
 
-    def complement(self, gap: int, largest: int) -> tuple[int, ...] | None:
-        """Lengths (descending, none above ``largest``) that sum to exactly ``gap``: one, else two, else three of them."""
-        left, top = self.left, min(gap, largest)
-        if gap <= top and left[gap]:
+    def _index(self) -> None:
+        """Ways to make a sum, counted by convolutions of what is there once, twice and three times."""
+        size = len(self.left)
+        once, twice, thrice = (np.asarray(self.left >= n, dtype=np.float64) for n in (1, 2, 3))
+        once[0] = twice[0] = thrice[0] = 0
+        spread = lambda x, n: np.bincount(n * np.arange(size), weights=x, minlength=n * size)[:size]
+        ordered = np.convolve(once, once)[:size]
+        self.pairs = (ordered - spread(once, 2)) / 2 + spread(twice, 2)
+        two_and_one = np.convolve(spread(once, 2), once)[:size]
+        apart = (np.convolve(ordered, once)[:size] - 3 * two_and_one + 2 * spread(once, 3)) / 6
+        double = np.convolve(spread(twice, 2), once)[:size] - spread(twice, 3)
+        self.triples, self.stale = apart + double + spread(thrice, 3), False
+
+    def exact(self, gap: int) -> tuple[int, ...] | None:
+        """Lengths that sum to exactly ``gap``: one, else two, else three of them; of several ways, the one whose scarcest
+        length is scarcest, and of those the one with the longest."""
+        if self.left[gap]:
             return (gap,)
-        there = left[: top + 1] > 0
-        lengths = np.flatnonzero(there)[::-1]
-        if pair := self._pair(gap, lengths, there):
-            return pair
-        for first in lengths:
-            if first * 3 < gap:
+        if self.stale:
+            self._index()
+        if self.pairs[gap] > 0.5:
+            return self._pair(gap)[1:]
+        if self.triples[gap] < 0.5:
+            return None
+        best = None
+        for first in np.flatnonzero(self.left[:gap])[::-1]:
+            if 3 * first < gap:
                 break
             self.left[first] -= 1
-            rest = np.flatnonzero(self.left[: first + 1] > 0)[::-1]
-            pair = self._pair(gap - first, rest, self.left[: first + 1] > 0)
+            found = self._pair(gap - int(first), int(first))
             self.left[first] += 1
-            if pair:
-                return (int(first), *pair)
-        return None
-
-    def _pair(self, gap: int, lengths: np.ndarray, there: np.ndarray) -> tuple[int, int] | None:
-        other = gap - lengths
-        fits = (other > 0) & (other <= lengths)
-        fits[fits] &= there[other[fits]]
-        same = fits & (other == lengths)
-        fits[same] &= self.left[lengths[same]] > 1
-        at = np.flatnonzero(fits)
-        return (int(lengths[at[0]]), int(other[at[0]])) if len(at) else None
+            if found:
+                scarcest = min(found[0], int(self.left[first]))
+                if best is None or scarcest < best[0]:
+                    best = (scarcest, int(first), *found[1:])
+        return best[1:] if best else None
 
+    def _pair(self, gap: int, largest: int | None = None) -> tuple[int, int, int] | None:
+        """``(pieces left of the scarcer one, longer, shorter)``."""
+        longer = np.arange(min(gap - 1, largest or gap), (gap - 1) // 2, -1)
+        shorter = gap - longer
+        there = (self.left[longer] > 0) & (self.left[shorter] > 0) & ((longer != shorter) | (self.left[longer] > 1))
+        longer, shorter = longer[there], shorter[there]
+        if not len(longer):
+            return None
+        scarcer = np.minimum(self.left[longer], self.left[shorter])
+        at = int(scarcer.argmin())
+        return int(scarcer[at]), int(longer[at]), int(shorter[at])
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """``(lengths, times)``: patterns whose uses consume the histogram exactly, each of at most ``capacity``.
 
-    Largest lengths first. A pattern's gap goes to an exact complement of one, two or three lengths; where there is
-    none, to the largest length that fits (best fit), and on with the smaller gap. A pattern is used as often as the
-    counts allow at once.
-    """
+def exact_plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns by exact complements, largest lengths first. A pattern's gap goes to the longest piece that fits and lengths
+    that fill the rest exactly; else, in a gap of more than a quarter, to that piece alone, since short pieces are kept for small
+    gaps; else to lengths that fill the gap exactly; else to the longest piece that fits (best fit). Then on with the smaller
+    gap. A pattern is used as often as the counts allow at once."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] += n
-    state, patterns = _Lengths(counts), []
+    sums, patterns = _Sums(counts), []
+    one = np.ones(1, dtype=np.int64)
     for length in range(capacity, 0, -1):
-        while state.left[length] > 0:
+        while sums.left[length] > 0:
             pattern, gap = [length], capacity - length
-            state.left[length] -= 1
+            sums.take(np.array([length]), one)
             while gap:
-                found = state.complement(gap, length)
-                if found is None:
-                    fitting = np.flatnonzero(state.left[: min(gap, length) + 1] > 0)
-                    if not len(fitting):
-                        break
-                    found = (int(fitting[-1]),)
-                for x in found:
-                    state.left[x] -= 1
+                fitting = np.flatnonzero(sums.left[: gap + 1] > 0)
+                if not len(fitting):
+                    break
+                longest = int(fitting[-1])
+                if longest == gap:
+                    found = (gap,)
+                else:
+                    sums.take(np.array([longest]), one)
+                    rest = sums.exact(gap - longest)
+                    sums.take(np.array([longest]), -one)
+                    found = (longest, *(rest or ()))
+                    if not rest and 4 * gap <= capacity:
+                        found = sums.exact(gap) or found
+                sums.take(*np.unique(found, return_counts=True))
                 pattern += found
                 gap -= sum(found)
             used, per = np.unique(pattern, return_counts=True)
-            more = int((state.left[used] // per).min())
-            state.left[used] -= more * per
+            more = int((sums.left[used] // per).min())
+            sums.take(used, more * per)
             patterns.append((tuple(int(x) for x in pattern), 1 + more))
     return patterns
 
 
+def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of best fit decreasing, many equal sequences at a time: the pieces of a length, largest lengths first, go to
+    the sequences with the smallest gap that holds them, each of which takes as many as fit."""
+    open_: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+
+    def put(gap: int, pattern: tuple[int, ...], times: int, left: int) -> int:
+        """Give ``left`` pieces to ``times`` sequences with this gap; returns how many pieces remain."""
+        most = gap // length
+        full = min(times, left // most)
+        if full:
+            open_[gap - full_gap(most)].append((pattern + (length,) * most, full))
+        left, times = left - full * most, times - full
+        if times and 0 < left < most:
+            open_[gap - full_gap(left)].append((pattern + (length,) * left, 1))
+            left, times = 0, times - 1
+        if times and gap < capacity:
+            open_[gap].append((pattern, times))
+        return left
+
+    full_gap = lambda n: n * length
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        for gap in range(length, capacity):
+            held, open_[gap] = open_[gap], []
+            for i, (pattern, times) in enumerate(held):
+                if not left:
+                    open_[gap] += held[i:]
+                    break
+                left = put(gap, pattern, times, left)
+            if not left:
+                break
+        if left:
+            put(capacity, (), -(-left // (capacity // length)), left)
+    return [x for gap in open_ for x in gap]
+
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """``(lengths, times)``: patterns whose uses consume the histogram exactly, each of at most ``capacity``.
+
+    The plan by exact complements, or plain best fit should that take fewer sequences.
+    """
+    used = lambda patterns: sum(times for _, times in patterns)
+    return min(exact_plan(histogram, capacity), best_fit_plan(histogram, capacity), key=used)
+
+
 def _places(spark: SparkSession, patterns: list[tuple[tuple[int, ...], int]]) -> DataFrame:
     """``length, first, last, per, base, shift``: which ranks of a length a pattern takes, and where they go."""
     rows, taken, base = [], {}, 0

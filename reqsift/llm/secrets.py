@@ -82,6 +82,10 @@ def scan(blobs: DataFrame, rules: tuple = RULES) -> DataFrame:
     return placed.filter("hit.counted >= least").select("blob", "rule", "start", "end")
 
 
+#: Unseen blobs whose names are sent to all tasks, some 200 bytes each; for more of them the texts are shuffled.
+BROADCAST_BLOBS = 200_000
+
+
 class BlobLedger:
     """What was scanned and found, as two growing tables under ``path`` in the shared folder."""
 
@@ -114,7 +118,12 @@ class BlobLedger:
         todo = todo.select("blob", F.array_except(versions, F.coalesce("rules", F.array().cast("array<string>"))).alias("todo"))
         todo = stored(todo.filter(F.size("todo") > 0), "unseen-blobs")
         texts = df.select(blob_id(text_col).alias("blob"), text_or_empty(text_col).alias("text"))
-        texts = texts.dropDuplicates(["blob"]).join(todo, "blob")
+        if todo.count() <= BROADCAST_BLOBS:
+            # Texts that were scanned before stay where they are.
+            texts = texts.join(F.broadcast(todo), "blob").dropDuplicates(["blob"])
+        else:
+            # One text of each blob leaves a task, so copies don't meet in the join.
+            texts = texts.dropDuplicates(["blob"]).join(todo, "blob")
         found = scan(texts, rules)
         found.write.mode("append").parquet(f"{self.path}/findings")
         todo.withColumnRenamed("todo", "rules").write.mode("append").parquet(f"{self.path}/scanned")

@@ -139,6 +139,79 @@ def test_plan_fills_gaps_exactly():
     assert packing.plan({4: 1, 3: 1, 2: 1, 1: 1}, 10) == [((4, 3, 2, 1), 1)]
 
 
+def _best_fit(lengths, capacity):
+    """Sequences of best fit decreasing, piece by piece."""
+    gaps, used = Counter(), 0
+    for length in sorted(lengths, reverse=True):
+        for _ in range(lengths[length]):
+            gap = min((g for g, n in gaps.items() if n and g >= length), default=None)
+            used += gap is None
+            gaps[gap] -= 1
+            gaps[(capacity if gap is None else gap) - length] += 1
+    return used
+
+
+def test_best_fit_of_many_at_a_time_is_that_of_one_by_one():
+    rng = random.Random(3)
+    for _ in range(200):
+        capacity = rng.choice([5, 10, 30, 100])
+        lengths = Counter({rng.randint(1, capacity): rng.choice([1, 1, 2, 3, 7, 50]) for _ in range(rng.randint(1, 12))})
+        whole, best = (Counter(), Counter())
+        for made, plan in ((whole, packing.exact_plan(lengths, capacity)), (best, packing.best_fit_plan(lengths, capacity))):
+            for pattern, times in plan:
+                assert times > 0 and sum(pattern) <= capacity
+                for length in pattern:
+                    made[length] += times
+        assert whole == best == lengths
+        assert sum(t for _, t in packing.best_fit_plan(lengths, capacity)) == _best_fit(lengths, capacity)
+        assert sum(t for _, t in packing.plan(lengths, capacity)) <= _best_fit(lengths, capacity)
+
+
+def test_best_fit_of_a_huge_histogram_ends():
+    lengths = {n: 10**10 + n for n in range(1, 65)}
+    plan = packing.plan(lengths, 64)
+    assert sum(t for _, t in plan) <= -(-sum(n * c for n, c in lengths.items()) // 64) * 1.02
+
+
+def test_index_of_sums():
+    """Ways to make each sum, against all combinations, while counts fall."""
+    from itertools import combinations_with_replacement
+
+    rng = np.random.default_rng(5)
+    sums = packing._Sums(np.concatenate(([0], rng.integers(0, 5, 20))))
+    for _ in range(12):
+        sums._index()
+        for k, made in ((2, sums.pairs), (3, sums.triples)):
+            there = Counter(
+                sum(c) for c in combinations_with_replacement(range(1, 21), k) if all(sums.left[x] >= n for x, n in Counter(c).items())
+            )
+            assert [round(made[s]) for s in range(21)] == [there[s] for s in range(21)]
+        for gap in range(1, 21):
+            found = sums.exact(gap)
+            assert (found is not None) == bool(sums.left[gap] or sums.pairs[gap] > 0.5 or sums.triples[gap] > 0.5)
+            assert found is None or sum(found) == gap and all(sums.left[x] >= n for x, n in Counter(found).items())
+        length = int(rng.choice(np.flatnonzero(sums.left)))
+        sums.take(np.array([length]), np.ones(1, dtype=np.int64))
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_never_more_sequences_than_best_fit_and_few_more_than_the_least(scale):
+    import duckdb
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = duckdb.sql(f"SELECT coalesce(text, '') FROM '/root/testdata/{scale}/documents.parquet'").fetchall()
+    lengths = Counter()
+    for (text,) in texts:
+        n = len(library.encode(text, add_special_tokens=False).ids) + 1
+        lengths[1024] += n // 1024
+        lengths[n % 1024] += n % 1024 > 0
+    lengths = Counter({k: v for k, v in lengths.items() if v})
+    used = sum(t for _, t in packing.exact_plan(lengths, 1024))
+    assert used <= _best_fit(lengths, 1024) and used <= -(-sum(k * v for k, v in lengths.items()) // 1024) + 2
+
+
 def test_pack_rows(spark):
     # `length`, `piece` and `start` of the input are other columns: only id and text are taken.
     made = packing.token_pieces(documents(spark), capacity=64, with_ids=True)
