@@ -146,7 +146,8 @@ def _best_fit(lengths, capacity):
         for _ in range(lengths[length]):
             gap = min((g for g, n in gaps.items() if n and g >= length), default=None)
             used += gap is None
-            gaps[gap] -= 1
+            if gap is not None:
+                gaps[gap] -= 1
             gaps[(capacity if gap is None else gap) - length] += 1
     return used
 
