@@ -234,10 +234,16 @@ def _sql(templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> str:
     return rf"""
 WITH known(t, licence, line) AS (VALUES {known}),
 files AS (
-    SELECT doc_id, text, doc_id // 100 AS shard, source, lang, coalesce(text, '') AS body,
-        regexp_matches(split_part(coalesce(text, ''), chr(10), 1), '{trigger}') AS head FROM documents
+    SELECT doc_id, text, doc_id // 100 AS shard, concat_ws('/', source, lang) AS top, source, coalesce(text, '') AS body,
+        regexp_matches(coalesce(text, ''), '{trigger}') AND doc_id % 2 = 0 AS head FROM documents
 ),
-paths AS (SELECT *, source || '/' || lang || '/' || shard || '/' || CASE WHEN head THEN 'LICENSE.' ELSE '' END || doc_id AS path FROM files),
+folders AS (
+    SELECT *, CASE
+        WHEN head THEN CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN top ELSE concat_ws('/', top, shard) END
+        WHEN doc_id % 5 = 0 THEN top WHEN doc_id % 5 < 3 THEN concat_ws('/', top, shard)
+        ELSE concat_ws('/', top, shard, 'part' || doc_id % 7) END AS folder FROM files
+),
+paths AS (SELECT *, concat_ws('/', folder, CASE WHEN head THEN 'LICENSE.' ELSE '' END || doc_id) AS path FROM folders),
 found AS (
     SELECT DISTINCT doc_id, path, l AS raw, trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g')) AS line
     FROM (SELECT doc_id, path, unnest(string_split(body, chr(10))) AS l FROM paths) WHERE regexp_matches(l, '{trigger}')
@@ -261,11 +267,14 @@ named AS (SELECT scored.line, licence, cosine FROM scored JOIN known k USING (t)
     QUALIFY row_number() OVER (PARTITION BY scored.line ORDER BY cosine DESC, t) = 1),
 own AS (SELECT doc_id, path, licence AS own_licence, cosine FROM found JOIN named USING (line)
     QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence) = 1),
-sources AS (SELECT source, lang, shard, path AS from_path, own_licence AS from_licence FROM own JOIN paths p USING (doc_id, path)
-    WHERE head QUALIFY row_number() OVER (PARTITION BY source, lang, shard ORDER BY path) = 1)
+sources AS (SELECT folder AS above, path AS from_path, own_licence AS from_licence FROM own JOIN paths p USING (doc_id, path)
+    WHERE head QUALIFY row_number() OVER (PARTITION BY folder ORDER BY path) = 1),
+nearest AS (SELECT f.folder, from_path, from_licence FROM (SELECT DISTINCT folder FROM paths) f
+    JOIN sources ON starts_with(f.folder || '/', above || '/')
+    QUALIFY row_number() OVER (PARTITION BY f.folder ORDER BY length(above) DESC) = 1)
 SELECT doc_id, p.path, o.own_licence, o.cosine, coalesce(o.own_licence, s.from_licence) AS licence,
     CASE WHEN o.own_licence IS NULL THEN s.from_path END AS inherited_from
-FROM paths p LEFT JOIN own o USING (doc_id) LEFT JOIN sources s USING (source, lang, shard)
+FROM paths p LEFT JOIN own o USING (doc_id) LEFT JOIN nearest s USING (folder)
 """
 
 

@@ -102,13 +102,19 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents have no paths: they are filed as source/lang/shard/name, and one that opens with a licence line is its
-    directory's licence file."""
+    """Documents have no paths: they are filed under source/lang, some there, some in shard and some below it; every second one
+    with a licence line is a licence file, of source, of source/lang or of a shard."""
     documents = table(spark, folder, "documents")
-    head = F.split(F.coalesce("text", F.lit("")), "\n")[0].rlike(licences.TRIGGER)
-    name = F.concat(F.when(head, "LICENSE.").otherwise(""), F.col("doc_id").cast("string"))
-    shard = F.floor(F.col("doc_id") / 100).cast("string")
-    path = F.concat_ws("/", "source", "lang", shard, name)
+    head = F.coalesce("text", F.lit("")).rlike(licences.TRIGGER) & (F.col("doc_id") % 2 == 0)
+    number, no = F.col("doc_id"), F.col("doc_id").cast("string")
+    shard = F.floor(number / 100).cast("string")
+    licence = F.when(number % 3 == 0, F.concat_ws("/", "source", F.concat(F.lit("LICENSE."), no)))
+    licence = licence.when(number % 3 == 1, F.concat_ws("/", "source", "lang", F.concat(F.lit("LICENSE."), no)))
+    licence = licence.otherwise(F.concat_ws("/", "source", "lang", shard, F.concat(F.lit("LICENSE."), no)))
+    other = F.when(number % 5 == 0, F.concat_ws("/", "source", "lang", no))
+    other = other.when(number % 5 < 3, F.concat_ws("/", "source", "lang", shard, no))
+    other = other.otherwise(F.concat_ws("/", "source", "lang", shard, F.concat(F.lit("part"), (number % 7).cast("string")), no))
+    path = F.when(head, licence).otherwise(other)
     return licences.scan_licences(documents.withColumn("path", path))
 
 
