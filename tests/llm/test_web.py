@@ -117,7 +117,7 @@ def apriori(rows, least, confidence):
     sure = {}
     for size in range(1, 6):
         for names in combinations(sorted(items), size):
-            where = set.intersection(*(items[x] for x in names))
+            where = frozenset.intersection(*(items[x] for x in names))
             if len(where & bad) >= least and len(where & bad) >= confidence * len(where):
                 sure[names] = len(where & bad) / len(where)
     return {" ".join(k): v for k, v in sure.items() if not any(set(p) < set(k) and w >= v for p, w in sure.items())}
