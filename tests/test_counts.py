@@ -30,6 +30,6 @@ def test_key_sets(spark):
 def test_exposure_counts_cleartext_only(spark):
     rows = [("h", "http://h/", True, True), ("h", "https://h/", True, True), ("h", "/x", False, True), ("h", "/", False, False)]
     df = spark.createDataFrame(rows, "host string, url string, has_username boolean, has_password boolean")
-    other = {f"has_{kind}": F.lit(False) for kind in ("basic", "bearer", "session", "userinfo")}
+    other = {f"has_{kind}": F.lit(False) for kind in ("basic", "bearer", "session", "userinfo", "key")}
     r = counts.exposure_by_host(df.withColumns(other)).first()
     assert (r.requests, r.with_username, r.with_password, r.exposed, r.exposed_share) == (4, 2, 3, 2, 0.5)

@@ -68,6 +68,10 @@ def test_ingested_days_are_pruned(spark, tmp_path):
     from reqsift.plans.ingest import read_ingested
 
     out = str(tmp_path / "out")
-    spark.createDataFrame([("a", 1), ("b", 2)], "host string, day int").write.partitionBy("day").parquet(out)
-    text = plan(read_ingested(spark, out, after_day=1))
-    assert "PartitionFilters: [isnotnull(day" in text
+    for day in (1, 2, 3):
+        for kind in ("rows", "files"):
+            spark.createDataFrame([("a", "h")], "path string, host string").write.parquet(f"{out}/{kind}/day={day}/run=0")
+    rows = read_ingested(spark, out, after_day=1)
+    assert {f.rsplit("/", 3)[1] for f in rows.inputFiles()} == {"day=2", "day=3"}
+    assert "Join" not in plan(rows)  # each file was read once
+    assert "PartitionFilters: [isnotnull(day" in plan(rows.filter("day = 3"))
