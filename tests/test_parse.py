@@ -156,7 +156,7 @@ def test_only_stated_columns_come_out(spark):
     df = spark.createDataFrame([(GET,)], "text string")
     assert parse_requests(df).columns == [
         "host", "url", "action_type", "has_username", "has_password", "has_basic", "has_bearer", "has_session",
-        "has_userinfo", "fields", "request_parameters",
+        "has_userinfo", "has_key", "fields", "request_parameters",
     ]
 
 
