@@ -370,6 +370,20 @@ def test_flush_goes_on_after_a_restart(spark, source):
     assert flushed(spark, source, 4, "1 hour") == [("a", 0, 0, 3, 4, "count")]
 
 
+def test_flush_with_the_default_state_store(spark, source):
+    """A session that names no state store has the one on the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        source.add("quiet", "busy", "busy")
+        assert flushed(spark, source, 2, "10 seconds") == [("busy", 0, 1, 2, 2, "count")]
+        source.add("busy", start=10)
+        assert flushed(spark, source, 2, "10 seconds")[1:] == [("quiet", 0, 0, 0, 1, "time")]  # over just at the watermark
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_flush_needs_sensible_bounds(spark, source):
     source.add("a")
     with pytest.raises(ValueError, match="one row"):
