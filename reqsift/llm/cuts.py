@@ -7,14 +7,16 @@ A piece is a stretch between two separators, and its leading run of Latin letter
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
 from .shingles import mix
 
 _U = np.uint64
-#: Bytes of text that are cut at a time.
+#: Bytes of text that are cut at a time, and where memory is short.
 SLICE = 1 << 21
+SMALL = 1 << 19
 CLOSERS = b" \n.,;:!?|%&*#$"
 _ASCII = np.zeros(256, dtype=bool)
 _ASCII[65:91] = _ASCII[97:123] = True
@@ -27,7 +29,10 @@ def _powers(base: np.uint64, size: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS = [(_powers(b, SLICE), _powers(_U(pow(int(b), -1, 1 << 64)), SLICE)) for b in _BASES]
+@lru_cache(maxsize=2)
+def _both_powers(size: int) -> list[np.ndarray]:
+    """Of each base, ``size`` of them: up to 32 MB, made where texts are cut, which neither the driver nor every worker does."""
+    return [_powers(b, size) for b in _BASES]
 
 
 @dataclass
@@ -122,10 +127,15 @@ def cut(texts: list[str], separators: bytes, keep: bool, closers: bytes = CLOSER
         flags[which] = plain
         return Pieces(list(number), flags, which, counts)
     hashes = []
-    for power, back in _POWERS:
+    size = SLICE if len(data) > SMALL else SMALL
+    for power in _both_powers(size):
+        values = data.astype(_U)
+        values += _U(1)
+        values *= power[: len(data)]
         sums = np.zeros(len(data) + 1, dtype=_U)
-        np.cumsum((data + _U(1)) * power[: len(data)], out=sums[1:])
-        hashes.append(mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(_U)))
+        np.cumsum(values, out=sums[1:])
+        # As if every piece began at the same, the last place.
+        hashes.append(mix((sums[ends] - sums[starts]) * power[size - 1 - starts] + (ends - starts).astype(_U)))
     _, at, which = np.unique(hashes[0], return_index=True, return_inverse=True)
     if not np.array_equal(hashes[1], hashes[1][at][which]):  # two pieces of equal first hash: tell them apart by both
         _, at, which = np.unique(np.stack(hashes, axis=1), axis=0, return_index=True, return_inverse=True)

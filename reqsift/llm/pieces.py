@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,10 +89,22 @@ class Model:
         self.unknown = self.kinds.index(_UNKNOWN)
         byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == _BYTE}
         self.bytes = [byte[b] for b in range(256)] if len(byte) == 256 else None
-        #: Ids of pieces, -1 for what only begins a piece.
+        #: Ids of pieces; for what only begins a piece, -2 less the id of the longest piece it begins with itself, or -1.
         self.edges = {p[:n]: -1 for p in self.ids for n in range(1, len(p))} | self.ids
+        #: Of each piece, the next shorter one that it begins with, or -1.
+        self.shorter = [-1] * len(self.pieces)
+        for p in sorted(self.edges, key=len):
+            before, own = self.edges.get(p[:-1], -1), self.edges[p]
+            before = before if before >= -1 else -2 - before
+            if own >= 0:
+                self.shorter[own] = before
+            elif before >= 0:
+                self.edges[p] = -2 - before
+        self.lengths = list(map(len, self.pieces))
         # No piece crosses from another character to a space: words are independent.
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        # An unknown character is in no piece either.
+        self.deep = self.algorithm == _BPE and all(c in self.ids for p in self.ids for c in p)
         self.pairs: dict[int, bool] = {}
         self._splits: dict[int, tuple[int, int] | None] = {}
 
@@ -233,9 +246,57 @@ class StreamingViterbi:
         self.text += text
         return self._run(len(self.text), len(self.text) - self.model.longest)
 
-    def finish(self) -> list[int]:
-        ids = self._run(len(self.text), len(self.text))
-        return ids + self._ids(len(self.text))
+    def _deep(self) -> bool:
+        """Lay the edges depth first, longest first: a node that is off the path is seldom reached, and nodes that lead
+        nowhere are not tried again. For BPE, where a node's one path needs no comparing; False if no path came to the end."""
+        model, text, nodes = self.model, self.text, self.nodes
+        edge, known, stays, shorter, lengths = model.edges.get, model.pairs.get, model.stays, model.shorter, model.lengths
+        way: list[tuple[int, int, int]] = []  # nodes on the way, the pieces before them, and the next pieces to try
+        at, left, size = 0, max(nodes[0][1], -1), len(text)
+        while at < size:
+            # What begins a piece begins one with fewer characters, too: look around the usual length.
+            stop = min(at + 4, size)
+            piece = edge(text[at:stop])
+            if piece is None:
+                while piece is None and stop > at + 1:
+                    stop -= 1
+                    piece = edge(text[at:stop])
+            else:
+                while stop < size and (more := edge(text[at : stop + 1])) is not None:
+                    piece = more
+                    stop += 1
+            if piece is None:
+                piece, end = -2, at + 1
+                nodes[end] = (0.0, piece, at)
+            else:
+                piece = piece if piece >= -1 else -2 - piece
+                while True:
+                    while piece >= 0:
+                        end = at + lengths[piece]
+                        if end not in nodes:  # else the way from there is a dead end
+                            valid = known(left * 0x100000 + piece)
+                            if stays(left, piece) if valid is None else valid:
+                                break
+                        piece = shorter[piece]
+                    if piece >= 0:
+                        break
+                    if not way:
+                        return False
+                    at, left, piece = way.pop()
+                nodes[end] = (0.0, piece, at)
+                way.append((at, left, shorter[piece]))
+            at, left = end, max(piece, -1)
+        return True
+
+    def finish(self, text: str = "") -> list[int]:
+        """The rest of the ids, ``text`` being the last slice."""
+        self.text += text
+        size = len(self.text)
+        # Nothing this short is committed on the way.
+        if len(self.nodes) > 1 or size > COMMIT_EVERY or not self.model.deep or not self._deep():
+            ids = self._run(size, size)
+            return ids + self._ids(len(self.text))
+        return self._ids(size)
 
 
 class PieceCodec:
@@ -249,13 +310,17 @@ class PieceCodec:
         self.closers = bytes(c for c in range(128) if chr(c) not in joined and not chr(c).isalpha())
         self.cut_at = re.compile("(?<=[^ ]) (?=[^ ])")
         self.known = Remembered("<i4")
-        spell = lambda p, k: b"" if k == _CONTROL else bytes([int(p[3:5], 16)]) if k == _BYTE else p.encode()
-        self.spelled = [spell(p, k) for p, k in zip(model.pieces, model.kinds)]
-        self.spelled[model.unknown] = " ⁇ ".encode()
+        spell = lambda p, k: b"" if k == _CONTROL else bytes([int(p[3:5], 16)]) if k == _BYTE else p.replace(SPACE, " ").encode()
+        spelled = [spell(p, k) for p, k in zip(model.pieces, model.kinds)]
+        spelled[model.unknown] = " ⁇ ".encode()
+        self.spelled, self.size = np.frombuffer(b"".join(spelled), np.uint8), np.array([len(s) for s in spelled])
+        self.start = np.cumsum(self.size) - self.size
         self.dummy_prefix = model.processor.normalize("a").startswith(SPACE)
 
     def search(self, normalized: str, slice_chars: int = 4096) -> list[int]:
         search, ids = StreamingViterbi(self.model), []
+        if len(normalized) <= COMMIT_EVERY:
+            return search.finish(normalized)
         for at in range(0, len(normalized), slice_chars):
             ids += search.feed(normalized[at : at + slice_chars])
         return ids + search.finish()
@@ -268,7 +333,7 @@ class PieceCodec:
         if self.known.bytes > CACHE_BYTES:
             self.known = Remembered("<i4")
         parts: list[list[np.ndarray]] = [[] for _ in texts]
-        for group in slices([t.replace(SPACE, " ") for t in normalized], self.cut_at):
+        for group in slices([t.replace(SPACE, " ") for t in normalized], self.cut_at, cuts.SMALL):
             words = cuts.cut([part for _, part in group], self.separators, True, self.closers, runs=False)
             rows = self.known.rows
             if new := [w for w in words.distinct if w not in rows]:
@@ -282,10 +347,22 @@ class PieceCodec:
                 parts[i].append(ids[a:b])
         return [p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        shift = np.repeat(self.start[ids] - (np.cumsum(size) - size), size)
+        return self.spelled[shift + np.arange(len(shift))].tobytes()
+
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of ``counts`` ids each; bytes that are no UTF-8 become U+FFFD, control ids nothing."""
+        # Only so many at a time: one text may have any number.
+        spelled = b"".join(self._bytes(ids[at : at + (1 << 17)]) for at in range(0, len(ids), 1 << 17))
+        stops = np.append(0, np.cumsum(self.size[ids]))[np.append(0, np.cumsum(counts))].tolist()
+        texts = [spelled[a:b].decode(errors="replace").replace(SPACE, " ") for a, b in zip(stops, stops[1:])]
+        return [t[1:] if self.dummy_prefix and t.startswith(" ") else t for t in texts]
+
     def decode(self, ids: Iterable[int]) -> str:
-        """The text of ids; bytes that are no UTF-8 become U+FFFD, control ids nothing."""
-        text = b"".join(map(self.spelled.__getitem__, ids)).decode(errors="replace").replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") and self.dummy_prefix else text
+        ids = np.fromiter(ids, np.int64)
+        return self.decode_all(ids, np.array([len(ids)]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -319,7 +396,9 @@ def decode(df: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = pa.array([one.decode(ids or ()) for ids in part.column(1).to_pylist()], type=pa.string())
+                counts = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False)
+                ids = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                texts = pa.array(one.decode_all(ids, counts), type=pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[id_col, "ids", "text"])
 
     ids = df.select(F.col(id_col), F.col(ids_col).cast("array<int>").alias("ids"))

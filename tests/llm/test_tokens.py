@@ -1,6 +1,9 @@
 """Encoders against their libraries, packing, Huffman files, on odd texts and edge cases."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -107,6 +110,41 @@ def test_unigram_paths_score_as_the_library(tmp_path):
     assert same > 0.95 * len(ODD)
 
 
+def test_short_words_are_searched_depth_first():
+    """The path of the whole lattice, over fewer nodes."""
+    model = pieces.codec("piece_bpe_32k.model").model
+    words = {w for t in [*ODD, LONG] for w in model.processor.normalize(t).replace("▁", " ▁").split(" ")}
+    words |= {"▁" + "".join(RNG.choice("aeinrstlobc") for _ in range(RNG.randint(1, 30))) for _ in range(500)}
+    deep = whole = 0
+    for word in words:
+        lattice = pieces.StreamingViterbi(model)
+        lattice.text = word
+        ids = lattice._run(len(word), len(word))
+        search = pieces.StreamingViterbi(model)
+        assert search.finish(word) == ids + lattice._ids(len(lattice.text))
+        if 8 < len(word) <= pieces.COMMIT_EVERY // 2:
+            deep, whole = deep + len(search.nodes), whole + len(lattice.nodes)
+    assert deep < 0.8 * whole
+
+
+def test_many_texts_are_decoded_at_once():
+    codec, model = pieces.codec("piece_bpe_32k.model"), pieces.codec("piece_bpe_32k.model").model
+    texts = [[RNG.choice([RNG.randrange(400), RNG.randrange(len(model.pieces))]) for _ in range(RNG.randint(0, 30))] for _ in range(300)]
+    kinds = {pieces._CONTROL: lambda p: b"", pieces._BYTE: lambda p: bytes([int(p[3:5], 16)]), pieces._UNKNOWN: lambda p: " ⁇ ".encode()}
+    spelled = [kinds.get(k, str.encode)(p) for p, k in zip(model.pieces, model.kinds)]
+    want = [b"".join(spelled[i] for i in t).decode(errors="replace").replace("▁", " ").removeprefix(" ") for t in texts]
+    assert codec.decode_all(np.array(sum(texts, [])), np.array([len(t) for t in texts])) == want
+    assert [codec.decode(t) for t in texts] == want
+
+
+def test_tables_for_cutting_are_made_where_texts_are_cut():
+    """Not on import: the driver and the workers that only decode don't need the 64 MB."""
+    code = "from reqsift.llm import cuts, pieces; assert not cuts._both_powers.cache_info().currsize; cuts.cut(['a b'], b' ', False)"
+    code += "; assert cuts._both_powers.cache_info().currsize"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_sentencepiece_rows(spark):
     df = documents(spark)
     encoded = pieces.encode(df)
