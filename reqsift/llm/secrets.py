@@ -82,7 +82,7 @@ def scan(blobs: DataFrame, rules: tuple = RULES) -> DataFrame:
     return placed.filter("hit.counted >= least").select("blob", "rule", "start", "end")
 
 
-#: Unseen blobs whose names are sent to all tasks, some 200 bytes each; for more of them the texts are shuffled.
+#: Unseen blobs whose names are sent to all tasks, some 130 bytes each; for more of them the texts are shuffled.
 BROADCAST_BLOBS = 200_000
 
 
@@ -120,7 +120,12 @@ class BlobLedger:
         texts = df.select(blob_id(text_col).alias("blob"), text_or_empty(text_col).alias("text"))
         if todo.count() <= BROADCAST_BLOBS:
             # Texts that were scanned before stay where they are.
-            texts = texts.join(F.broadcast(todo), "blob").dropDuplicates(["blob"])
+            numbers = F.transform(versions, lambda v, i: F.when(F.array_contains("todo", v), i.cast("short")))
+            # Digests as bytes and rules by number: the driver holds all of them at once.
+            short = todo.select(F.unhex("blob").alias("_blob"), F.array_compact(numbers).alias("_rules"))
+            texts = texts.join(F.broadcast(short), F.unhex("blob") == F.col("_blob")).dropDuplicates(["blob"])
+            due = F.transform("_rules", lambda i: F.get(versions, i.cast("int")))
+            texts = texts.select("blob", "text", due.alias("todo"))
         else:
             # One text of each blob leaves a task, so copies don't meet in the join.
             texts = texts.dropDuplicates(["blob"]).join(todo, "blob")
